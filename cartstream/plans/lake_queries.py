@@ -271,11 +271,11 @@ def alert_intervals(t):
 
 
 @query("alert_restarts", alert_sql(
-    f"(SELECT topic, host, window_end AS tick, increase AS value FROM {windows_sql(6 * HOUR, HOUR)})", "topic, host", 300, 3 * HOUR, HOUR))
+    f"(SELECT topic, host, window_end AS tick, increase AS value FROM {windows_sql(6 * HOUR, HOUR)})", "topic, host", 50, 3 * HOUR, HOUR))
 def alert_restarts(t):
     """The rule on a counter: growth over a sliding window above a bound, held for three hours."""
     vector = metrics.counter_increase(counters(t), SERIES, 6 * HOUR, HOUR)
-    return metrics.alert_intervals(vector, SERIES, 300, 3 * HOUR, HOUR, tick="window_end", value="increase")
+    return metrics.alert_intervals(vector, SERIES, 50, 3 * HOUR, HOUR, tick="window_end", value="increase")
 
 
 # Errors of the test stream are minutes apart, so the windows are scaled up.

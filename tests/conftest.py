@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[4]").appName("cartstream-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", str(root / "checkpoints"))
         .config("spark.sql.warehouse.dir", str(root / "warehouse"))

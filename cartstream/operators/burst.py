@@ -68,6 +68,7 @@ def pause_candidates(
     instants = ticks.groupBy(*key, ts).agg(F.sum(err).alias("n_err")).withColumn("_us", micros(F.col(ts)))
     w = Window.partitionBy(*key, "_block").orderBy("_us").rangeBetween(-window * MICROS, 0)
     tested = _blocks(instants, block_us, window * MICROS).withColumn("_n", F.sum("n_err").over(w)).filter("_own")
+    tested = cut_lineage(tested.select(*key, "_us", "_n"))  # read four times below
 
     # The resume tick is the first tick at or after start + cooldown: looked up in the block
     # that moment falls in, else it is the first tick of the key's next block with ticks.

@@ -20,7 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartstream.operators.ordered import running_sum
+from cartstream.operators.ordered import row_numbers, running_sum
+from cartstream.session import cut_lineage
 
 _NUMBERED = "^(.*)-([1-9][0-9]{0,17})$"
 
@@ -62,6 +63,10 @@ def unique_handle(
         F.regexp_extract("base", _NUMBERED, 2).alias("i"),
     ).filter(F.col("i") != "").withColumn("i", F.col("i").cast("bigint"))
     blocks = numbered.join(firsts.select(F.col("base").alias("parent")), "parent", "left_semi")
+    if blocks.isEmpty():  # no name can be taken from outside: the suffix is the place among the copies
+        placed = row_numbers(df, [base], [order], "_n", slices)
+        suffix = F.concat(F.col(base), F.lit("-"), (F.col("_n") - 1).cast("string"))
+        return placed.select(*df.columns, F.when(F.col("_n") == 1, F.col(base)).otherwise(suffix).alias(out))
 
     # Rows count 1; a marker (count 0) at the first arrival of a numbered base reads
     # off how many rows of its parent came before it.
@@ -73,6 +78,7 @@ def unique_handle(
                           F.col("base").alias("_for"), F.col("i").alias("_i"),
                           F.lit(0).cast("bigint").alias("_one"))
     counted = running_sum(rows.unionByName(marks), ["_base"], ["_at", "_one"], "_one", "_n", slices)
+    counted = cut_lineage(counted)  # read four times below
 
     root = F.regexp_replace(F.col("_base"), "(-[1-9][0-9]{0,17})+$", "")
     depth = F.size(F.regexp_extract_all(F.col("_for"), F.lit("-[1-9][0-9]{0,17}(?=(-[1-9][0-9]{0,17})*$)"), F.lit(0)))

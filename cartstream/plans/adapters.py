@@ -136,7 +136,7 @@ SQL_VARIANTS = (
 
 
 def raw_order_details(t: Tables) -> DataFrame:
-    return t["lineitem"].selectExpr(*select_list(ORDER_DETAILS))
+    return t.spread("lineitem").selectExpr(*select_list(ORDER_DETAILS))
 
 
 def raw_inventory(t: Tables) -> DataFrame:
@@ -153,7 +153,7 @@ def raw_products(t: Tables) -> DataFrame:
         f"CASE WHEN p_partkey % 10 > 0 THEN slice(transform(sequence(1, 3), i -> named_struct({one})), 1, "
         f"cast({N_VARIANTS} as int)) END AS variants"
     )
-    out = t["part"].selectExpr(*select_list(PRODUCTS), variants)
+    out = t.spread("part").selectExpr(*select_list(PRODUCTS), variants)
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.RAW_PRODUCTS])
 
 
@@ -215,7 +215,7 @@ def _order_item(number: str) -> str:
 def order_webhooks(t: Tables) -> DataFrame:
     """One order message per line item; first lines carry a second item, number 9."""
     items = f"{_order_item('l_linenumber')} || CASE WHEN l_linenumber = 1 THEN ', ' || {_order_item('9')} ELSE '' END"
-    return t["lineitem"].selectExpr(
+    return t.spread("lineitem").selectExpr(
         f"'w-' || {LINE_ID} AS webhook_id",
         "CASE WHEN l_linenumber % 2 = 0 THEN 'orders/updated' ELSE 'orders/create' END AS topic",
         f"'{{\"id\": ' || {s('l_orderkey')} || ', \"line_items\": [' || {items} || ']}}' AS body",
@@ -229,7 +229,7 @@ def inventory_webhooks(t: Tables) -> DataFrame:
         available=_maybe("l_linenumber <> 7", s("cast(l_quantity as int)")),
         updated_at=_text(f"{SHIP_DAY} || 'T08:00:00Z'"),
     )
-    return t["lineitem"].selectExpr(
+    return t.spread("lineitem").selectExpr(
         f"'w-' || {LINE_ID} AS webhook_id", "'inventory_levels/update' AS topic", f"{body} AS body",
         "cast(l_shipdate as timestamp) AS received_at",
     )
@@ -262,7 +262,7 @@ def product_webhooks(t: Tables) -> DataFrame:
         return _json(**fields)
 
     rounds = [
-        t["part"].selectExpr(
+        t.spread("part").selectExpr(
             f"'w-{k}-' || {s('p_partkey')} AS webhook_id", f"'{topic}' AS topic", f"{body(k)} AS body",
             f"cast('2024-03-0{k} 00:00:00' as timestamp) AS received_at",
         )
@@ -287,7 +287,7 @@ def customer_webhooks(t: Tables) -> DataFrame:
         )
 
     rounds = [
-        t["customer"].selectExpr(
+        t.spread("customer").selectExpr(
             f"'w-{k}-' || {s('c_custkey')} AS webhook_id",
             f"'customers/{'create' if k == 1 else 'update'}' AS topic", f"{body(k)} AS body",
             f"cast('2024-03-0{k} 00:00:00' as timestamp) AS received_at",

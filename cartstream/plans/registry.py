@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartstream.session import tune
+from cartstream.session import spread, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,9 +17,19 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = tune(spark), folder.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._frames[name]
+
+    def spread(self, name: str) -> DataFrame:
+        """The table on all cores, also when it is one small file; for work that is heavy per row."""
+        key = f"{name} spread"
+        if key not in self._frames:
+            self._frames[key] = spread(self[name])
+        return self._frames[key]
 
 
 def query(name: str, sql: str | None = None):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,21 +30,43 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the cluster's setting, or a temporary one when none is set."""
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    current = sc._jsc.sc().getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
-        return current.get()
-    target = configured or tempfile.mkdtemp(prefix="cartstream-checkpoint-")
-    sc.setCheckpointDir(target)
-    return target
+        return current.get().rstrip("/")
+    folder = tempfile.mkdtemp(prefix="cartstream-checkpoint-")
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+SPREAD_BYTES = 512 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """More partitions for a small input that came in too few splits to keep the cores busy.
+
+    Meant for file scans in front of work that is heavy per row. A Parquet file of one row group is one
+    task, however many cores wait. Inputs that already have a split per core (any
+    large table) are returned as they are: no shuffle.
+    """
+    splits = df.rdd.getNumPartitions()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if splits >= cores:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = min(cores, size // SPREAD_BYTES)
+    return df.repartition(wanted) if wanted > splits else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the reliable checkpoint folder and continue from the copy.
+    """Write `df` as a table into the shared checkpoint folder and continue from the copy.
 
-    Reliable (not local) so that a lost executor cannot lose the blocks, and so
-    that values such as partition ids are fixed once and for all.
+    A written table survives lost executors and fixes values such as partition ids
+    once and for all. It is columnar, so whoever reads it back reads only the columns
+    it needs.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{checkpoint_dir(df.sparkSession)}/cartstream/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

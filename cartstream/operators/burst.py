@@ -12,14 +12,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartstream.operators.metrics import MICROS, from_micros, micros
+from cartstream.operators.metrics import MICROS, cell, from_micros, micros
 from cartstream.session import cut_lineage
 
 
 def _blocks(rows: DataFrame, block_us: int, halo_us: int) -> DataFrame:
     """Adds `_block`; rows of the last `halo_us` of a block also go to the next, with `_own` false."""
-    home = F.floor(F.col("_us") / F.lit(block_us)).cast("bigint")
-    reach = F.floor((F.col("_us") + halo_us) / F.lit(block_us)).cast("bigint")
+    home, reach = cell(F.col("_us"), block_us), cell(F.col("_us") + halo_us, block_us)
     out = rows.withColumn("_home", home).withColumn("_block", F.explode(F.sequence(home, reach)))
     return out.withColumn("_own", F.col("_block") == F.col("_home")).drop("_home")
 
@@ -77,9 +76,7 @@ def pause_candidates(
     at_end = tested.filter(F.col("_n") >= threshold).select(
         *key, "_us", (F.col("_us") + cooldown * MICROS).alias("_at"), none.alias("_tick")
     )
-    points = at_tick.unionByName(at_end).withColumn(
-        "_block", F.floor(F.col("_at") / F.lit(block_us)).cast("bigint")
-    )
+    points = at_tick.unionByName(at_end).withColumn("_block", cell(F.col("_at"), block_us))
     ahead = Window.partitionBy(*key, "_block").orderBy("_at").rangeBetween(0, Window.unboundedFollowing)
     later = Window.partitionBy(*key).orderBy("_block").rowsBetween(1, Window.unboundedFollowing)
     next_block = (
@@ -154,7 +151,7 @@ def pause_intervals(
     """
     block_us, cool_us = (block or 360 * window) * MICROS, cooldown * MICROS
     found = cut_lineage(pause_candidates(ticks, key, is_error, ts, window, threshold, cooldown, block_us))
-    blocked = found.withColumn("_block", F.floor(F.col("_us") / F.lit(block_us)).cast("bigint"))
+    blocked = found.withColumn("_block", cell(F.col("_us"), block_us))
     fields = ", ".join(f"`{k}` {found.schema[k].dataType.simpleString()}" for k in key)
 
     jumps = blocked.groupBy(*key, "_block").applyInPandas(

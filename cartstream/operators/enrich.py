@@ -2,9 +2,8 @@
 
 All joins are equi-joins against a side with one row per key. Nothing is
 broadcast by hand: adaptive execution broadcasts a side whose measured size
-allows it and otherwise splits the skewed partitions of the big side. NULL keys
-never match, so they are kept out of the joins where they would pile up in one
-partition.
+allows it and otherwise splits the skewed partitions of the big side, be it a hot
+key or the rows without one. Checks filter NULL keys out before they join.
 """
 
 from __future__ import annotations
@@ -16,13 +15,21 @@ from cartstream.functions import line_name, variant_title
 from cartstream.operators.upsert import latest_by_key
 
 
+LOOKUP_COLUMNS = (
+    "variant_id", "product_id", "price", "grams", "sku", "option1", "option2", "inventory_management",
+)
+
+
 def variant_lookup(variants: DataFrame, max_age: str | None = None, now=None) -> DataFrame:
     """Newest row per inventory item; with `max_age`, only items updated since `now` - age.
 
+    Keeps the columns the enrichment uses, so that the rest is pruned from the scan.
+
     This is the bounded lookup state: bounded by age, so what is kept does not
     depend on chance.
     """
-    rows = variants
+    used = ("inventory_item_id", "updated_at", *LOOKUP_COLUMNS)
+    rows = variants.select(*[c for c in used if c in variants.columns])
     if max_age is not None:
         rows = rows.filter(F.col("updated_at") > F.lit(now).cast("timestamp_ntz") - F.expr(f"interval {max_age}"))
     return latest_by_key(rows, ["inventory_item_id"], ["updated_at", "variant_id"])
@@ -33,19 +40,12 @@ def enrich_order_details(items: DataFrame, variants: DataFrame) -> DataFrame:
 
     On a hit price, grams, SKU, ids, title and inventory management come from the
     variant; on a miss the line keeps its own values and has no ids.
-    `variants` needs one row per `inventory_item_id` (see `variant_lookup`) and the
-    columns variant_id, product_id, price, grams, sku, option1, option2,
-    inventory_management.
+    `variants` needs one row per `inventory_item_id` (see `variant_lookup`) with
+    `LOOKUP_COLUMNS`.
     """
     v = variants.select(
         "inventory_item_id", F.lit(True).alias("_hit"),
-        *[
-            F.col(c).alias(f"_{c}")
-            for c in (
-                "variant_id", "product_id", "price", "grams", "sku", "option1", "option2",
-                "inventory_management",
-            )
-        ],
+        *[F.col(c).alias(f"_{c}") for c in LOOKUP_COLUMNS],
     )
     hit = F.col("_hit").isNotNull()
     title = F.when(hit, variant_title(F.col("_option1"), F.col("_option2"))).otherwise(

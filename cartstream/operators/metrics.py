@@ -25,6 +25,11 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
+def cell(us: Column, width: int) -> Column:
+    """Number of the half-open cell [k * width, (k + 1) * width) a whole number lies in; exact."""
+    return F.call_function("div", us - F.pmod(us, F.lit(width)), F.lit(width))
+
+
 def from_micros(us: Column) -> Column:
     return F.timestamp_micros(us).cast("timestamp_ntz")
 
@@ -61,7 +66,7 @@ def instant_vector(
     newest = F.max_by(F.struct("_us", value), "_us")
     cells = (
         samples.withColumn("_us", micros(F.col(ts)))
-        .withColumn("_cell", F.expr(f"-floor(-_us / {us}D)").cast("bigint"))
+        .withColumn("_cell", -cell(-F.col("_us"), us))
         .groupBy(*series, "_cell").agg(newest.alias("_s"))
     )
     served = cells.select(
@@ -104,13 +109,14 @@ def _gain(before: Column, after: Column) -> Column:
 def _panes(samples: DataFrame, series: list[str], pane_us: int, ts: str, value: str) -> DataFrame:
     """Per series and pane: first and last sample, sample count, growth inside the pane.
 
-    The ordered window is limited to one series' samples of one pane.
+    The ordered window is limited to one series' samples of one pane, so a series that holds a
+    third of all rows is spread over as many groups as it has panes.
     """
     w = Window.partitionBy(*series, "_pane").orderBy("_us")
     rows = (
         samples.filter(F.col(value).isNotNull())
         .withColumn("_us", micros(F.col(ts)))
-        .withColumn("_pane", F.floor(F.col("_us") / F.lit(pane_us)).cast("bigint"))
+        .withColumn("_pane", cell(F.col("_us"), pane_us))
         .select(*series, "_us", "_pane", F.col(value).alias("_v"))
         .withColumn("_gain", _gain(F.lag("_v").over(w), F.col("_v")))
         .withColumn("_first", F.lag("_us").over(w).isNull())
@@ -142,8 +148,8 @@ def counter_increase(
         .withColumn("_cross", _gain(F.lag("_v1").over(along), F.col("_v0")))
     )
     # Pane p belongs to the windows ending (in panes) at the multiples of per_step in (p, p + per_window].
-    first_end = (F.floor(F.col("_pane") / per_step) + 1) * per_step
-    last_end = F.floor((F.col("_pane") + per_window) / per_step) * per_step
+    first_end = (cell(F.col("_pane"), per_step) + 1) * per_step
+    last_end = cell(F.col("_pane") + per_window, per_step) * per_step
     ends = panes.filter(first_end <= last_end).withColumn(
         "_end", F.explode(F.sequence(first_end, last_end, F.lit(per_step).cast("bigint")))
     )
@@ -245,7 +251,7 @@ def alert_intervals(
     w = Window.partitionBy(*series).orderBy("_t")
     run = F.col("_t") - F.row_number().over(w)
     true_ticks = vector.filter(F.col(value) > threshold).select(
-        *series, (micros(F.col(tick)) / F.lit(step * MICROS)).cast("bigint").alias("_t")
+        *series, cell(micros(F.col(tick)), step * MICROS).alias("_t")
     )
     runs = true_ticks.withColumn("_run", run).groupBy(*series, "_run").agg(
         F.min("_t").alias("_a"), F.max("_t").alias("_b"), F.count("*").alias("n_ticks")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cartstream.operators import burst, explorer, maintain, metrics
@@ -9,6 +11,7 @@ from cartstream.operators import ingest
 from cartstream.plans import adapters as a
 from cartstream.plans.event_queries import SQL_ORDER_DETAILS, VARIANTS
 from cartstream.plans.registry import query
+from cartstream.session import checkpoint_dir
 
 ORDERS = f"({SQL_ORDER_DETAILS})"
 RANGE = {"gte": "1997-01-01T00:00:00", "lte": "1998-06-30T23:59:59"}
@@ -323,11 +326,7 @@ def compaction_groups(t):
 @query("compact_rewrite", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag FROM lineitem")
 def compact_rewrite(t):
     """A table in many small files rewritten at a new place; the rows must be the same."""
-    import tempfile
-
-    from cartstream.session import checkpoint_dir
-
-    root = tempfile.mkdtemp(prefix="compact-", dir=None) if "://" not in checkpoint_dir(t.spark) else checkpoint_dir(t.spark)
+    root = f"{checkpoint_dir(t.spark)}/cartstream/{uuid.uuid4()}"
     rows = t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
     rows.repartition(24).write.mode("overwrite").partitionBy("l_returnflag").parquet(f"{root}/small")
     maintain.rewrite(t.spark, f"{root}/small", f"{root}/big", ["l_returnflag"])

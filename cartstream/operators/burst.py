@@ -7,12 +7,15 @@ spread over as many tasks as it has blocks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartstream.operators.metrics import MICROS, cell, from_micros, micros
+from cartstream.operators.ordered import join_groups
 from cartstream.session import cut_lineage
 
 
@@ -83,10 +86,9 @@ def pause_candidates(
         points.groupBy(*key, "_block").agg(F.min("_tick").alias("_first"))
         .select(*key, "_block", F.min("_first").over(later).alias("_later"))
     )
+    starts = points.withColumn("_resume", F.min("_tick").over(ahead)).filter(F.col("_us").isNotNull())
     return (
-        points.withColumn("_resume", F.min("_tick").over(ahead))
-        .filter(F.col("_us").isNotNull())
-        .join(next_block, [*key, "_block"])
+        join_groups(starts, next_block, [*key, "_block"])
         .select(*key, "_us", F.coalesce("_resume", "_later", F.lit(NEVER)).alias("_resume"))
     )
 
@@ -110,16 +112,23 @@ def _jumps(pdf: pd.DataFrame, keys: list[str], block_us: int, cooldown_us: int)
     return pdf.assign(_leaves=leaves)[[*keys, "_block", "_us", "_leaves"]].head(n)
 
 
-def _enter(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
-    """Walk one key's blocks in order: the resume tick carried into each."""
-    carried, out = -NEVER, []
-    for block, rows in pdf.sort_values(["_block", "_us"]).groupby("_block", sort=True):
-        out.append((block, carried))
-        i = int(np.searchsorted(rows["_us"].to_numpy(), carried, side="right"))
-        if i < len(rows):
-            carried = int(rows["_leaves"].iloc[i])
-    res = pd.DataFrame(out, columns=["_block", "_carried"])
-    return res.assign(**{k: pdf[k].iloc[0] for k in keys})[[*keys, "_block", "_carried"]]
+def _enter(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Read through jump rows in the order key, block, time: the resume tick carried into each block."""
+    key = block = None
+    carried, chosen = -NEVER, False
+    for pdf in batches:
+        out = []
+        for *k, b, us, leaves in pdf[[*keys, "_block", "_us", "_leaves"]].itertuples(index=False):
+            if k != key:
+                key, block, carried = k, None, -NEVER
+            if b != block:
+                block, chosen = b, False
+                out.append((*k, b, carried))
+            if not chosen and us > carried:
+                carried, chosen = leaves, True
+        yield pd.DataFrame(out, columns=[*keys, "_block", "_carried"]).astype(
+            {"_block": "int64", "_carried": "int64"}
+        )
 
 
 def _walk(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
@@ -146,8 +155,9 @@ def pause_intervals(
 
     Which tick starts the next pause depends on the previous pause, but only through
     its resume tick. So each time block works out in parallel where a chain that
-    enters it would leave it; one pass over these few rows per key fixes the entry of
-    each block; then all blocks list their pauses in parallel.
+    enters it would leave it; one read through these rows (of each block, those of its
+    first `cooldown` seconds and two more) fixes the entry of each block; then all
+    blocks list their pauses in parallel.
     """
     block_us, cool_us = (block or 360 * window) * MICROS, cooldown * MICROS
     found = cut_lineage(pause_candidates(ticks, key, is_error, ts, window, threshold, cooldown, block_us))
@@ -157,10 +167,11 @@ def pause_intervals(
     jumps = blocked.groupBy(*key, "_block").applyInPandas(
         lambda pdf: _jumps(pdf, key, block_us, cool_us), f"{fields}, _block bigint, _us bigint, _leaves bigint"
     )
-    entries = jumps.groupBy(*key).applyInPandas(
-        lambda pdf: _enter(pdf, key), f"{fields}, _block bigint, _carried bigint"
+    entries = (
+        jumps.repartition(*key).sortWithinPartitions(*key, "_block", "_us")
+        .mapInPandas(lambda batches: _enter(batches, key), f"{fields}, _block bigint, _carried bigint")
     )
-    pauses = blocked.join(entries, [*key, "_block"]).groupBy(*key, "_block").applyInPandas(
+    pauses = join_groups(blocked, entries, [*key, "_block"]).groupBy(*key, "_block").applyInPandas(
         lambda pdf: _walk(pdf, key), f"{fields}, _us bigint, _resume bigint"
     )
     return pauses.select(

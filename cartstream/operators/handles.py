@@ -8,8 +8,9 @@ here it comes down to counting:
   'a-3' is the base 'a-3' itself, at its first arrival, so a suffix is lost to the
   base exactly when that arrival comes before the base's own copies have used it.
 * With r suffixes lost below i and c copies of the base before that arrival, this
-  is i - 1 - r >= c. The check runs over distinct numbered bases whose parent also
-  occurs, one row each, small to large; copies are counted, never collected.
+  is i - 1 - r >= c. The check reads through the distinct numbered bases whose
+  parent also occurs, one row each, small to large; copies are counted, never
+  collected.
 """
 
 from __future__ import annotations
@@ -26,27 +27,30 @@ from cartstream.session import cut_lineage
 _NUMBERED = "^(.*)-([1-9][0-9]{0,17})$"
 
 
-def _resolve(blocks: pd.DataFrame) -> pd.DataFrame:
-    """For the numbered bases of one root: does each own its name (`owns`)?
+def _resolve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For numbered bases in the order root, depth, parent, suffix: does each own its name (`owns`)?
 
-    Columns: base, parent, i (suffix number), c (rows of the parent before the first
-    row of the base), depth (numeric suffixes in the name).
+    Columns: root, depth (numeric suffixes in the name), parent, i (suffix number),
+    base, c (rows of the parent before the first row of the base). Reads through its
+    input once and remembers, of a root, only the bases that lost their names.
     """
-    owns: dict[str, bool] = {}
-    out = []
-    # Parents first: whether a parent owns its own name decides how many of its rows are copies.
-    for (_, parent), group in blocks.sort_values(["depth", "parent", "i"]).groupby(
-        ["depth", "parent"], sort=False
-    ):
-        first_is_copy = 0 if owns.get(parent, True) else 1
-        lost = 0
-        for base, i, c in zip(group["base"], group["i"], group["c"]):
-            copies_before = c if first_is_copy else max(c - 1, 0)
-            own = i - 1 - lost >= copies_before
+    root = parent = None
+    displaced: set[str] = set()
+    lost, first_is_copy = 0, False
+    for pdf in batches:
+        owns = []
+        for r, p, base, i, c in zip(pdf["root"], pdf["parent"], pdf["base"], pdf["i"], pdf["c"]):
+            if r != root:
+                root, parent, displaced = r, None, set()
+            if p != parent:
+                # Parents come first: one that lost its own name has no row that is not a copy.
+                parent, lost, first_is_copy = p, 0, p in displaced
+            own = i - 1 - lost >= (c if first_is_copy else max(c - 1, 0))
             lost += own
-            owns[base] = own
-            out.append((base, parent, i, own))
-    return pd.DataFrame(out, columns=["base", "parent", "i", "owns"])
+            if not own:
+                displaced.add(base)
+            owns.append(own)
+        yield pdf[["base", "parent", "i"]].assign(owns=owns)
 
 
 def unique_handle(
@@ -86,8 +90,9 @@ def unique_handle(
         counted.filter(F.col("_for").isNotNull())
         .select(root.alias("root"), F.col("_for").alias("base"), F.col("_base").alias("parent"),
                 F.col("_i").alias("i"), F.col("_n").alias("c"), depth.alias("depth"))
-        .groupBy("root")
-        .applyInPandas(lambda pdf: _resolve(pdf), "base string, parent string, i bigint, owns boolean")
+        .repartition("root")
+        .sortWithinPartitions("root", "depth", "parent", "i")
+        .mapInPandas(_resolve, "base string, parent string, i bigint, owns boolean")
     )
 
     # n = 0 keeps the base, n >= 1 takes the n-th suffix not lost.

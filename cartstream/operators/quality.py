@@ -81,6 +81,25 @@ def schema_drift(df: DataFrame, expected: T.StructType) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, expected string, actual string")
 
 
+def body_drift(df: DataFrame, expected: dict[str, str], body: str = "body") -> DataFrame:
+    """Top-level fields of JSON bodies whose type is not the contract's: (field, expected, actual, n_rows).
+
+    Types are BIGINT, DECIMAL, DOUBLE, BOOLEAN, STRING, ARRAY, OBJECT. Fields the contract
+    does not name have no expected type; null values and unparsable bodies are exempt.
+    One pass: fields are counted by type before anything is shuffled.
+    """
+    fields = df.select(F.try_parse_json(body).alias("_v")).lateralJoin(
+        df.sparkSession.tvf.variant_explode(F.col("_v").outer())
+    )
+    kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
+    counted = fields.groupBy(F.col("key").alias("field"), kind.alias("actual")).agg(F.count("*").alias("n_rows"))
+    want = F.lit(None).cast("string")
+    for name, wanted in expected.items():
+        want = F.when(F.col("field") == name, F.lit(wanted)).otherwise(want)
+    out = counted.filter(F.col("field").isNotNull() & (F.col("actual") != "VOID")).withColumn("expected", want)
+    return out.filter(~F.col("expected").eqNullSafe(F.col("actual"))).select("field", "expected", "actual", "n_rows")
+
+
 def invariants(products: DataFrame, inventory: DataFrame, locations: int = 3) -> DataFrame:
     """Violation counts of what well-formed events promise: (check, violations).
 

@@ -271,9 +271,22 @@ def unique_handle(t):
     return handles.unique_handle(rows)
 
 
-@query("unique_handle_taken")
+@query("unique_handle_taken", r"""
+WITH RECURSIVE r AS (
+  SELECT p_partkey AS seq, replace(p_name, ' ', '-') AS name, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS k,
+         CASE WHEN p_partkey % 3 = 0 THEN replace(p_name, ' ', '-') || '-' || CAST(1 + p_partkey % 40 AS VARCHAR)
+              ELSE replace(p_name, ' ', '-') END AS base FROM part),
+s AS (
+  SELECT k, name, seq, base, base AS handle, [base] AS used FROM r WHERE k = 1
+  UNION ALL
+  SELECT k, name, seq, base, handle, list_append(used, handle) FROM (
+    SELECT r.k, r.name, r.seq, r.base, s.used,
+           [x FOR x IN [CASE WHEN i = 0 THEN r.base ELSE r.base || '-' || CAST(i AS VARCHAR) END FOR i IN range(0, r.k + 1)]
+            IF NOT list_contains(s.used, x)][1] AS handle
+    FROM s JOIN r ON r.name = s.name AND r.k = s.k + 1))
+SELECT seq, base, handle FROM s""")
 def unique_handle_taken(t):
-    """Bases that already look numbered and so collide with handed-out names (checked in the tests)."""
+    """Bases that already look numbered and so collide with handed-out names."""
     base = fn.handle(F.col("p_name"))
     numbered = F.concat(base, F.lit("-"), (1 + F.col("p_partkey") % 40).cast("string"))
     rows = t["part"].select(
@@ -359,13 +372,18 @@ def unique_violations_key(t):
     return quality.unique_violations(t["lineitem"], ["l_orderkey", "l_linenumber"])
 
 
-@query("schema_drift")
-def schema_drift(t):
-    """Contract of the order lines against their raw frame with one column renamed and one cast."""
-    from cartstream import schemas
+PRODUCT_CONTRACT = {
+    "id": "BIGINT", "title": "STRING", "handle": "STRING", "status": "STRING", "tags": "STRING", "updated_at": "BIGINT",
+}
 
-    raw = a.raw_order_details(t).withColumnRenamed("grams", "weight").withColumn("quantity", F.col("quantity").cast("bigint"))
-    return quality.schema_drift(raw, schemas.RAW_ORDER_DETAILS)
+
+@query("schema_drift", """
+SELECT 'tags' AS field, 'STRING' AS expected, 'ARRAY' AS actual, count(*) AS n_rows FROM part WHERE p_partkey % 2 = 0
+UNION ALL SELECT 'updated_at', 'BIGINT', 'STRING', 2 * count(*) FROM part
+UNION ALL SELECT 'variants', NULL, 'ARRAY', 2 * count(*) FROM part""")
+def schema_drift(t):
+    """Product bodies against a contract that knows no tag lists, no text times and no variants."""
+    return quality.body_drift(a.product_webhooks(t), PRODUCT_CONTRACT)
 
 
 @query("evolve_schema", f"""

@@ -295,9 +295,26 @@ def error_burst(t):
     return burst.error_burst(errors, ["topic"], "ts", BURST_WINDOW, 5, block=24 * HOUR)
 
 
-@query("pause_intervals")
+@query("pause_intervals", f"""
+WITH RECURSIVE ticks AS (
+  SELECT event_type AS topic, ts, count(*) FILTER (value > 20) AS n FROM events GROUP BY ALL),
+tested AS (
+  SELECT topic, ts, sum(n) OVER (PARTITION BY topic ORDER BY ts
+         RANGE BETWEEN INTERVAL {BURST_WINDOW} SECOND PRECEDING AND CURRENT ROW) AS n_window FROM ticks),
+starts AS (
+  SELECT c.topic, c.ts AS paused_at, c.ts + INTERVAL 1 HOUR AS resumes_at, t.ts AS resumed_tick
+  FROM (SELECT *, ts + INTERVAL 1 HOUR AS until FROM tested WHERE n_window >= 5) c
+  ASOF LEFT JOIN ticks t ON t.topic = c.topic AND t.ts >= c.until),
+hops AS (
+  SELECT s.*, n.paused_at AS next_at FROM starts s
+  ASOF LEFT JOIN starts n ON n.topic = s.topic AND n.paused_at > s.resumed_tick),
+chain AS (
+  SELECT * FROM hops WHERE (topic, paused_at) IN (SELECT (topic, min(paused_at)) FROM hops GROUP BY topic)
+  UNION ALL
+  SELECT h.* FROM chain c JOIN hops h ON h.topic = c.topic AND h.paused_at = c.next_at)
+SELECT topic, paused_at, resumes_at, resumed_tick FROM chain""")
 def pause_intervals(t):
-    """Pauses per topic; which tick pauses depends on the pause before, so there is no plain SQL (see the tests)."""
+    """Pauses per topic; which tick pauses depends on the pause before."""
     ticks = t["events"].select(F.col("event_type").alias("topic"), "ts", (F.col("value") > 20).alias("is_error"))
     return burst.pause_intervals(ticks, ["topic"], "is_error", "ts", BURST_WINDOW, 5, HOUR, block=24 * HOUR)
 

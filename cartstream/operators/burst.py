@@ -66,7 +66,7 @@ def pause_candidates(
     block_us: int,
 ) -> DataFrame:
     """(key…, _us, _resume): ticks that would start a pause, and the tick that would end it."""
-    err = F.col(is_error).cast("bigint")
+    err = F.coalesce(F.col(is_error).cast("bigint"), F.lit(0))
     instants = ticks.groupBy(*key, ts).agg(F.sum(err).alias("n_err")).withColumn("_us", micros(F.col(ts)))
     w = Window.partitionBy(*key, "_block").orderBy("_us").rangeBetween(-window * MICROS, 0)
     tested = _blocks(instants, block_us, window * MICROS).withColumn("_n", F.sum("n_err").over(w)).filter("_own")
@@ -144,7 +144,7 @@ def _walk(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
 
 def pause_intervals(
     ticks: DataFrame, key: list[str], is_error: str, ts: str = "ts", window: int = 10, threshold: int = 5,
-    cooldown: int = 5, block: int | None = None,
+    cooldown: int = 5, block: int | None = None, after: DataFrame | None = None,
 ) -> DataFrame:
     """(key…, paused_at, resumes_at, resumed_tick): the pauses of each key's event sequence.
 
@@ -158,9 +158,16 @@ def pause_intervals(
     enters it would leave it; one read through these rows (of each block, those of its
     first `cooldown` seconds and two more) fixes the entry of each block; then all
     blocks list their pauses in parallel.
+
+    `is_error` may also be a number of errors. With after(key…, after_us), one row per
+    key, only ticks later than that are tested; earlier ones still count as errors.
     """
     block_us, cool_us = (block or 360 * window) * MICROS, cooldown * MICROS
-    found = cut_lineage(pause_candidates(ticks, key, is_error, ts, window, threshold, cooldown, block_us))
+    found = pause_candidates(ticks, key, is_error, ts, window, threshold, cooldown, block_us)
+    if after is not None:
+        known = join_groups(found, after, key, "left")
+        found = known.filter(F.col("_us") > F.coalesce("after_us", F.lit(-NEVER))).drop("after_us")
+    found = cut_lineage(found)
     blocked = found.withColumn("_block", cell(F.col("_us"), block_us))
     fields = ", ".join(f"`{k}` {found.schema[k].dataType.simpleString()}" for k in key)
 

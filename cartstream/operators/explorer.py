@@ -149,18 +149,18 @@ def preview(df: DataFrame, n: int = 10) -> DataFrame:
 def table_counts(tables: dict[str, DataFrame | None]) -> DataFrame:
     """(table_name, n_rows), one row per table; a table that cannot be read (None) counts 0.
 
-    One job: each branch is a metadata-only Parquet count, the union runs them together.
+    One aggregation over all tables: the scans read no column (row counts come from
+    the Parquet footers) and each task hands on one count.
     """
-    present = {n: df for n, df in tables.items() if df is not None}
-    parts = [
-        df.agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
-        for n, df in present.items()
-    ]
-    if present and len(present) < len(tables):
-        spark = next(iter(present.values())).sparkSession
-        missing = [(n, 0) for n, df in tables.items() if df is None]
-        parts.append(spark.createDataFrame(missing, "table_name string, n_rows bigint"))
-    return reduce(DataFrame.unionByName, parts)
+    spark = SparkSession.active()
+    parts = []
+    for name, df in tables.items():
+        # The zero row keeps empty and unreadable tables in the result.
+        parts.append(spark.range(0, 1, 1, 1).select(F.lit(name).alias("table_name"), F.lit(0).alias("n")))
+        if df is not None:
+            parts.append(df.select(F.lit(name).alias("table_name"), F.lit(1).alias("n")))
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.groupBy("table_name").agg(F.sum("n").alias("n_rows"))
 
 
 def readable(load) -> DataFrame | None:

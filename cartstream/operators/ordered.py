@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from cartstream.session import cut_lineage
 
 
-def join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on group keys where NULL is a group like any other."""
+def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on group keys where NULL is a group like any other."""
     renamed = right.select(*[F.col(c).alias(f"_right_{c}") if c in keys else F.col(c) for c in right.columns])
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
-    return left.join(renamed, on).drop(*[f"_right_{k}" for k in keys])
+    return left.join(renamed, on, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def running_sum(

@@ -106,3 +106,8 @@ class BatchLog:
         return self.spark.read.option("basePath", self.root).parquet(
             *[f"{self.root}/batch={i}" for i in ids]
         ).drop("batch")
+
+    def last(self, before: int) -> DataFrame | None:
+        """Rows of the newest batch before `before`."""
+        ids = [i for i in _folders(self.spark, self.root, "batch") if i < before]
+        return self.spark.read.parquet(f"{self.root}/batch={ids[-1]}") if ids else None

@@ -110,6 +110,27 @@ def test_pauses_are_the_state_machine(spark, seed, block):
     assert all(r["resumes_at"] - r["paused_at"] == timedelta(seconds=5) for r in got)
 
 
+@pytest.mark.parametrize("seed,cuts", [(1, 3), (2, 5)])
+def test_pauses_followed_batch_by_batch(spark, tmp_path, seed, cuts):
+    from cartstream.streaming.pauses import PauseTracker
+
+    by_key = {k: error_times(seed * 10 + i, 200) for i, k in enumerate(["k0", None])}
+    rows = sorted(((k, t, e) for k, ticks in by_key.items() for t, e in ticks), key=lambda r: r[1])
+    instants = sorted({t for _, t, _ in rows})
+    bounds = [instants[len(instants) * i // cuts] for i in range(1, cuts)]
+    tracker = PauseTracker(spark, str(tmp_path), ["k"], "err", block=60)
+    for b in range(cuts):
+        part = [r for r in rows if sum(r[1] >= c for c in bounds) == b]
+        df = spark.createDataFrame(part, "k string, ts timestamp_ntz, err boolean")
+        tracker.process(df, b)
+        if b == 1:
+            tracker.process(df, b)  # run again after a crash
+    got = tracker.read().collect()
+    for k, ticks in by_key.items():
+        mine = sorted((r["paused_at"], r["resumed_tick"]) for r in got if r["k"] == k)
+        assert mine == sorted(loop_pauses(ticks), key=lambda p: p[0])
+
+
 # -- metrics -----------------------------------------------------------------
 
 def sample_frame(spark, values, start=T0, step=15):

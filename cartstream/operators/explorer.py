@@ -22,6 +22,13 @@ def allowed_columns(df: DataFrame) -> list[str]:
     return list(df.columns)
 
 
+def table_named(tables: dict[str, DataFrame], name: str) -> DataFrame:
+    """The table of that name; an unknown one is an error."""
+    if name not in tables:
+        raise ValueError(f"unknown table: {name}")
+    return tables[name]
+
+
 def contains_predicate(column: str, text: str) -> Column:
     """Case-insensitive substring; % and _ are ordinary characters."""
     return F.contains(F.lower(F.col(column).cast("string")), F.lower(F.lit(text)))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartstream.operators.ordered import running_sum
+from cartstream.sources.folders import delete_folder, finished_folders, finished_since
 
 TARGET_BYTES = 134_217_728
 RETAIN_LAST = 5
@@ -101,6 +103,63 @@ def expired_snapshots(
     )
 
 
+class VersionedTable:
+    """A Parquet table kept as finished versions `<root>/version=<n>`; readers take the newest.
+
+    Compaction and replacement write the next version and never touch the one being
+    read; expiry removes old versions by the snapshot rule.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, partition_by: list[str] | None = None):
+        self.spark, self.root, self.partition_by = spark, root.rstrip("/"), partition_by
+
+    def _at(self, version: int) -> str:
+        return f"{self.root}/version={version}"
+
+    def versions(self) -> list[int]:
+        return finished_folders(self.spark, self.root, "version")
+
+    def path(self) -> str:
+        """Folder of the newest version."""
+        ids = self.versions()
+        if not ids:
+            raise FileNotFoundError(f"no finished version under {self.root}")
+        return self._at(ids[-1])
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.path())
+
+    def replace(self, rows: DataFrame) -> int:
+        """Write `rows` as the next version."""
+        new = max(self.versions(), default=0) + 1
+        writer = rows.write.mode("overwrite")
+        if self.partition_by:
+            writer = writer.partitionBy(*self.partition_by)
+        writer.parquet(self._at(new))
+        return new
+
+    def compact(self, target: int = TARGET_BYTES) -> int:
+        """Rewrite the newest version's files to about `target` bytes each, as the next version."""
+        ids = self.versions()
+        source, new = self.path(), ids[-1] + 1
+        delete_folder(self.spark, self._at(new))  # left over from a run that did not finish
+        rewrite(self.spark, source, self._at(new), self.partition_by, target)
+        return new
+
+    def expire(self, now=None, older_than: str = OLDER_THAN, retain_last: int = RETAIN_LAST) -> list[int]:
+        """Remove versions older than the limit that are not among the newest `retain_last`."""
+        done = finished_since(self.spark, self.root, "version")
+        if not done:
+            return []
+        now = now or datetime.now(UTC).replace(tzinfo=None)
+        rows = [(self.root, v, at) for v, at in done.items()]
+        snapshots = self.spark.createDataFrame(rows, "table_name string, snapshot_id bigint, committed_at timestamp_ntz")
+        gone = sorted(r["snapshot_id"] for r in expired_snapshots(snapshots, str(now), older_than, retain_last).collect())
+        for v in gone:
+            delete_folder(self.spark, self._at(v))
+        return gone
+
+
 def catalog_calls(catalog: str, table: str, cutoff: str, target: int = TARGET_BYTES, retain_last: int = RETAIN_LAST) -> list[str]:
     """The maintenance statements for a table of a catalog that brings its own procedures."""
     return [
@@ -114,7 +173,9 @@ def catalog_calls(catalog: str, table: str, cutoff: str, target: int = TARGET_BY
 
 
 def maintain(spark: SparkSession, steps: dict[str, list[tuple[str, Callable[[], object]]]]) -> DataFrame:
-    """Run each table's steps; a failing step ends that table only.
+    """Run each table's steps, say {"orders": [("compact", t.compact), ("expire", t.expire)]}.
+
+    A failing step ends that table only.
 
     Returns (table_name, step, ok, error, elapsed_seconds). The loop is over tables
     and steps; the work of a step is a Spark job.

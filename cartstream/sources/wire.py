@@ -72,3 +72,11 @@ def decode_avro(df: DataFrame, schemas_by_id: dict[int, str], out: str = "record
     if branches is None:
         raise ValueError("no schemas given")
     return df.withColumn(out, branches)
+
+
+def decode_topic(records: DataFrame, schemas_by_id: dict[int, str], on_bad: str = "fail") -> DataFrame:
+    """Broker records to typed rows: frame split, decoding, fields next to the envelope."""
+    framed = split_frame(records, "value", on_bad)
+    rows = decode_avro(framed, schemas_by_id, "record")
+    envelope = [c for c in ("topic", "partition", "offset", "key", "timestamp") if c in records.columns]
+    return rows.select(*envelope, "record.*")

@@ -12,32 +12,10 @@ folders. Keyed state combines by merging folds, which may be done in any groupin
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 
 from cartstream.operators.upsert import UpsertSpec, finalize, fold, merge
-
-
-def _folders(spark: SparkSession, path: str, name: str) -> list[int]:
-    """Ids of the finished folders `<name>=<id>` under `path`, ascending."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(p):
-        return []
-    ids = []
-    for status in fs.listStatus(p):
-        m = re.fullmatch(rf"{name}=(\d+)", status.getPath().getName())
-        done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if m and fs.exists(done):
-            ids.append(int(m.group(1)))
-    return sorted(ids)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+from cartstream.sources.folders import delete_folder, finished_folders
 
 
 class KeyedState:
@@ -52,8 +30,8 @@ class KeyedState:
         fold(changes, self.spec).write.mode("overwrite").parquet(path)
 
     def _parts(self) -> tuple[list[str], int]:
-        through = max(_folders(self.spark, f"{self.root}/base", "through"), default=-1)
-        deltas = [i for i in _folders(self.spark, f"{self.root}/delta", "batch") if i > through]
+        through = max(finished_folders(self.spark, f"{self.root}/base", "through"), default=-1)
+        deltas = [i for i in finished_folders(self.spark, f"{self.root}/delta", "batch") if i > through]
         paths = [f"{self.root}/delta/batch={i}" for i in deltas]
         if through >= 0:
             paths.insert(0, f"{self.root}/base/through={through}")
@@ -74,16 +52,16 @@ class KeyedState:
     def compact(self, keep: int = 2) -> None:
         """Merge all batches so far into a new base; the newest `keep` bases stay, readers may be on them."""
         paths, upto = self._parts()
-        bases = _folders(self.spark, f"{self.root}/base", "through")
+        bases = finished_folders(self.spark, f"{self.root}/base", "through")
         if paths and upto not in bases:
             self.folded().write.mode("overwrite").parquet(f"{self.root}/base/through={upto}")
             bases.append(upto)
         for old in bases[:-keep]:
-            _delete(self.spark, f"{self.root}/base/through={old}")
+            delete_folder(self.spark, f"{self.root}/base/through={old}")
         if len(bases) >= keep:
-            for i in _folders(self.spark, f"{self.root}/delta", "batch"):
+            for i in finished_folders(self.spark, f"{self.root}/delta", "batch"):
                 if i <= bases[-keep]:
-                    _delete(self.spark, f"{self.root}/delta/batch={i}")
+                    delete_folder(self.spark, f"{self.root}/delta/batch={i}")
 
 
 class BatchLog:
@@ -100,7 +78,7 @@ class BatchLog:
 
     def read(self, before: int | None = None) -> DataFrame | None:
         """All rows, or those of the batches before `before`."""
-        ids = [i for i in _folders(self.spark, self.root, "batch") if before is None or i < before]
+        ids = [i for i in finished_folders(self.spark, self.root, "batch") if before is None or i < before]
         if not ids:
             return None
         return self.spark.read.option("basePath", self.root).parquet(
@@ -109,5 +87,5 @@ class BatchLog:
 
     def last(self, before: int) -> DataFrame | None:
         """Rows of the newest batch before `before`."""
-        ids = [i for i in _folders(self.spark, self.root, "batch") if i < before]
+        ids = [i for i in finished_folders(self.spark, self.root, "batch") if i < before]
         return self.spark.read.parquet(f"{self.root}/batch={ids[-1]}") if ids else None

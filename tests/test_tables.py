@@ -280,3 +280,27 @@ def test_maintenance_goes_on_after_a_failure(spark):
     assert [(r["table_name"], r["ok"]) for r in out.orderBy("table_name").collect()] == [("a", False), ("b", True)]
     calls = maintain.catalog_calls("lake", "db.t", "2024-01-01 00:00:00")
     assert len(calls) == 4 and "134217728" in calls[0] and "retain_last => 5" in calls[3]
+
+
+def test_versions_are_compacted_and_expired(spark, tmp_path):
+    t = maintain.VersionedTable(spark, str(tmp_path / "t"), ["p"])
+    with pytest.raises(FileNotFoundError):
+        t.read()
+    rows = spark.range(300).withColumn("p", F.col("id") % 2)
+    t.replace(rows.repartition(6))
+    out = maintain.maintain(spark, {"t": [("compact", t.compact), ("expire", t.expire)]})
+    assert [r["ok"] for r in out.collect()] == [True, True] and t.versions() == [1, 2]
+    assert t.read().count() == 300 and maintain.list_files(spark, t.path(), ["p"]).count() == 2
+    (tmp_path / "t" / "version=3").mkdir()  # a run that did not finish
+    assert t.versions() == [1, 2] and t.compact() == 3
+    for _ in range(4):
+        t.replace(rows)
+    later = datetime.now() + timedelta(days=1)
+    assert t.expire(later) == [1, 2] and t.versions() == [3, 4, 5, 6, 7]
+    assert t.expire(later) == [] and t.read().count() == 300
+
+
+def test_unknown_table_is_an_error(people):
+    assert explorer.table_named({"p": people}, "p") is people
+    with pytest.raises(ValueError, match="unknown table"):
+        explorer.table_named({"p": people}, "q")

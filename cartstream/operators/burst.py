@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartstream.operators.metrics import MICROS, cell, from_micros, micros
@@ -26,6 +26,18 @@ def _blocks(rows: DataFrame, block_us: int, halo_us: int) -> DataFrame:
     return out.withColumn("_own", F.col("_block") == F.col("_home")).drop("_home")
 
 
+def _trailing(value: str, key: list[str], window_us: int) -> Column:
+    """Sum of `value` over the closed last `window_us`, within the key's block.
+
+    A difference of two running sums: their frames only ever grow, so each row is added
+    once. A frame that slides would be summed anew for every row.
+    """
+    w = Window.partitionBy(*key, "_block").orderBy("_us")
+    upto = F.sum(value).over(w.rangeBetween(Window.unboundedPreceding, 0))
+    before = F.sum(value).over(w.rangeBetween(Window.unboundedPreceding, -window_us - 1))
+    return upto - F.coalesce(before, F.lit(0))
+
+
 def trailing_count(
     df: DataFrame, key: list[str], ts: str, window: int, block: int | None = None
 ) -> DataFrame:
@@ -35,10 +47,9 @@ def trailing_count(
     """
     block_us, window_us = (block or 60 * window) * MICROS, window * MICROS
     instants = df.groupBy(*key, ts).agg(F.count("*").alias("n_at")).withColumn("_us", micros(F.col(ts)))
-    w = Window.partitionBy(*key, "_block").orderBy("_us").rangeBetween(-window_us, 0)
     return (
         _blocks(instants, block_us, window_us)
-        .withColumn("n_window", F.sum("n_at").over(w))
+        .withColumn("n_window", _trailing("n_at", key, window_us))
         .filter("_own")
         .select(*key, ts, "n_at", "n_window")
     )
@@ -68,8 +79,9 @@ def pause_candidates(
     """(key…, _us, _resume): ticks that would start a pause, and the tick that would end it."""
     err = F.coalesce(F.col(is_error).cast("bigint"), F.lit(0))
     instants = ticks.groupBy(*key, ts).agg(F.sum(err).alias("n_err")).withColumn("_us", micros(F.col(ts)))
-    w = Window.partitionBy(*key, "_block").orderBy("_us").rangeBetween(-window * MICROS, 0)
-    tested = _blocks(instants, block_us, window * MICROS).withColumn("_n", F.sum("n_err").over(w)).filter("_own")
+    tested = _blocks(instants, block_us, window * MICROS).withColumn(
+        "_n", _trailing("n_err", key, window * MICROS)
+    ).filter("_own")
     tested = cut_lineage(tested.select(*key, "_us", "_n"))  # read four times below
 
     # The resume tick is the first tick at or after start + cooldown: looked up in the block
@@ -80,8 +92,9 @@ def pause_candidates(
         *key, "_us", (F.col("_us") + cooldown * MICROS).alias("_at"), none.alias("_tick")
     )
     points = at_tick.unionByName(at_end).withColumn("_block", cell(F.col("_at"), block_us))
-    ahead = Window.partitionBy(*key, "_block").orderBy("_at").rangeBetween(0, Window.unboundedFollowing)
-    later = Window.partitionBy(*key).orderBy("_block").rowsBetween(1, Window.unboundedFollowing)
+    # Both look ahead by running backwards, which adds each row once.
+    ahead = Window.partitionBy(*key, "_block").orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, 0)
+    later = Window.partitionBy(*key).orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
     next_block = (
         points.groupBy(*key, "_block").agg(F.min("_tick").alias("_first"))
         .select(*key, "_block", F.min("_first").over(later).alias("_later"))

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# What a stored order line must have.
 ORDER_DETAIL_REQUIRED = (
-    "topic", "offset", "partition", "consumed_at", "order_id", "line_item_id", "title", "name",
+    "topic", "partition", "offset", "consumed_at", "order_id", "line_item_id", "title", "name",
     "quantity", "fulfillable_quantity", "current_quantity", "price", "total_discount",
     "fulfillment_service", "grams",
 )

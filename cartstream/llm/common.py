@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
+import cartstream
 from cartstream.session import tune
 
 # Rows and bytes handed to Python at once: bounds the memory of a worker whatever the length of the texts.
@@ -14,8 +17,15 @@ BATCH_CONF = {
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """The session with the library's settings and small Arrow batches."""
+    """The session with the library's settings, small Arrow batches, and Python workers that find this library.
+
+    On a cluster the library is installed or shipped with the job; the path only helps where it is run from its folder.
+    """
     tune(spark)
+    home = os.path.dirname(os.path.dirname(os.path.abspath(cartstream.__file__)))
+    env = spark.sparkContext.environment
+    if home not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH", ""), home]))
     for key, value in BATCH_CONF.items():
         spark.conf.set(key, value)
     return spark

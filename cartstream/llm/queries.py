@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartstream.llm import fingerprints, packing, secrets, sentencepiece, url_filters
+from cartstream.llm import embeddings, fingerprints, near_duplicates, packing, secrets, sentencepiece, url_filters
 from cartstream.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), digests=True)
 
 
+@query
+def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(read_table(spark, folder, "documents"), percent=85)
+
+
 @query
 def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan_secrets(read_table(spark, folder, "documents"))
@@ -38,6 +43,11 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_vectors(read_table(spark, folder, "embeddings"), threshold=0.98)
+
+
 @query
 def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_documents(read_table(spark, folder, "documents"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartstream.llm import embeddings, fingerprints, near_duplicates, packing, secrets, sentencepiece, url_filters
+from cartstream.llm import embeddings, fingerprints, near_duplicates, packing, secrets, sentencepiece, suffix_array, url_filters
 from cartstream.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,8 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM (
     ON (p.host = rule_host OR ends_with(p.host, '.' || rule_host)) AND starts_with(p.path, rule_path))
 WHERE k = 1
 """
+
+
+@query
+def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_array.remove_repeated_bytes(read_table(spark, folder, "documents"), width=50, keep=False)

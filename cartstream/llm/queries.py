@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartstream.llm import embeddings, fingerprints, near_duplicates, packing, secrets, sentencepiece, suffix_array, url_filters
+from cartstream.llm import embeddings, fingerprints, near_duplicates, packing, phrases, secrets, sentencepiece, suffix_array, url_filters
 from cartstream.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,10 @@ WHERE k = 1
 @query
 def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_array.remove_repeated_bytes(read_table(spark, folder, "documents"), width=50, keep=False)
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.remove_repeated_words(read_table(spark, folder, "documents"), width=13).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )

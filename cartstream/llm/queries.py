@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartstream.llm import embeddings, fingerprints, near_duplicates, packing, phrases, secrets, sentencepiece, suffix_array, url_filters
+from cartstream.llm import embeddings, fingerprints, near_duplicates, packing, phrases, quality, secrets, sentencepiece, suffix_array, url_filters
 from cartstream.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,8 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.remove_repeated_words(read_table(spark, folder, "documents"), width=13).select(
         "doc_id", "n_words", "n_removed", "kept_sha256"
     )
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))

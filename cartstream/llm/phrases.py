@@ -13,13 +13,14 @@ others. An anchor with very many blocks is split into shards of windows, by thei
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cartstream.llm.repeats import Blocks, by_document, covered, mark_blocks, pair_rows
 from cartstream.llm.textarrays import U, Words, flatten
@@ -166,10 +167,9 @@ def _locate(width: int):
     return run
 
 
-SCHEMA = "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string, text string"
-
-
 def _cut(width: int):
+    """Input columns: doc_id, text, whole, parts, carried."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
@@ -211,15 +211,17 @@ def _cut(width: int):
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string())
             columns = list(zip(*rows, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                names=["doc_id", "n_words", "n_removed", "kept", "kept_sha256", "text"],
+                [*(pa.array(c, t) for c, t in zip(columns, kinds, strict=True)), batch.column(4)],
+                names=["doc_id", "n_words", "n_removed", "kept", "kept_sha256", "text", "carried"],
             )
 
     return run
 
 
-def remove_repeated_words(docs: DataFrame, width: int = 13) -> DataFrame:
-    """Per document: doc_id, n_words, n_removed, kept (words joined by one space), kept_sha256, text (what is left of it).
+def remove_repeated_words(docs: DataFrame, width: int = 13, carry: Sequence[str] = ()) -> DataFrame:
+    """Per document: doc_id, n_words, n_removed, kept (words joined by one space), kept_sha256, text (what is left of it), carried.
+
+    carried is a struct of the columns named by `carry`, unchanged.
 
     Removes each word covered by a window of `width` words that also starts in a document with a smaller doc_id; windows
     are judged on the input. A null text has no words, shorter texts are kept. Rows of one doc_id are one document: none of them
@@ -228,13 +230,17 @@ def remove_repeated_words(docs: DataFrame, width: int = 13) -> DataFrame:
     """
     if width < GRAM + 1 or width > 2 * GRAM + 50:
         raise ValueError(f"width must be between {GRAM + 1} and {2 * GRAM + 50}")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        F.struct(F.lit(True).alias("row"), *[F.col(c).alias(f"c{k}") for k, c in enumerate(carry)]).alias("carried"),
+    )
     named = rows.filter("doc_id is not null")
-    marks = by_document(mark_blocks(named.mapInArrow(_pairs(width), "anchor long, block long, doc_id long")))
-    # Both joins of the texts have the same exchange, which is read twice.
+    pairs = named.select("doc_id", "text").mapInArrow(_pairs(width), "anchor long, block long, doc_id long")
+    marks = by_document(mark_blocks(pairs))
+    # Both joins of the texts take the same columns and so share one exchange.
     texts = named.join(marks, "doc_id", "left")
     compared = cut_lineage(
-        texts.filter(F.size("partly") > 0).select("doc_id", "text", "partly")
+        texts.filter(F.size("partly") > 0).select("doc_id", "text", "partly", "carried")
         .mapInArrow(_block_texts(width), "anchor long, block long, doc_id long, words string"), compression="zstd"
     )
     sizes = compared.groupBy("anchor").agg(F.count("*").alias("n"))
@@ -245,8 +251,14 @@ def remove_repeated_words(docs: DataFrame, width: int = 13) -> DataFrame:
         shards.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard", "doc_id")
         .mapInArrow(_locate(width), FOUND).groupBy("doc_id").agg(F.collect_list(F.struct("block", "mask")).alias("parts"))
     )
-    whole = texts.join(found, "doc_id", "left").select("doc_id", "text", "whole", "parts")
+    whole = texts.join(found, "doc_id", "left").select("doc_id", "text", "whole", "parts", "carried")
     nameless = rows.filter("doc_id is null").select(
-        "doc_id", "text", F.lit(None).cast("array<long>").alias("whole"), F.lit(None).cast("array<struct<block:long,mask:long>>").alias("parts")
+        "doc_id", "text", F.lit(None).cast("array<long>").alias("whole"),
+        F.lit(None).cast("array<struct<block:long,mask:long>>").alias("parts"), "carried",
     )
-    return whole.unionByName(nameless).mapInArrow(_cut(width), SCHEMA)
+    result = StructType([
+        *StructType.fromDDL("doc_id long, n_words long, n_removed long, kept string, kept_sha256 string, text string"),
+        rows.schema["carried"],
+    ])
+    out = whole.unionByName(nameless).mapInArrow(_cut(width), result)
+    return out.withColumn("carried", F.struct(*[F.col("carried")[f"c{k}"].alias(c) for k, c in enumerate(carry)]) if carry else F.lit(None))

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -154,19 +155,15 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = 6000, unlabelled:
     return fit(values[roles == 1], values[roles == 0], float(np.clip(prior if prior is not None else 0.5, 0.05, 0.95)))
 
 
-def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """Adds score (0 to 1, higher: better) and predicted (1 if score >= 0.5) to the rows, whose columns are kept.
+def score_column(model: Model, text: Column) -> Column:
+    """Score of a text, 0 to 1, higher: better; a null text is scored as the empty one. Nothing is shuffled."""
 
-    A null text is scored as the empty one. A map over the scan: nothing is shuffled.
-    """
     @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
+    def score(texts: pd.Series) -> pd.Series:
         rows = [features(text) for text in texts.fillna("")]
         return pd.Series(model.score(np.array(rows)) if rows else [], dtype="float64")
 
-    return docs.withColumn("score", score(F.col("text").cast("string"))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return score(text.cast("string"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, positives: int = 6000, unlabelled: int = 10_000) -> DataFrame:
@@ -175,6 +172,7 @@ def classify(docs: DataFrame, labels: DataFrame, positives: int = 6000, unlabell
     Only the text decides a score. Other columns are ignored; an empty table gives no rows.
     """
     model = train(docs, labels, positives, unlabelled)
-    return score_documents(docs.select("doc_id", "text"), model).select(
-        F.col("doc_id").cast("long").alias("doc_id"), is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
-    )
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), is_held_out(F.col("doc_id")).alias("held_out"),
+        score_column(model, F.col("text")).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -9,6 +9,8 @@ the distribution itself, and the lowest bound whose share is small enough is use
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,22 +62,40 @@ def _tail(z: Column) -> Column:
     return F.lit(2.0) / (F.lit(1.0) + F.exp(F.lit(1.5976) * a + F.lit(0.070566) * a * a * a))
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _moments(values: Column, size: Column) -> Column:
+    """In one pass: sum, sum of squares, sum of neighbours' products, first and last value, runs, values in the upper half."""
+    start = F.struct(
+        F.lit(0.0).alias("sum"), F.lit(0.0).alias("squares"), F.lit(0.0).alias("lagged"), F.lit(None).cast("double").alias("first"),
+        F.lit(None).cast("double").alias("last"), F.lit(0.0).alias("runs"), F.lit(0.0).alias("high"),
+    )
+
+    def step(m: Column, x: Column) -> Column:
+        up = x * 2 >= size
+        turned = m["last"].isNull() | ((m["last"] * 2 >= size) != up)
+        return F.struct(
+            (m["sum"] + x).alias("sum"), (m["squares"] + x * x).alias("squares"),
+            (m["lagged"] + F.coalesce(m["last"] * x, F.lit(0.0))).alias("lagged"), F.coalesce(m["first"], x).alias("first"), x.alias("last"),
+            (m["runs"] + turned.cast("double")).alias("runs"), (m["high"] + up.cast("double")).alias("high"),
+        )
+
+    return F.aggregate(values, start, step)
+
+
 def randomness(token: Column) -> Column:
-    """Struct of encoding and p: the battery's p-value for "uniform random under its encoding"."""
-    encoding = F.coalesce(*[F.when(token.rlike(looks), F.lit(k)) for k, (_, looks, _) in enumerate(ENCODINGS)])
-    alphabet = F.element_at(F.array(*[F.lit(a) for _, _, a in ENCODINGS]), encoding + 1)
-    size = F.length(alphabet)
-    plain = F.translate(token, "_-", "/+")
+    """Struct of encoding and p: the battery's p-value for "uniform random under its encoding", the least of three, times three."""
     n = F.length(token).cast("double")
-    values = F.transform(
-        F.sequence(F.lit(1), F.length(token)), lambda i: F.call_function("locate", F.substring(plain, i, F.lit(1)), alphabet) - 1
-    )
     bins = F.when(n < 80, F.lit(4)).otherwise(F.lit(16))
+    encoding = F.coalesce(*[F.when(token.rlike(looks), F.lit(k)) for k, (_, looks, _) in enumerate(ENCODINGS)])
 
-    def tests(v: Column) -> Column:
+    def p_chi(values: Column, size: Column) -> Column:
         counts = F.transform(
             F.sequence(F.lit(0), bins - 1),
-            lambda b: F.size(F.filter(v, lambda x: F.floor(x * bins / size) == b)).cast("double"),
+            lambda b: F.size(F.filter(values, lambda x: F.floor(x * bins / size) == b)).cast("double"),
         )
         # A bin's expected share is its part of the alphabet.
         share = lambda b: (F.ceil((b + 1) * size / bins) - F.ceil(b * size / bins)).cast("double") / size
@@ -85,27 +105,28 @@ def randomness(token: Column) -> Column:
         )
         free = (bins - 1).cast("double")
         wilson = (F.pow(chi / free, F.lit(1 / 3)) - (1 - F.lit(2.0) / (9 * free))) / F.sqrt(F.lit(2.0) / (9 * free))
-        p_chi = F.when(wilson > 0, _tail(wilson) / 2).otherwise(1 - _tail(wilson) / 2)
+        return _bind(wilson, lambda z: F.when(z > 0, _tail(z) / 2).otherwise(1 - _tail(z) / 2))
 
-        high = F.size(F.filter(v, lambda x: x * 2 >= size)).cast("double")
-        low = n - high
-        pairs = F.zip_with(F.slice(v, 1, F.size(v) - 1), F.slice(v, 2, F.size(v) - 1), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
-        runs = 1 + F.size(F.filter(pairs, lambda q: (q["x"] * 2 >= size) != (q["y"] * 2 >= size))).cast("double")
-        mean = 2 * high * low / n + 1
+    def p_runs(m: Column) -> Column:
+        mean = 2 * m["high"] * (n - m["high"]) / n + 1
         spread = F.sqrt((mean - 1) * (mean - 2) / (n - 1))
-        p_runs = F.when(spread > 0, _tail((runs - mean) / spread)).otherwise(F.lit(0.0))
-
-        centre = F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / n
-        power = F.aggregate(v, F.lit(0.0), lambda a, x: a + (x - centre) * (x - centre))
-        lagged = F.aggregate(pairs, F.lit(0.0), lambda a, q: a + (q["x"] - centre) * (q["y"] - centre))
-        p_serial = F.when(power > 0, _tail(lagged / power * F.sqrt(n))).otherwise(F.lit(0.0))
-        return F.struct(p_chi.alias("chi"), p_runs.alias("runs"), p_serial.alias("serial"))
-
-    # The array is bound once and used by all three tests.
-    p = F.transform(F.array(values), tests)[0]
-    return F.struct(
-        encoding.alias("encoding"), F.least(F.lit(1.0), 3 * F.least(p["chi"], p["runs"], p["serial"])).alias("p")
-    )
+        return _bind((m["runs"] - mean) / F.when(spread > 0, spread), lambda z: F.coalesce(_tail(z), F.lit(0.0)))
+
+    def p_serial(m: Column) -> Column:
+        centre = m["sum"] / n
+        power = m["squares"] - n * centre * centre
+        lagged = m["lagged"] - centre * (2 * m["sum"] - m["first"] - m["last"]) + (n - 1) * centre * centre
+        return _bind(lagged / F.when(power > 1e-9, power) * F.sqrt(n), lambda z: F.coalesce(_tail(z), F.lit(0.0)))
+
+    def battery(encoding: Column) -> Column:
+        alphabet = F.element_at(F.array(*[F.lit(a) for _, _, a in ENCODINGS]), encoding + 1)
+        size = F.element_at(F.array(*[F.lit(float(len(a))) for _, _, a in ENCODINGS]), encoding + 1)
+        letters = F.filter(F.split(F.translate(token, "_-", "/+"), ""), lambda c: c != "")
+        values = F.transform(letters, lambda c: F.call_function("locate", c, alphabet).cast("double") - 1)
+        least = _bind(values, lambda v: _bind(_moments(v, size), lambda m: F.least(p_chi(v, size), p_runs(m), p_serial(m))))
+        return F.struct(encoding.alias("encoding"), F.least(F.lit(1.0), 3 * least).alias("p"))
+
+    return _bind(encoding, battery)
 
 
 def _length_class(n: Column) -> Column:
@@ -131,6 +152,62 @@ def bounds(candidates: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame
     )
 
 
+def _length_group(match: Column) -> Column:
+    """Length of an assignment's value."""
+    return F.length(F.regexp_extract(match, f"^{ASSIGN}$", 2))
+
+
+def _candidates(docs: DataFrame) -> DataFrame:
+    """encoding, class, p of the candidates in a table of texts."""
+    tokens = docs.select(F.explode(_matches(F.coalesce(F.col("text").cast("string"), F.lit("")), CANDIDATE)).alias("match"))
+    tested = tokens.select(randomness(F.col("match")).alias("test"), _length_class(F.length("match")).alias("class"))
+    return tested.select("test.encoding", "class", "test.p")
+
+
+def _replacements(limits: list[tuple[int, int, float]], mark: str) -> list[tuple[str, Callable[[Column], Column]]]:
+    """Per kind: its pattern, and what a match becomes. `limits` are rows of `bounds`."""
+
+    def value(m: Column) -> Column:
+        n = _length_group(m)
+        return F.when(n >= SHORTEST[0], F.concat(F.substring(m, F.lit(1), F.length(m) - n), F.lit(mark))).otherwise(m)
+
+    def random(m: Column) -> Column:
+        def passes(test: Column) -> Column:
+            found = F.lit(False)
+            for encoding, group, bound in limits:
+                found = found | ((test["encoding"] == encoding) & (_length_class(F.length(m)) == group) & (test["p"] >= bound))
+            return found
+
+        # Bound once in an array, else each limit would run the battery again.
+        return F.when(F.transform(F.array(randomness(m)), passes)[0], F.lit(mark)).otherwise(m)
+
+    fixed = [
+        (ASSIGN, value),
+        (PATTERNS[1], lambda m: F.when(F.length(m) >= SHORTEST[1], F.lit(mark)).otherwise(m)),
+        ("[0-9a-f]{32,}", lambda m: F.when(m.isNotNull(), F.lit(mark))),
+    ]
+    return [*fixed, (CANDIDATE, random)] if limits else fixed
+
+
+def redact_secrets(docs: DataFrame, false_share: float = FALSE_SHARE, mark: str = "[SECRET]") -> DataFrame:
+    """The same rows and columns with secrets in `text` replaced by `mark`; a null text stays null.
+
+    Two passes: the bounds of the randomness battery (a few rows, which reach the driver) come from all texts, then
+    each text is rewritten where it is read. Nothing is shuffled but counts.
+    """
+    limits = [tuple(r) for r in bounds(_candidates(docs), false_share).select("encoding", "class", "bound").collect()]
+    def replace(docs: DataFrame, pattern: str, new: Callable[[Column], Column]) -> DataFrame:
+        found, between = _matches(F.col("text"), pattern), F.split("text", pattern, -1)
+        parts = F.zip_with(between, found, lambda gap, m: F.concat(gap, F.coalesce(new(m), F.lit(""))))
+        return docs.withColumn("text", F.when(F.size(found) > 0, F.array_join(parts, "")).otherwise(F.col("text")))
+
+    # One projection per kind: the text of one step is used several times in the next.
+    out = docs.withColumn("text", F.col("text").cast("string"))
+    for pattern, new in _replacements(sorted(limits), mark):
+        out = replace(out, pattern, new)
+    return out
+
+
 def find_spans(docs: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
     """uid, doc_id, kind (number in KINDS, or -1 in one extra row of each document), start, stop: all secrets.
 
@@ -144,7 +221,7 @@ def find_spans(docs: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select(
         "uid", "doc_id", F.explode(F.concat(nothing, *pieces)).alias("piece")
     ).select("uid", "doc_id", "piece.*")
-    group = F.length(F.regexp_extract("match", f"^{ASSIGN}$", 2))
+    group = _length_group(F.col("match"))
     measured = rows.select(
         "uid", "doc_id", "kind", "i", "gap", F.length("match").alias("size"),
         F.when(F.col("kind") == 3, randomness(F.col("match"))).alias("test"),

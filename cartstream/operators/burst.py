@@ -116,13 +116,16 @@ def _jumps(pdf: pd.DataFrame, keys: list[str], block_us: int, cooldown_us: int)
     pdf = pdf.sort_values("_us")
     t, resume = pdf["_us"].to_numpy(), pdf["_resume"].to_numpy()
     nxt = np.searchsorted(t, resume, side="right")
-    leaves = resume.copy()
-    for j in range(len(t) - 1, -1, -1):
-        if nxt[j] < len(t):
-            leaves[j] = leaves[nxt[j]]
+    # Where each chain ends, by pointer jumping; then only the last of the candidates that leave alike is needed.
+    end = np.where(nxt < len(t), nxt, np.arange(len(t)))
+    while (end != end[end]).any():
+        end = end[end]
+    leaves = resume[end]
     begin = int(pdf["_block"].iloc[0]) * block_us
     n = int(np.searchsorted(t, begin + cooldown_us, side="left")) + 2
-    return pdf.assign(_leaves=leaves)[[*keys, "_block", "_us", "_leaves"]].head(n)
+    steps = pdf.assign(_leaves=leaves)[[*keys, "_block", "_us", "_leaves"]].head(n)
+    last = np.append(leaves[: len(steps) - 1] != leaves[1 : len(steps)], True)
+    return steps[last]
 
 
 def _enter(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:

@@ -99,9 +99,15 @@ def fk_check(
     df: DataFrame, parent: DataFrame, fk: str, parent_key: str = "id"
 ) -> tuple[DataFrame, DataFrame]:
     """(rows that satisfy the foreign key, rows that break it); a NULL key passes."""
-    nulls = df.filter(F.col(fk).isNull())
-    ok = keep_known(df, parent, fk, parent_key).unionByName(nulls)
-    return ok, orphans(df, parent, fk, parent_key)
+    checked = fk_flagged(df, parent, fk, parent_key)
+    return checked.filter("_fk_ok").drop("_fk_ok"), checked.filter("not _fk_ok").drop("_fk_ok")
+
+
+def fk_flagged(df: DataFrame, parent: DataFrame, fk: str, parent_key: str = "id", flag: str = "_fk_ok") -> DataFrame:
+    """The rows with a flag: is the foreign key NULL or known? One scan of either side and one join."""
+    known = distinct_keys(parent, parent_key, fk).withColumn("_known", F.lit(True))
+    joined = df.join(known, fk, "left").withColumn(flag, F.col(fk).isNull() | F.col("_known").isNotNull())
+    return joined.select(*df.columns, flag)
 
 
 def cascade_delete(child: DataFrame, deletes: DataFrame, key: str, delete_key: str = "id") -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import math
 import re
-from datetime import datetime
+from datetime import UTC, datetime
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ def allowed_columns(df: DataFrame) -> list[str]:
 def table_named(tables: dict[str, DataFrame], name: str) -> DataFrame:
     """The table of that name; an unknown one is an error."""
     if name not in tables:
-        raise ValueError(f"unknown table: {name}")
+        raise ValueError(f"there is no table named {name!r} here")
     return tables[name]
 
 
@@ -43,12 +44,26 @@ def _moment(value) -> datetime | None:
         return None
 
 
-def range_predicate(column: str, gte, lte) -> Column | None:
-    """Closed range on a date column; None when it does not apply or an end does not parse."""
+def literal(value, kind: str, collected: bool = False) -> Column:
+    """A value as a literal of a column type. Times pass as text, so the driver's own time zone plays no part.
+
+    Only a `collected` instant is in that zone: rows reach Python as local times.
+    """
+    if not isinstance(value, datetime):
+        return F.lit(value)
+    if kind == "timestamp":
+        value = value.astimezone(UTC) if collected else value
+    elif value.tzinfo is not None:
+        value = value.astimezone(UTC).replace(tzinfo=None)
+    return F.lit(value.isoformat(sep=" ")).cast(kind)
+
+
+def range_predicate(column: str, gte, lte, kind: str = "timestamp_ntz") -> Column | None:
+    """Closed range on a date column of type `kind`; None when it does not apply or an end does not parse."""
     low, high = _moment(gte), _moment(lte)
     if column not in DATE_FIELDS or low is None or high is None:
         return None
-    return F.col(column).between(F.lit(low), F.lit(high))
+    return F.col(column).between(literal(low, kind), literal(high, kind))
 
 
 def predicates(df: DataFrame, spec: dict) -> list[Column]:
@@ -64,7 +79,7 @@ def predicates(df: DataFrame, spec: dict) -> list[Column]:
             if value.strip():
                 out.append(contains_predicate(column, value))
         elif isinstance(value, dict) and {"gte", "lte"} <= value.keys():
-            p = range_predicate(column, value["gte"], value["lte"])
+            p = range_predicate(column, value["gte"], value["lte"], df.schema[column].dataType.simpleString())
             if p is not None:
                 out.append(p)
     return out
@@ -119,13 +134,20 @@ def page_after(
     """The page after the row `last` (its `sort_by` and `tiebreak` values), by key instead of offset.
 
     The predicate reaches the scan and the sort is a top-k, so page 10,000 costs
-    what page 1 costs. `sort_by` must not be NULL in rows to be listed.
+    what page 1 costs. NULLs are listed as `page` lists them: first in ascending order, last in
+    descending order, and among themselves by the tie-break, which must not be NULL.
     """
-    rows = apply_filters(df, filters or {}).filter(F.col(sort_by).isNotNull())
+    rows = apply_filters(df, filters or {})
     if last is not None:
-        s, t = F.lit(last[sort_by]), F.lit(last[tiebreak])
-        beyond = F.col(sort_by) > s if order == "asc" else F.col(sort_by) < s
-        rows = rows.filter(beyond | ((F.col(sort_by) == s) & (F.col(tiebreak) > t)))
+        kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+        own, tie = F.col(sort_by), F.col(tiebreak) > literal(last[tiebreak], kinds[tiebreak], collected=True)
+        if last[sort_by] is None:
+            after = own.isNull() & tie
+            rows = rows.filter(after | own.isNotNull() if order == "asc" else after)
+        else:
+            s = literal(last[sort_by], kinds[sort_by], collected=True)
+            after = (own > s if order == "asc" else own < s) | ((own == s) & tie)
+            rows = rows.filter(after if order == "asc" else after | own.isNull())
     return rows.orderBy(*sort_columns(df, sort_by, order, [tiebreak])).limit(limit)
 
 
@@ -147,33 +169,30 @@ def last_event(df: DataFrame, ts: str = "created_at", tiebreak: str = "id") -> D
     return recent_events(df, 1, ts, tiebreak)
 
 
-def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 10, order: tuple[str, ...] = ()) -> DataFrame:
+    """Any n rows, or the first n by `order`."""
+    return (df.orderBy(*order) if order else df).limit(n)
 
 
 # -- counts and health -------------------------------------------------------
 
 def table_counts(tables: dict[str, DataFrame | None]) -> DataFrame:
-    """(table_name, n_rows), one row per table; a table that cannot be read (None) counts 0.
+    """(table_name, n_rows, error), one row per table; a table that cannot be opened (None) or read counts 0.
 
-    One aggregation over all tables: the scans read no column (row counts come from
-    the Parquet footers) and each task hands on one count.
+    Eager: one count per table, which reads no column (row counts come from the Parquet footers), so a table that
+    fails spoils no other count. `error` says why a table was not counted.
     """
-    spark = SparkSession.active()
-    parts = []
+    rows = []
     for name, df in tables.items():
-        # The zero row keeps empty and unreadable tables in the result.
-        parts.append(spark.range(0, 1, 1, 1).select(F.lit(name).alias("table_name"), F.lit(0).alias("n")))
-        if df is not None:
-            parts.append(df.select(F.lit(name).alias("table_name"), F.lit(1).alias("n")))
-    rows = reduce(DataFrame.unionByName, parts)
-    return rows.groupBy("table_name").agg(F.sum("n").alias("n_rows"))
+        try:
+            rows.append((name, df.count(), None) if df is not None else (name, 0, "cannot be opened"))
+        except (PySparkException, Py4JJavaError) as exc:
+            rows.append((name, 0, str(exc)))
+    return SparkSession.active().createDataFrame(rows, "table_name string, n_rows bigint, error string")
 
 
 def readable(load) -> DataFrame | None:
     """The frame `load()` gives, or None when the table cannot be opened."""
-    from pyspark.errors import PySparkException
-
     try:
         return load()
     except PySparkException:
@@ -193,6 +212,10 @@ def event_health(df: DataFrame, ts: str = "created_at") -> DataFrame:
 _COMMENTS = re.compile(r"--[^\n]*|/\*.*?\*/", re.S)
 _LITERALS = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`", re.S)
 
+# Functions that call into the JVM, and tables named by their path, reach beyond the tables on offer.
+_REACHES = re.compile(r"\b(try_reflect|reflect|java_method)\s*\(", re.I)
+_PATH_TABLE = re.compile(r"\b[A-Za-z_]\w*\s*\.\s*`[^`]*[/:][^`]*`")
+
 _WRITES = re.compile(
     r"\binsert\s+(into|overwrite)\b|\bmerge\s+into\b|\bdelete\s+from\b|\bupdate\s+\S+(\s+\S+){0,2}\s+set\b",
     re.I,
@@ -209,22 +232,33 @@ def assert_read_only(sql: str) -> None:
     A look at the text only; what the query means is left to Spark. The statements
     that change data and may follow a WITH clause are refused by their verbs.
     """
-    bare = _COMMENTS.sub(" ", _LITERALS.sub("''", sql)).strip().rstrip(";").strip()
+    unquoted = _LITERALS.sub(lambda m: m.group(0) if m.group(0).startswith("`") else "''", sql)
+    bare = _COMMENTS.sub(" ", unquoted).strip().rstrip(";").strip()
     first = re.match(r"[A-Za-z]+", bare)
     if not first or first.group(0).upper() not in ("SELECT", "WITH"):
-        raise NotReadOnly("only SELECT queries are allowed")
+        raise NotReadOnly("the statement must begin with SELECT or WITH")
     if ";" in bare:
-        raise NotReadOnly("only one statement is allowed")
+        raise NotReadOnly("the text holds several statements")
     if _WRITES.search(bare):
-        raise NotReadOnly("only SELECT queries are allowed")
+        raise NotReadOnly("the statement changes data")
+    if _REACHES.search(bare.replace("`", "")):
+        raise NotReadOnly("the statement calls into the JVM")
+    if _PATH_TABLE.search(_COMMENTS.sub(" ", sql)):
+        raise NotReadOnly("the statement reads files by their path")
 
 
 def read_only_sql(spark: SparkSession, sql: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Run one read-only query; `tables` are registered as views first."""
+    """Run one read-only query over `tables`, which are views while it is analysed; a view of the caller's is never replaced."""
     assert_read_only(sql)
-    for name, df in (tables or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+    made = []
+    try:
+        for name, df in (tables or {}).items():
+            df.createTempView(name)
+            made.append(name)
+        return spark.sql(sql)
+    finally:
+        for name in made:
+            spark.catalog.dropTempView(name)
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
@@ -237,7 +271,3 @@ def list_columns(spark: SparkSession, table: str) -> DataFrame:
     """(column_name, data_type) of one table, for completion."""
     rows = [(f.name, f.dataType.simpleString()) for f in spark.table(table).schema]
     return spark.createDataFrame(rows, "column_name string, data_type string")
-
-
-def total_pages(total: int, limit: int) -> int:
-    return math.ceil(total / limit)

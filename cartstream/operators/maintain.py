@@ -194,7 +194,7 @@ def maintain(spark: SparkSession, steps: dict[str, list[tuple[str, Callable[[],
             try:
                 action()
             except Exception as exc:  # one table's failure must not stop the others
-                rows.append((table, name, False, str(exc)[:500], time.monotonic() - begun))
+                rows.append((table, name, False, str(exc), time.monotonic() - begun))
                 break
             rows.append((table, name, True, None, time.monotonic() - begun))
     return spark.createDataFrame(

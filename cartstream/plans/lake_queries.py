@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartstream.operators import burst, explorer, maintain, metrics
@@ -59,9 +61,29 @@ def explorer_totals(t):
     return explorer.page_totals(orders(t), PAGE, 50)
 
 
-@query("table_preview")
+@query("table_preview", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10")
 def table_preview(t):
-    return explorer.preview(t["orders"], 10)
+    return explorer.preview(t["orders"], 10, ("o_orderkey",))
+
+
+NULLED = "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END"
+
+
+@query("explorer_page_after_nulls", f"""
+SELECT c_custkey, segment, (row_number() OVER (ORDER BY segment DESC NULLS LAST, c_custkey) - 1) // ((count(*) OVER () + 4) // 5) AS page
+FROM (SELECT c_custkey, {NULLED} AS segment FROM customer)""")
+def explorer_page_after_nulls(t):
+    """All rows in five pages, each found from the last row of the one before; NULLs come last."""
+    people = t["customer"].selectExpr("c_custkey", f"{NULLED} AS segment")
+    size, last, pages = max(1, -(-people.count() // 5)), None, []
+    for number in range(5):
+        page = explorer.page_after(people, last, "segment", "desc", size, tiebreak="c_custkey")
+        pages.append(page.withColumn("page", F.lit(number).cast("bigint")))
+        end = page.orderBy(F.col("segment").asc_nulls_first(), F.col("c_custkey").desc()).first()
+        if end is None:
+            break
+        last = end.asDict()
+    return reduce(DataFrame.unionByName, pages)
 
 
 COUNTED = ("part", "customer", "orders", "lineitem", "events")
@@ -72,7 +94,7 @@ COUNTED = ("part", "customer", "orders", "lineitem", "events")
 ) + " UNION ALL SELECT 'no_such_table', 0")
 def table_counts(t):
     frames = {n: explorer.readable(lambda n=n: t[n]) for n in (*COUNTED, "no_such_table")}
-    return explorer.table_counts(frames)
+    return explorer.table_counts(frames).drop("error")
 
 
 READ_ONLY = """
@@ -195,9 +217,9 @@ def sum_rate(t):
 
 
 def stage_sql(stage: str, test: str) -> str:
-    """One stage's rate: its samples only, as one series per topic."""
-    inner = windows_sql(12 * HOUR, 12 * HOUR).replace(SAMPLES, f"(SELECT * REPLACE ('all' AS host) FROM {SAMPLES} WHERE {test})")
-    return f"SELECT '{stage}' AS stage, topic, window_end, round(rate, 9) AS rate FROM {inner} WHERE rate IS NOT NULL"
+    """One stage's rate: the rates of its series, added up by topic."""
+    inner = windows_sql(12 * HOUR, 12 * HOUR).replace(SAMPLES, f"(SELECT * FROM {SAMPLES} WHERE {test})")
+    return f"SELECT '{stage}' AS stage, topic, window_end, round(sum(rate), 6) AS rate FROM {inner} WHERE rate IS NOT NULL GROUP BY ALL"
 
 
 STAGES = {"produced": "metric = 'events_produced_total'", "consumed": "metric = 'events_consumed_total'", "committed": "host = 'host-0'"}
@@ -207,7 +229,7 @@ STAGES = {"produced": "metric = 'events_produced_total'", "consumed": "metric =
 def funnel(t):
     rows = metrics.with_labels(a.samples(t), SERIES)
     stages = {
-        n: metrics.sum_rate(rows.filter(c), ["topic"], ["topic"], 12 * HOUR, 12 * HOUR).withColumn("rate", F.round("rate", 9))
+        n: metrics.sum_rate(rows.filter(c), SERIES, ["topic"], 12 * HOUR, 12 * HOUR).withColumn("rate", F.round("rate", 6))
         for n, c in STAGES.items()
     }
     return metrics.funnel(stages)
@@ -360,8 +382,14 @@ def expired_snapshots(t):
     return maintain.expired_snapshots(snapshots, "2024-01-30 00:00:00").select("table_name", "snapshot_id", "committed_at")
 
 
-# The partitioned read-back: one location's rows of the inventory table.
-@query("read_partition", f"SELECT count(*) AS n_rows, CAST(sum(inventory_quantity) AS BIGINT) AS quantity FROM {VARIANTS}")
+@query("read_partition", f"""
+SELECT product_id % 8 AS location_id, count(*) AS n_rows, CAST(sum(inventory_quantity) AS BIGINT) AS quantity
+FROM {VARIANTS} WHERE product_id % 8 = 2 GROUP BY ALL""")
 def read_partition(t):
-    v = ingest.to_product_variants(a.raw_products(t))
-    return v.agg(F.count("*").alias("n_rows"), F.sum("inventory_quantity").alias("quantity"))
+    """A table written by location, and one location of it read back; the other folders are not touched."""
+    path = f"{checkpoint_dir(t.spark)}/cartstream/{uuid.uuid4()}"
+    v = ingest.to_product_variants(a.raw_products(t)).withColumn("location_id", F.col("product_id") % 8)
+    v.write.partitionBy("location_id").parquet(path)
+    schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in v.schema if f.name != 'location_id')}, location_id bigint"
+    one = t.spark.read.schema(schema).parquet(path).filter("location_id = 2")
+    return one.groupBy("location_id").agg(F.count("*").alias("n_rows"), F.sum("inventory_quantity").alias("quantity"))

@@ -30,25 +30,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-SPREAD_BYTES = 512 * 1024
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """More partitions for a small input that came in too few splits to keep the cores busy.
-
-    Meant for file scans in front of work that is heavy per row. A Parquet file of one row group is one
-    task, however many cores wait. Inputs that already have a split per core (any
-    large table) are returned as they are: no shuffle.
-    """
-    splits = df.rdd.getNumPartitions()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if splits >= cores:
-        return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    wanted = min(cores, size // SPREAD_BYTES)
-    return df.repartition(wanted) if wanted > splits else df
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by `spark.checkpoint.dir`.
 

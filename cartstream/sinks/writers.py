@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,9 +96,12 @@ def insert_unique(
     With 'fail' nothing is committed when a key clashes: the job fails before the
     output is.
     """
-    from cartstream.operators.explorer import readable
-
-    target = readable(lambda: df.sparkSession.read.parquet(path))
+    try:
+        target = df.sparkSession.read.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        target = None  # no table yet
     insertable(df, target, keys, order, on_conflict).write.mode("append").parquet(path)
 
 

@@ -18,12 +18,15 @@ def dedup_events(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 def dedup_stream(df: DataFrame, key: str, ts: str, delay: str = "10 minutes") -> DataFrame:
     """Streaming form: one row per id within the watermark; the state is bounded by `delay`.
 
-    A NULL id would count as one id; such rows get an id of their own for the
-    deduplication, unique per row, and are spread over all state partitions. The
-    event time is cast, because a watermark needs an instant.
+    Rows without an id pass around the state, so none is lost and none is kept there, however late. A row with an id that is later
+    than the watermark may be a repetition that is no longer known: it is left out here, and `late_rows` in a
+    batch function tells which. The event time is cast, because a watermark needs an instant.
     """
-    own = F.concat(F.lit("\u0000"), F.uuid())
-    keyed = df.withColumn("_ts", F.col(ts).cast("timestamp")).withColumn(
-        "_key", F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), own)
-    )
-    return keyed.withWatermark("_ts", delay).dropDuplicatesWithinWatermark(["_key"]).select(*df.columns)
+    named = df.filter(F.col(key).isNotNull()).withColumn("_ts", F.col(ts).cast("timestamp"))
+    once = named.withWatermark("_ts", delay).dropDuplicatesWithinWatermark([key]).select(*df.columns)
+    return once.unionByName(df.filter(F.col(key).isNull()))
+
+
+def late_rows(batch: DataFrame, kept: DataFrame, key: str) -> DataFrame:
+    """Rows with an id of a batch whose id neither is among `kept` (all that the deduplication let through): for a side table."""
+    return batch.filter(F.col(key).isNotNull()).join(kept.select(key).distinct(), key, "left_anti")

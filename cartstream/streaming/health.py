@@ -44,9 +44,10 @@ class ProgressLog(StreamingQueryListener):
 
     def __init__(self, emit):
         self.emit = emit
+        self.names: dict[str, str] = {}  # a termination report has the id only
 
     def onQueryStarted(self, event):
-        pass
+        self.names[str(event.id)] = event.name or str(event.id)
 
     def onQueryProgress(self, event):
         self.emit(json.dumps(progress_row(json.loads(event.progress.json))))
@@ -56,7 +57,22 @@ class ProgressLog(StreamingQueryListener):
 
     def onQueryTerminated(self, event):
         if event.exception:
-            self.emit(json.dumps(progress_row({"id": str(event.id), "runId": str(event.runId)}, failed=True)))
+            job = self.names.get(str(event.id))
+            self.emit(json.dumps(progress_row({"name": job, "id": str(event.id), "runId": str(event.runId)}, failed=True)))
+
+
+class ProgressTable:
+    """Keeps all reports in a table, one small file each; as `emit` of a `ProgressLog` it outlives the engine's recent reports."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def __call__(self, line: str) -> None:
+        rows = self.spark.createDataFrame([(line,)], "line string").coalesce(1)
+        rows.select(F.from_json("line", PROGRESS).alias("p")).select("p.*").write.mode("append").parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(PROGRESS).parquet(self.path)
 
 
 def query_health(progress: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Streams over files: same rows as the batch, nothing twice after a restart or a replay."""
 
 import json
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -64,7 +65,9 @@ def test_ingest_of_all_topics_equals_the_batch(spark, tables, tmp_path):
             same(got, project(raws[topic]))
     # Identity partitioning reads back with pruning.
     one = spark.read.parquet(f"{lake}/inventory_levels").filter("location_id = 2")
-    assert "location_id=2" in "".join(f for f in one.inputFiles()) or one.count() > 0
+    files = one.inputFiles()
+    assert one.count() > 0 and any("location_id=2/" in f for f in files)
+    assert all("location_id=2/" in f for f in one.select("location_id", F.input_file_name().alias("f")).toPandas()["f"])
     report = health.query_health(health.progress_frame(spark, list(last.values()))).collect()
     assert {r["job"] for r in report} == set(raws) and all(r["failed"] == 0 for r in report)
 
@@ -173,6 +176,42 @@ def test_dedup_stream_keeps_null_ids(spark, tmp_path):
     assert sorted((r["k"] or "-") for r in got.collect()) == ["-", "-", "a", "b"]
 
 
+def test_dedup_stream_keeps_late_null_ids(spark, tmp_path):
+    """A first batch moves the watermark; rows without an id that come hours later than it are kept, repeated ids are not."""
+    schema = "k string, v int, ts timestamp_ntz"
+    for n, rows in enumerate([[("a", 1, 600), (None, 2, 600)], [(None, 3, 0), ("a", 4, 600), ("b", 5, 601)]]):
+        df = spark.createDataFrame([(k, v, T0 + timedelta(minutes=m)) for k, v, m in rows], schema)
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        src = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+        jobs.append_stream(dedup_stream(src, "k", "ts"), str(tmp_path / "out"), str(tmp_path / "ck"), trigger=NOW).awaitTermination(240)
+    assert sorted(r["v"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3, 5]
+
+
+def test_health_names_a_job_that_fails(spark, tmp_path):
+    table = health.ProgressTable(spark, str(tmp_path / "progress"))
+    log = health.ProgressLog(table)
+    spark.streams.addListener(log)
+    try:
+        spark.createDataFrame([(1,)], "v int").write.parquet(str(tmp_path / "in"))
+        src = spark.readStream.schema("v int").parquet(str(tmp_path / "in"))
+        for name, fails in (("fine", False), ("orders", True)):
+            out = src.select(F.when(F.lit(fails), F.raise_error("broken").cast("int")).otherwise(F.col("v")).alias("v"))
+            q = out.writeStream.queryName(name).format("noop").option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+            try:
+                q.awaitTermination(120)
+            except Exception:
+                assert fails
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        for _ in range(60):
+            got = {r["job"]: (r["completed"] > 0, r["failed"]) for r in health.query_health(table.read()).collect()}
+            if len(got) == 2:
+                break
+            time.sleep(0.5)
+        assert got["fine"] == (True, 0) and got["orders"][1] == 1 and set(got) == {"fine", "orders"}
+    finally:
+        spark.streams.removeListener(log)
+
+
 def test_live_counters_in_update_mode(spark, tmp_path):
     df = spark.createDataFrame([("t", "produced"), ("t", "error"), ("u", "pause"), ("t", "produced")], "topic string, kind string")
     df.write.json(str(tmp_path / "in"))

@@ -100,18 +100,23 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     w = np.append(model.weights, model.bias)
     first, second = np.zeros(size), np.zeros(size)
     sigmoid = lambda m: 1 / (1 + np.exp(-np.clip(m, -60, 60)))
+    least, best = np.inf, w
     for step in range(1, steps + 1):
         sp, su = sigmoid(p @ w), sigmoid(u @ w)
         # d loss(+) = s - 1, d loss(-) = s; loss(-) = -log(1 - s).
         as_bad = prior * p.T @ sp / len(p)
         bad_risk = -np.log1p(-np.clip(su, 0, 1 - 1e-12)).mean() + prior * np.log1p(-np.clip(sp, 0, 1 - 1e-12)).mean()
+        # A step against a negative risk may leave the valley: the best point on the way is kept.
+        risk = -prior * np.log(np.clip(sp, 1e-12, 1)).mean() + max(0.0, bad_risk) + decay / 2 * (w[:-1] ** 2).sum()
+        if risk < least:
+            least, best = risk, w
         of_bad = u.T @ su / len(u) - as_bad
         gradient = prior * p.T @ (sp - 1) / len(p) + of_bad if bad_risk >= 0 else -of_bad
         gradient = gradient + decay * np.append(w[:-1], 0)
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
-        w = w - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return Model(model.centre, model.scale, w[:-1], float(w[-1]))
+        w = w - rate * (1 - step / (steps + 1)) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    return Model(model.centre, model.scale, best[:-1], float(best[-1]))
 
 
 def is_held_out(doc_id: Column) -> Column:

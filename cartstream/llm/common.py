@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 import cartstream
 from cartstream.session import tune
@@ -34,3 +36,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One input table of a folder."""
     return prepare(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+def doc_id(docs: DataFrame):
+    """doc_id as a long. A plain column where it is one: an alias would keep Spark from seeing that two exchanges are the same."""
+    return F.col("doc_id") if docs.schema["doc_id"].dataType == LongType() else F.col("doc_id").cast("long").alias("doc_id")
+
+
+def id_and_text(docs: DataFrame) -> DataFrame:
+    """doc_id and text of a table of documents, a null text as the empty one."""
+    return docs.select(doc_id(docs), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

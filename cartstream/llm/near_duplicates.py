@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartstream.llm.common import id_and_text
 from cartstream.llm.components import connected_components
 from cartstream.llm.textarrays import U, Words, flatten, grams, mix
 from cartstream.session import cut_lineage
@@ -161,7 +162,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     Only sketches are shuffled for all documents; full texts are shuffled once, to reach the families.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = id_and_text(docs)
     sketches = cut_lineage(
         rows.mapInArrow(_sketches, "doc_id long, n_shingles long, key1 long, key2 long, sketch array<long>"), compression="zstd"
     )

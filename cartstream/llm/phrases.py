@@ -18,12 +18,14 @@ from collections.abc import Iterator, Sequence
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cartstream.llm.repeats import Blocks, by_document, covered, mark_blocks, pair_rows
-from cartstream.llm.textarrays import U, Words, flatten
+from cartstream.llm.common import doc_id
+from cartstream.llm.repeats import PAIRS, Blocks, by_document, covered, listed, mark_blocks, member_keys, names, pair_rows
+from cartstream.llm.textarrays import Words, flatten
 from cartstream.session import cut_lineage
 
 GRAM = 5
@@ -40,34 +42,26 @@ def _pairs(width: int):
     return run
 
 
-def _values(column: pa.Array, k: int) -> np.ndarray:
-    """A list's values as unsigned numbers; none for a null list."""
-    return column[k].values.to_numpy(zero_copy_only=False).view(U) if column[k].is_valid else np.zeros(0, U)
-
-
 def _block_texts(width: int):
-    """The words of the blocks that are to be compared, each word between single spaces."""
+    """The words of the blocks that are to be compared, each word between single spaces. Input: doc_id, text, whole, partly, carried."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
-            texts = batch.column(1)
-            for k in range(batch.num_rows):
-                data, offsets = flatten(texts.slice(k, 1))
-                words = Words(data, offsets, fold=False)
-                blocks = Blocks(words.hash, words.first, width, GRAM)
-                doc, raw = batch.column(0)[k].as_py(), data.tobytes()
-                done = set()
-                for n in np.flatnonzero(np.isin(blocks.block, _values(batch.column(2), k))).tolist():
-                    name = int(blocks.block[n : n + 1].view(np.int64)[0])
-                    if name not in done:
-                        done.add(name)
-                        span = range(blocks.start[n], blocks.start[n] + blocks.count[n] + width - 1)
-                        text = b" ".join([b"", *(raw[words.start[w] : words.stop[w]] for w in span), b""])
-                        rows.append((int(blocks.anchor[n : n + 1].view(np.int64)[0]), name, doc, text.decode()))
-            columns = list(zip(*rows, strict=True)) or [()] * 4
+            data, offsets = flatten(batch.column(1))
+            words = Words(data, offsets, fold=False)
+            blocks = Blocks(words.hash, words.first, width, GRAM)
+            own = names(blocks.anchor, blocks.block)
+            keys = member_keys(blocks.text, own)
+            chosen = np.flatnonzero(np.isin(keys, listed(batch.column(3))))
+            chosen = chosen[np.unique(keys[chosen], return_index=True)[1]]
+            raw, texts = data.tobytes(), []
+            starts, stops = words.start.tolist(), words.stop.tolist()
+            for first, count in zip(blocks.start[chosen].tolist(), blocks.count[chosen].tolist(), strict=True):
+                span = range(first, first + count + width - 1)
+                texts.append(b" ".join([b"", *[raw[starts[w] : stops[w]] for w in span], b""]).decode())
+            ids = batch.column(0).to_numpy()[blocks.text[chosen]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)],
+                [pa.array(blocks.anchor[chosen].view(np.int64)), pa.array(own[chosen]), pa.array(ids), pa.array(texts, pa.string())],
                 names=["anchor", "block", "doc_id", "words"],
             )
 
@@ -168,50 +162,57 @@ def _locate(width: int):
 
 
 def _cut(width: int):
-    """Input columns: doc_id, text, whole, parts, carried."""
+    """Input: doc_id, text, whole, partly, carried, parts."""
+
+    def gone_of(batch: pa.RecordBatch, words: Words) -> np.ndarray:
+        whole, parts = listed(batch.column(2)), batch.column(5)
+        flat = parts.flatten()
+        if not len(whole) and not len(flat):
+            return np.zeros(len(words.start), bool)
+        blocks = Blocks(words.hash, words.first, width, GRAM)
+        keys = member_keys(blocks.text, names(blocks.anchor, blocks.block))
+        all_of = np.isin(keys, whole)
+        starts, counts = blocks.start[all_of], blocks.count[all_of]
+        if len(flat):
+            sizes = pa.compute.list_value_length(parts).fill_null(0).to_numpy()
+            named = member_keys(np.repeat(np.arange(len(parts)), sizes), flat.field("block").to_numpy())
+            masks = flat.field("mask").to_numpy()
+            # A block's masks from several shards add up.
+            order = np.argsort(named, kind="stable")
+            firsts = np.flatnonzero(np.append(True, named[order][1:] != named[order][:-1]))
+            known, merged = named[order][firsts], np.bitwise_or.reduceat(masks[order], firsts)
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            some = np.flatnonzero(known[at] == keys)
+            for j in range(int(blocks.count[some].max(initial=0))):
+                hit = some[(merged[at[some]] >> j & 1 > 0) & (j < blocks.count[some])]
+                starts, counts = np.append(starts, blocks.start[hit] + j), np.append(counts, np.ones(len(hit), np.int64))
+        return covered(len(words.start), starts, counts, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            data, offsets = flatten(batch.column(1))
+            words = Words(data, offsets, fold=False)
+            gone = gone_of(batch, words)
+            # A removed word takes the white space behind it along, up to the next word or the end of its text.
+            behind = np.append(words.start[1:], len(data))
+            last = words.first[1:][words.first[1:] > words.first[:-1]] - 1
+            behind[last] = offsets[1:][words.first[1:] > words.first[:-1]]
+            edges = np.zeros(len(data) + 1, np.int8)
+            np.add.at(edges, words.start[gone], 1)
+            np.add.at(edges, behind[gone], -1)
+            stays = np.cumsum(edges, dtype=np.int8)[:-1] == 0
+            removed = np.diff(np.append(0, np.cumsum(gone))[words.first])
             rows: list[tuple] = []
-            texts = batch.column(1)
-            for k in range(batch.num_rows):
-                data, offsets = flatten(texts.slice(k, 1))
-                words = Words(data, offsets, fold=False)
-                n, raw = len(words.start), data.tobytes()
-                gone = np.zeros(n, bool)
-                whole, parts = _values(batch.column(2), k), batch.column(3)[k].as_py() or []
-                if len(whole) or parts:
-                    blocks = Blocks(words.hash, words.first, width, GRAM)
-                    all_of = np.isin(blocks.block, whole)
-                    starts, counts = blocks.start[all_of].tolist(), blocks.count[all_of].tolist()
-                    masks: dict[int, int] = {}
-                    for part in parts:
-                        masks[part["block"]] = masks.get(part["block"], 0) | part["mask"]
-                    if masks:
-                        names = blocks.block.view(np.int64)
-                        for b in np.flatnonzero(np.isin(names, np.fromiter(masks, np.int64))).tolist():
-                            mask = masks[int(names[b])]
-                            for j in range(int(blocks.count[b])):
-                                if mask >> j & 1:
-                                    starts.append(int(blocks.start[b]) + j)
-                                    counts.append(1)
-                    gone = covered(n, np.array(starts, np.int64), np.array(counts, np.int64), width)
-                if gone.any():
-                    kept = b" ".join([raw[words.start[w] : words.stop[w]] for w in np.flatnonzero(~gone)]).decode()
-                    # A removed word takes the white space behind it along.
-                    behind = np.append(words.start[1:], len(data))
-                    edges = np.zeros(len(data) + 1, np.int8)
-                    np.add.at(edges, words.start[gone], 1)
-                    np.add.at(edges, behind[gone], -1)
-                    text = data[np.cumsum(edges, dtype=np.int8)[:-1] == 0].tobytes().decode()
-                else:
-                    kept = b" ".join([raw[a:b] for a, b in zip(words.start.tolist(), words.stop.tolist(), strict=True)]).decode()
-                    text = raw.decode()
-                rows.append((batch.column(0)[k].as_py(), n, int(gone.sum()), kept, hashlib.sha256(kept.encode()).hexdigest(), text))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string())
-            columns = list(zip(*rows, strict=True)) or [()] * 6
+            for k, (begin, end) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+                own = data[begin:end]
+                text = (own[stays[begin:end]] if removed[k] else own).tobytes()
+                # The words that stay are those of the text that stays.
+                kept = b" ".join(text.split())
+                rows.append((kept.decode(), hashlib.sha256(kept).hexdigest(), text.decode()))
+            kept, digests, texts = list(zip(*rows, strict=True)) or [()] * 3
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, t) for c, t in zip(columns, kinds, strict=True)), batch.column(4)],
+                [batch.column(0), pa.array(np.diff(words.first)), pa.array(removed), pa.array(kept, pa.string()), pa.array(digests, pa.string()),
+                 pa.array(texts, pa.string()), batch.column(4)],
                 names=["doc_id", "n_words", "n_removed", "kept", "kept_sha256", "text", "carried"],
             )
 
@@ -231,17 +232,16 @@ def remove_repeated_words(docs: DataFrame, width: int = 13, carry: Sequence[str]
     if width < GRAM + 1 or width > 2 * GRAM + 50:
         raise ValueError(f"width must be between {GRAM + 1} and {2 * GRAM + 50}")
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        doc_id(docs), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.struct(F.lit(True).alias("row"), *[F.col(c).alias(f"c{k}") for k, c in enumerate(carry)]).alias("carried"),
     )
     named = rows.filter("doc_id is not null")
-    pairs = named.select("doc_id", "text").mapInArrow(_pairs(width), "anchor long, block long, doc_id long")
-    marks = by_document(mark_blocks(pairs))
-    # Both joins of the texts take the same columns and so share one exchange.
-    texts = named.join(marks, "doc_id", "left")
+    pairs = named.select("doc_id", "text").mapInArrow(_pairs(width), PAIRS)
+    marks = cut_lineage(by_document(mark_blocks(pairs)), compression="zstd")
+    texts = named.join(marks, "doc_id", "left").select("doc_id", "text", "whole", "partly", "carried")
     compared = cut_lineage(
-        texts.filter(F.size("partly") > 0).select("doc_id", "text", "partly", "carried")
-        .mapInArrow(_block_texts(width), "anchor long, block long, doc_id long, words string"), compression="zstd"
+        texts.filter(F.size("partly") > 0).mapInArrow(_block_texts(width), "anchor long, block long, doc_id long, words string"),
+        compression="zstd",
     )
     sizes = compared.groupBy("anchor").agg(F.count("*").alias("n"))
     shards = compared.join(sizes, "anchor").select("anchor", "block", "doc_id", "words", "n").mapInArrow(
@@ -251,10 +251,10 @@ def remove_repeated_words(docs: DataFrame, width: int = 13, carry: Sequence[str]
         shards.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard", "doc_id")
         .mapInArrow(_locate(width), FOUND).groupBy("doc_id").agg(F.collect_list(F.struct("block", "mask")).alias("parts"))
     )
-    whole = texts.join(found, "doc_id", "left").select("doc_id", "text", "whole", "parts", "carried")
+    whole = texts.join(found, "doc_id", "left").select("doc_id", "text", "whole", "partly", "carried", "parts")
+    none = F.lit(None).cast("array<long>")
     nameless = rows.filter("doc_id is null").select(
-        "doc_id", "text", F.lit(None).cast("array<long>").alias("whole"),
-        F.lit(None).cast("array<struct<block:long,mask:long>>").alias("parts"), "carried",
+        "doc_id", "text", none.alias("whole"), none.alias("partly"), "carried", F.lit(None).cast("array<struct<block:long,mask:long>>").alias("parts")
     )
     result = StructType([
         *StructType.fromDDL("doc_id long, n_words long, n_removed long, kept string, kept_sha256 string, text string"),

@@ -2,7 +2,7 @@
 
 Every window of a fixed width has an anchor: the place of its smallest hashed k-gram. Neighbouring windows mostly
 share theirs; such a run of windows is a block. Equal text around a place has equal anchors and, but for the ends of a passage,
-equal blocks. Each document sends its distinct (anchor hash, block hash) pairs, Spark sorts them, and one look at each sorted
+equal blocks. Each document sends its distinct (anchor, block) pairs, Spark sorts them, and one look at each sorted
 partition tells what is repeated:
 
 - a block that an earlier document (smaller doc_id) has too is repeated as a whole;
@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from cartstream.llm.textarrays import U, mix, window_minimum
 
 _INDEX = U(0xFFFFFFFF)
 _LEFT, _RIGHT = U(0xC2B2AE3D27D4EB4F), U(0x9FB21C651E98DF25)
-PIECE = 1 << 20  # symbols looked at together; longer texts are looked at piece by piece
+PIECE = 1 << 18  # symbols looked at together; longer texts are looked at piece by piece
 
 
 class Doubling:
@@ -106,7 +107,7 @@ class Blocks:
         edges[begins] += 1
         edges[begins + inside[inside > 0]] -= 1
         valid = np.cumsum(edges, dtype=np.int8)[:n] > 0
-        keys = mix(ranks.runs(gram))
+        keys = ranks.runs(gram)
         packed = (keys & ~_INDEX) | np.arange(len(keys), dtype=U)
         place = window_minimum(packed, width - gram + 1) & _INDEX
         opens = valid.copy()
@@ -120,37 +121,58 @@ class Blocks:
         name = np.zeros(len(start), U)
         for rank in (*ranks.pairs(width, start), *ranks.pairs(width, start + count - 1), (count * 65536 + anchor - start).astype(U)):
             name = mix(name * _LEFT + rank)
-        return text, start, count, keys[anchor], name
+        return text, start, count, mix(keys[anchor]), name
+
+
+HALF = U(48)
+
+
+def packed(anchor: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """48 bits of the anchor and 48 of the block in a long and an int: what is sorted, in as few bytes as do."""
+    rest = block >> (U(64) - HALF)
+    return ((anchor >> (U(64) - HALF)) << U(16) | rest >> U(32)).view(np.int64), (rest & _INDEX).astype(np.uint32).view(np.int32)
+
+
+def names(anchor: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """One number that names a block within its document."""
+    high, low = packed(anchor, block)
+    return name_of(high, low)
+
+
+def name_of(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    return mix(high.view(U) * _LEFT + low.view(np.uint32).astype(U)).view(np.int64)
 
 
 def pair_rows(doc_ids: pa.Array, blocks: Blocks) -> pa.RecordBatch:
     """The distinct (anchor, block) pairs of each document of a batch."""
     ids = doc_ids.to_numpy(zero_copy_only=False)
-    order = np.lexsort((blocks.block, blocks.anchor, blocks.text))
-    text, anchor, block = blocks.text[order], blocks.anchor[order], blocks.block[order]
+    high, low = packed(blocks.anchor, blocks.block)
+    order = np.lexsort((low, high, blocks.text))
+    text, high, low = blocks.text[order], high[order], low[order]
     fresh = np.ones(len(order), bool)
-    fresh[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1]) | (block[1:] != block[:-1])
+    fresh[1:] = (text[1:] != text[:-1]) | (high[1:] != high[:-1]) | (low[1:] != low[:-1])
     return pa.RecordBatch.from_arrays(
-        [pa.array(anchor[fresh].view(np.int64)), pa.array(block[fresh].view(np.int64)), pa.array(ids[text[fresh]].astype(np.int64))],
-        names=["anchor", "block", "doc_id"],
+        [pa.array(high[fresh]), pa.array(low[fresh]), pa.array(ids[text[fresh]].astype(np.int64))], names=["high", "low", "doc_id"]
     )
 
 
+PAIRS = "high long, low int, doc_id long"
 WHOLE, PARTLY = 0, 1
-MARKS = "doc_id long, block long, anchor long, mark int"
+MARKS = "doc_id long, block long, mark int"
 
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Marks sorted (anchor, block, doc_id) rows: copies of an earlier document's block, and first blocks of mixed anchors.
+    """Marks sorted (high, low, doc_id) rows: copies of an earlier document's block, and first blocks of mixed anchors.
 
     Keeps one row between batches, and the first blocks of the present anchor that wait for a second one: one at most.
     """
     anchor = block = doc = None  # of the row before
-    waiting: tuple[int, int, int] | None = None  # the anchor's only block so far
+    waiting: tuple[int, int] | None = None  # document and name of the anchor's only block so far
     for batch in batches:
         if not batch.num_rows:
             continue
-        a, b, d = (c.to_numpy() for c in batch.columns)
+        high, low, d = (c.to_numpy() for c in batch.columns)
+        a, b = high >> 16, name_of(high, low)
         prior_a = np.append(a[0] if anchor is None else anchor, a[:-1])
         prior_b = np.append(b[0] if block is None else block, b[:-1])
         new_anchor, new_block = a != prior_a, (a != prior_a) | (b != prior_b)
@@ -166,36 +188,34 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = np.cumsum(new_anchor)[leads]
         # The anchor of the batch before goes on with another block: its blocks are mixed.
         goes_on = len(leads) > 0 and group[0] == 0
-        carried = [waiting] if goes_on and waiting is not None else []
+        carried = goes_on and waiting is not None
         mixed = np.bincount(group)[group] > 1 if len(leads) else np.zeros(0, bool)
         if goes_on:
             mixed[group == 0] = True
         partly = leads[mixed]
-        out_doc = [d[copies], d[partly]]
-        out_block = [b[copies], b[partly]]
-        out_anchor = [a[copies], a[partly]]
+        docs, blocks = [d[copies], d[partly]], [b[copies], b[partly]]
         marks = [np.full(copies.sum(), WHOLE, np.int32), np.full(len(partly), PARTLY, np.int32)]
-        for w in carried:
-            for column, value in zip((out_anchor, out_block, out_doc), w, strict=True):
-                column.append(np.array([value]))
+        if carried:
+            docs.append(np.array([waiting[0]]))
+            blocks.append(np.array([waiting[1]]))
             marks.append(np.array([PARTLY], np.int32))
         if len(leads):
-            waiting = None if mixed[-1] else (int(a[leads[-1]]), int(b[leads[-1]]), int(d[leads[-1]]))
+            waiting = None if mixed[-1] else (int(d[leads[-1]]), int(b[leads[-1]]))
         anchor, block = a[-1], b[-1]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(x).astype(np.int64)) for x in (out_doc, out_block, out_anchor)] + [pa.array(np.concatenate(marks))],
-            names=["doc_id", "block", "anchor", "mark"],
+            [pa.array(np.concatenate(x)) for x in (docs, blocks, marks)], names=["doc_id", "block", "mark"]
         )
 
 
 def mark_blocks(pairs: DataFrame) -> DataFrame:
-    """doc_id, block, anchor, mark for (anchor, block, doc_id) rows.
+    """doc_id, block (its name), mark for the rows of `pair_rows`.
 
     WHOLE: an earlier document has the block. PARTLY: the first document of a block whose anchor has other blocks too. A
     document has a pair once at most, so the most frequent anchor has as many rows as there are documents with it; they
     are read in order, one batch at a time, never gathered.
     """
-    return pairs.repartition("anchor").sortWithinPartitions("anchor", "block", "doc_id").mapInArrow(_mark, MARKS)
+    dealt = pairs.repartition(F.shiftright("high", 16))
+    return dealt.sortWithinPartitions("high", "low", "doc_id").mapInArrow(_mark, MARKS)
 
 
 def by_document(marks: DataFrame) -> DataFrame:
@@ -212,3 +232,14 @@ def covered(n: int, starts: np.ndarray, counts: np.ndarray, width: int) -> np.nd
     np.add.at(edges, starts, 1)
     np.add.at(edges, np.minimum(starts + counts - 1 + width, n), -1)
     return np.cumsum(edges)[:n] > 0
+
+
+def member_keys(text: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Values that stay apart when they belong to different texts of a batch."""
+    return mix(values.view(U) + text.astype(U) * _RIGHT)
+
+
+def listed(column: pa.Array) -> np.ndarray:
+    """`member_keys` of a list column, one list for each text; null lists have none."""
+    flat, sizes = column.flatten().to_numpy(zero_copy_only=False), pa.compute.list_value_length(column).fill_null(0).to_numpy()
+    return member_keys(np.repeat(np.arange(len(column)), sizes), flat) if len(flat) else np.zeros(0, U)

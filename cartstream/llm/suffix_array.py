@@ -1,11 +1,15 @@
 """Byte runs that repeat across documents, by distributed prefix doubling.
 
 A position's rank at some width names the bytes that follow it; the rank at twice the width comes from the pair of ranks at
-the position and one width further. Spark sorts (rank pair, document) rows; who is alone in its class drops out, and the
-rest are ranked again at a larger offset until they are unique or past the threshold. Three things keep this small:
-up to 16 bytes ranks are hashes, equal for equal bytes, so no exchange is needed; at 16 bytes only sampled positions are
-sorted, chosen by content so that each string of `width` bytes has one (`repeats`); and past that, equal blocks of positions are
-ranked as one. Only the first document of each class goes on to the last round, which sorts the pairs at `width` bytes.
+the position and one width further. Spark sorts (rank, document) rows; who is alone in its class drops out, and the rest are
+ranked again at a larger offset until they are unique or past the threshold. Three things keep this small:
+
+- up to 16 bytes ranks are hashes, equal for equal bytes, so no exchange is needed;
+- at 16 bytes only sampled positions are sorted, chosen by content so that each string of `width` bytes has one, and equal blocks of
+  positions around a sampled one are ranked as one (`repeats`);
+- only the first document of each class goes on. Spark sorts these blocks' bytes by their 16-byte rank; strings that are equal
+  share it, so the pairs of ranks at `width` bytes are compared within a run of the sorted rows. Where a run is long, its
+  pairs become rows of their own, which Spark sorts.
 """
 
 from __future__ import annotations
@@ -18,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartstream.llm.repeats import Blocks, Doubling, by_document, covered, mark_blocks, pair_rows
+from cartstream.llm.common import id_and_text
+from cartstream.llm.repeats import PAIRS, Blocks, Doubling, by_document, covered, listed, mark_blocks, member_keys, names, pair_rows
 from cartstream.llm.textarrays import U, byte_values, flatten, mix
 
 GRAM = 16
@@ -37,44 +42,99 @@ def _pairs(width: int):
     return run
 
 
-def _windows(hashes: np.ndarray, blocks: Blocks, chosen: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First byte, and the two ranks, of all windows of the chosen blocks."""
-    counts = blocks.count[chosen]
-    at = np.repeat(blocks.start[chosen] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-    return at, *Doubling(hashes).pairs(width, at)
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each start, as many as its count."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
 
 
-def _lists(column: pa.Array) -> Iterator[np.ndarray]:
-    """The values of each list of a list column, as unsigned numbers; none for a null list."""
-    flat = column.values.to_numpy(zero_copy_only=False)
-    ends = column.offsets.to_numpy()
-    for k in range(len(column)):
-        yield flat[ends[k] : ends[k + 1]].view(U) if column[k].is_valid else np.zeros(0, U)
+def _window_name(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return mix(left * U(3) ^ mix(right)).view(np.int64)
 
 
-def _candidates(width: int):
-    """Rank pairs at `width` of the windows in the blocks that are to be compared."""
+def _block_bytes(width: int):
+    """The bytes of the blocks that are to be compared: anchor, doc_id, bytes. Input: doc_id, text, whole, partly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], []]
-            texts = batch.column(1)
-            for k, partly in enumerate(_lists(batch.column(2))):
-                data, offsets = flatten(texts.slice(k, 1))
-                hashes = _hashes(data)
-                blocks = Blocks(hashes, offsets, width, GRAM)
-                _, left, right = _windows(hashes, blocks, np.isin(blocks.block, partly), width)
-                both = np.unique(np.stack([left, right], 1), axis=0) if len(left) else np.zeros((0, 2), U)
-                for column, values in zip(out, (both[:, 0], both[:, 1], np.full(len(both), batch.column(0)[k].as_py(), np.int64)), strict=True):
-                    column.append(values)
-            arrays = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
+            data, offsets = flatten(batch.column(1))
+            blocks = Blocks(_hashes(data), offsets, width, GRAM)
+            own = member_keys(blocks.text, names(blocks.anchor, blocks.block))
+            chosen = np.flatnonzero(np.isin(own, listed(batch.column(3))))
+            chosen = chosen[np.unique(own[chosen], return_index=True)[1]]
+            begin, sizes = blocks.start[chosen], blocks.count[chosen] + width - 1
+            ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
+            raw = np.ascontiguousarray(data[_spread(begin, sizes)])
+            parts = pa.Array.from_buffers(pa.binary(), len(chosen), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
+            ids = batch.column(0).to_numpy()[blocks.text[chosen]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(a.view(np.int64) if a.dtype == U else a) for a in arrays], names=["left", "right", "doc_id"]
+                [pa.array(blocks.anchor[chosen].view(np.int64)), pa.array(ids), parts], names=["anchor", "doc_id", "bytes"]
             )
 
     return run
 
 
+CHUNK_ROWS = 8192
+LONG_RUN = 1 << 18  # pairs of one anchor that a task keeps; those of a longer run are sorted by Spark
+RESOLVED = "doc_id long, window long, left long, right long"
+_NONE = np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int64)
+
+
+def _classes(left: np.ndarray, right: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by (left, right, doc), and in that order which rows are the first of their rank pair."""
+    order = np.lexsort((doc, right, left))
+    opens = np.ones(len(order), bool)
+    opens[1:] = (left[order][1:] != left[order][:-1]) | (right[order][1:] != right[order][:-1])
+    return order, opens
+
+
+def _resolve(width: int):
+    """Of blocks sorted by (anchor, doc_id): the windows that an earlier document has.
+
+    A row has either a window's name (found), or a rank pair (of a long run, for Spark to sort). Between chunks the
+    windows of the last anchor are kept with their first document.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, kept_anchor, long_run = _NONE, None, False
+        for batch in batches:
+            for at in range(0, batch.num_rows, CHUNK_ROWS):
+                part = batch.slice(at, CHUNK_ROWS)
+                anchors = part.column(0).to_numpy()
+                data, offsets = flatten(part.column(2))
+                sizes = np.diff(offsets) - width + 1
+                left, right = Doubling(_hashes(data)).pairs(width, _spread(offsets[:-1], sizes))
+                rows = left, right, np.repeat(part.column(1).to_numpy(), sizes)
+                anchor = np.repeat(anchors, sizes)
+                if anchors[0] != kept_anchor:
+                    kept, long_run = _NONE, False
+                put_off = (anchor == anchors[0]) & long_run
+                sent = [x[put_off] for x in rows]
+                own = [np.concatenate([k, x[~put_off]]) for k, x in zip(kept, rows, strict=True)]
+                order, opens = _classes(*own)
+                first = own[2][order][np.maximum.accumulate(np.where(opens, np.arange(len(order)), 0))] if len(order) else own[2]
+                found = order[own[2][order] != first]
+                if anchors[-1] != kept_anchor:
+                    kept_anchor, kept, long_run = anchors[-1], _NONE, False
+                if not long_run:
+                    last = [np.concatenate([k, x[anchor == kept_anchor]]) for k, x in zip(kept, rows, strict=True)]
+                    order, opens = _classes(*last)
+                    kept = tuple(x[order[opens]] for x in last)
+                    if len(kept[0]) > LONG_RUN:
+                        # From here on Spark compares this anchor's windows, the known ones among them.
+                        sent = [np.concatenate([x, k]) for x, k in zip(sent, kept, strict=True)]
+                        kept, long_run = _NONE, True
+                n, m = len(found), len(sent[0])
+                is_pair = np.arange(n + m) >= n
+                window = np.append(_window_name(own[0][found], own[1][found]), np.zeros(m, np.int64))
+                pair = [np.append(np.zeros(n, np.int64), x.view(np.int64)) for x in sent[:2]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.append(own[2][found], sent[2])), pa.array(window, mask=is_pair), *(pa.array(x, mask=~is_pair) for x in pair)],
+                    names=["doc_id", "window", "left", "right"],
+                )
+
+    return run
+
+
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (left, right, doc_id): those whose class has a smaller document."""
     last = None
@@ -90,40 +150,54 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.where(lead >= 0, doc[np.maximum(lead, 0)], last[2] if last else 0)
         last = (left[-1], right[-1], first[-1])
         found = doc != first
-        name = mix(left[found].view(U) * U(3) ^ mix(right[found].view(U)))
-        yield pa.RecordBatch.from_arrays([pa.array(doc[found]), pa.array(name.view(np.int64))], names=["doc_id", "window"])
+        name = _window_name(left[found].view(U), right[found].view(U))
+        yield pa.RecordBatch.from_arrays([pa.array(doc[found]), pa.array(name)], names=["doc_id", "window"])
 
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
 
 
 def _cut(width: int, keep: bool):
+    """Input: doc_id, text, whole, partly, windows."""
+
+    def gone_of(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        whole, partly, windows = (listed(batch.column(k)) for k in (2, 3, 4))
+        if not len(whole) and not len(windows):
+            return np.zeros(len(data), bool)
+        hashes = _hashes(data)
+        blocks = Blocks(hashes, offsets, width, GRAM)
+        own = member_keys(blocks.text, names(blocks.anchor, blocks.block))
+        all_of = np.isin(own, whole)
+        starts, counts = blocks.start[all_of], blocks.count[all_of]
+        some = np.flatnonzero(np.isin(own, partly))
+        if len(windows) and len(some):
+            at = _spread(blocks.start[some], blocks.count[some])
+            text = np.repeat(blocks.text[some], blocks.count[some])
+            found = np.zeros(len(at), bool)
+            for k in range(0, len(at), 1 << 18):
+                part = slice(k, k + (1 << 18))
+                begin, end = at[part].min(), at[part].max() + width
+                pair = Doubling(hashes[begin:end]).pairs(width, at[part] - begin)
+                found[part] = np.isin(member_keys(text[part], _window_name(*pair)), windows)
+            starts, counts = np.append(starts, at[found]), np.append(counts, np.ones(found.sum(), np.int64))
+        return covered(len(data), starts, counts, width)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, removed, spans, kept, digests = [], [], [], [], []
-            texts = batch.column(1)
-            lists = zip(_lists(batch.column(2)), _lists(batch.column(3)), _lists(batch.column(4)), strict=True)
-            for k, (whole, partly, windows) in enumerate(lists):
-                data, offsets = flatten(texts.slice(k, 1))
-                out, n_spans = data, 0
-                if len(whole) or len(windows):
-                    hashes = _hashes(data)
-                    blocks = Blocks(hashes, offsets, width, GRAM)
-                    all_of = np.isin(blocks.block, whole)
-                    starts, counts = blocks.start[all_of], blocks.count[all_of]
-                    if len(windows):
-                        at, left, right = _windows(hashes, blocks, np.isin(blocks.block, partly), width)
-                        at = at[np.isin(mix(left * U(3) ^ mix(right)), windows)]
-                        starts, counts = np.append(starts, at), np.append(counts, np.ones(len(at), np.int64))
-                    gone = covered(len(data), starts, counts, width)
-                    out, n_spans = data[~gone], int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(gone) else 0
-                sizes.append(len(data))
-                removed.append(len(data) - len(out))
-                spans.append(n_spans)
-                raw = out.tobytes()
+            data, offsets = flatten(batch.column(1))
+            gone = gone_of(batch, data, offsets)
+            opens = gone.copy()
+            opens[1:] &= ~gone[:-1]
+            firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
+            opens[firsts] = gone[firsts]
+            removed, spans = (np.diff(np.append(0, np.cumsum(x))[offsets]) for x in (gone, opens))
+            kept, digests = [], []
+            for begin, end, n in zip(offsets[:-1].tolist(), offsets[1:].tolist(), removed.tolist(), strict=True):
+                own = data[begin:end]
+                raw = (own[~gone[begin:end]] if n else own).tobytes()
                 kept.append(raw if keep else None)
                 digests.append(hashlib.sha256(raw).hexdigest())
-            numbers = [pa.array(c, pa.int64()) for c in (sizes, removed, spans)]
+            numbers = [pa.array(c, pa.int64()) for c in (np.diff(offsets), removed, spans)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *numbers, pa.array(kept, pa.binary()), pa.array(digests, pa.string())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"],
@@ -144,16 +218,18 @@ def remove_repeated_bytes(docs: DataFrame, width: int = 50, keep: bool = True) -
     """
     if width < 2 * GRAM:
         raise ValueError(f"width must be at least {2 * GRAM}")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = id_and_text(docs)
     named = rows.filter("doc_id is not null")
-    marks = by_document(mark_blocks(named.mapInArrow(_pairs(width), "anchor long, block long, doc_id long")))
-    # Both joins of the texts have the same exchange, which is read twice.
-    texts = named.join(marks, "doc_id", "left")
-    compared = texts.filter(F.size("partly") > 0).select("doc_id", "text", "partly")
-    pairs = compared.mapInArrow(_candidates(width), "left long, right long, doc_id long")
+    marks = by_document(mark_blocks(named.mapInArrow(_pairs(width), PAIRS)))
+    # The texts and marks are joined twice, over the same columns, so that both joins share their exchanges.
+    texts = named.join(marks, "doc_id", "left").select("doc_id", "text", "whole", "partly")
+    blocks = texts.filter(F.size("partly") > 0).mapInArrow(_block_bytes(width), "anchor long, doc_id long, bytes binary")
+    resolved = blocks.repartition("anchor").sortWithinPartitions("anchor", "doc_id").mapInArrow(_resolve(width), RESOLVED)
+    put_off = resolved.filter("left is not null").select("left", "right", "doc_id")
+    later = put_off.repartition("left", "right").sortWithinPartitions("left", "right", "doc_id").mapInArrow(_later, "doc_id long, window long")
     windows = (
-        pairs.repartition("left", "right").sortWithinPartitions("left", "right", "doc_id")
-        .mapInArrow(_later, "doc_id long, window long").groupBy("doc_id").agg(F.collect_set("window").alias("windows"))
+        resolved.filter("window is not null").select("doc_id", "window").unionByName(later)
+        .groupBy("doc_id").agg(F.collect_set("window").alias("windows"))
     )
     none = F.lit(None).cast("array<long>")
     whole = texts.join(windows, "doc_id", "left").select("doc_id", "text", "whole", "partly", "windows")

@@ -9,7 +9,8 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartstream.operators.ordered import running_sum
+from cartstream.operators.ordered import join_groups, running_sum
+from cartstream.session import scratch
 from cartstream.sources.folders import delete_folder, finished_folders, finished_since
 
 TARGET_BYTES = 134_217_728
@@ -58,31 +59,41 @@ def rewrite(
 ) -> tuple[int, int]:
     """Rewrite a Parquet table into files of about `target` bytes at a new place.
 
-    Rows follow their file's bin of the compaction plan, so a task writes about one
-    bin, whatever the values in it. Returns (rows before, rows after) after checking
-    that they agree; the source is left alone, the caller switches over to the new
-    folder.
+    Each bin of the compaction plan is one task's rows, whatever the values in it. Returns (rows before, rows after) after checking
+    that they agree; the source is left alone, the caller switches over to the new folder. `due` tells whether a
+    rewrite is worth while.
     """
     plan = plan_compaction(list_files(spark, source, partition_by), ["partition"], target)
-    bins = plan.select("file_path", F.concat_ws("#", "partition", "bin").alias("_bin"))
-    n_bins = max(1, bins.select("_bin").distinct().count())
     rows = spark.read.parquet(source)
-    placed = (
-        rows.select("*", F.col("_metadata.file_path").alias("file_path"))
-        .join(bins, "file_path")
-        .repartition(n_bins, "_bin")
-        .select(*rows.columns)
-    )
-    writer = placed.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(destination)
+    with scratch(_numbered_bins(plan)) as numbered:
+        n_bins = (numbered.df.agg(F.max("_bin")).first()[0] or 0) + 1
+        placed = (
+            rows.select("*", F.col("_metadata.file_path").alias("file_path"))
+            .join(numbered.df, "file_path").repartitionById(n_bins, F.col("_bin")).select(*rows.columns)
+        )
+        writer = placed.write.mode("errorifexists")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(destination)
     before, after = rows.count(), spark.read.parquet(destination).count()
     if before != after:
         raise RuntimeError(f"compaction of {source} lost rows: {before} before, {after} after")
     return before, after
 
 
+def _numbered_bins(plan: DataFrame) -> DataFrame:
+    """(file_path, _bin) with dense bin numbers; there is one bin per `target` bytes, so few are numbered in one task."""
+    bins = plan.select("partition", "bin").distinct()
+    number = (F.row_number().over(Window.orderBy("partition", "bin")) - 1).alias("_bin")
+    return join_groups(plan, bins.select("partition", "bin", number), ["partition", "bin"]).select("file_path", "_bin")
+
+
+def due(spark: SparkSession, source: str, partition_by: list[str] | None = None, target: int = TARGET_BYTES) -> bool:
+    """Is there a bin of several files? A table whose bins are single files is left alone."""
+    plan = plan_compaction(list_files(spark, source, partition_by), ["partition"], target)
+    return not compaction_groups(plan, ["partition"]).filter("n_files > 1").isEmpty()
+
+
 def expired_snapshots(
     snapshots: DataFrame, now, older_than: str = OLDER_THAN, retain_last: int = RETAIN_LAST
 ) -> DataFrame:
@@ -139,8 +150,10 @@ class VersionedTable:
         return new
 
     def compact(self, target: int = TARGET_BYTES) -> int:
-        """Rewrite the newest version's files to about `target` bytes each, as the next version."""
+        """Rewrite the newest version's files to about `target` bytes each, as the next version; not if they are already."""
         ids = self.versions()
+        if not due(self.spark, self.path(), self.partition_by, target):
+            return ids[-1]
         source, new = self.path(), ids[-1] + 1
         delete_folder(self.spark, self._at(new))  # left over from a run that did not finish
         rewrite(self.spark, source, self._at(new), self.partition_by, target)

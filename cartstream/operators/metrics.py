@@ -35,13 +35,17 @@ def from_micros(us: Column) -> Column:
 
 
 def with_labels(samples: DataFrame, names: list[str]) -> DataFrame:
-    """(ts, metric, value) with the named labels as columns; series are grouped by columns."""
+    """(ts, metric, value) with the named labels as columns; a series is its metric and its labels."""
     labels = [F.col("labels")[n].alias(n) for n in names]
     return samples.select("ts", "metric", "value", *labels)
 
 
-def select_series(samples: DataFrame, matchers: dict[str, str], equal: dict[str, str] | None = None) -> DataFrame:
-    """Samples whose labels match: `matchers` are regexes over the whole value, `equal` exact values."""
+def select_series(
+    samples: DataFrame, matchers: dict[str, str], equal: dict[str, str] | None = None, metric: str | None = None
+) -> DataFrame:
+    """Samples of a metric whose labels match: `matchers` are regexes over the whole value, `equal` exact values."""
+    if metric is not None:
+        samples = samples.filter(F.col("metric") == metric)
     tests = [F.coalesce(F.col("labels")[n], F.lit("")).rlike(f"^(?:{p})$") for n, p in matchers.items()]
     tests += [F.coalesce(F.col("labels")[n], F.lit("")) == v for n, v in (equal or {}).items()]
     return samples.filter(reduce(lambda a, b: a & b, tests)) if tests else samples
@@ -267,3 +271,16 @@ def alert_intervals(
 # The alert rules, (threshold, hold seconds).
 ALERT_RULES = {"job_restarts": (0, 300), "consumer_lag_high": (1000, 300), "backpressure_active": (0, 120)}
 EVALUATION_STEP = 60
+
+
+def alert_rules(vectors: dict[str, DataFrame], series: list[str], stretch: int = 1, **kw) -> DataFrame:
+    """(rule, series…, started_at, last_true_at, n_ticks, fired_at): the rules in `ALERT_RULES`, each over its instant vector.
+
+    Rules are evaluated every `EVALUATION_STEP` seconds. `stretch` multiplies step and hold for sparser vectors.
+    """
+    parts = []
+    for rule, vector in vectors.items():
+        threshold, hold = ALERT_RULES[rule]
+        found = alert_intervals(vector, series, threshold, hold * stretch, EVALUATION_STEP * stretch, **kw)
+        parts.append(found.select(F.lit(rule).alias("rule"), *found.columns))
+    return reduce(DataFrame.unionByName, parts)

@@ -82,7 +82,8 @@ def ingest_product_variants(t):
 
 
 @query("variant_position", f"""
-SELECT product_id, id AS variant_id, position AS list_position, position = position AS agrees FROM {VARIANTS}""")
+SELECT product_id, id AS variant_id, place AS list_position, place = position AS agrees
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY product_id ORDER BY id) AS INTEGER) AS place FROM {VARIANTS})""")
 def variant_position(t):
     return ingest.explode_variants(a.raw_products(t), position=True).select(
         F.col("id").alias("product_id"), F.col("v.id").alias("variant_id"), "list_position",
@@ -232,7 +233,7 @@ SELECT event_id, {dec('price')} AS price, TRY_CAST(CASE WHEN l % 2 = 0 THEN 'abc
        {wall('updated_at')} AS wallclock, {wall('updated_at')} + INTERVAL 5 HOUR AS instant,
        CAST(floor(epoch({wall('updated_at')} + INTERVAL 5 HOUR)) AS BIGINT) AS unix_time,
        least({wall('updated_at')} + INTERVAL 5 HOUR, TIMESTAMP '1998-01-01 00:00:00') AS clamped,
-       CASE WHEN fulfillment_status = 'active' THEN created_at END AS published_at,
+       CASE WHEN l % 3 = 0 THEN created_at END AS published_at,
        CAST(trunc(grams * 453.592::DOUBLE) AS INTEGER) AS grams, CAST(CAST(grams AS DECIMAL(20,2)) AS VARCHAR) AS grams_text,
        quantity / 1000.0::DOUBLE AS thousandth
 FROM (SELECT *, quantity AS l FROM {LINES})""")
@@ -240,13 +241,14 @@ def scalar_money_time(t):
     r = a.raw_order_details(t)
     instant = fn.ts_instant(F.col("updated_at"))
     limit = F.lit("1998-01-01 00:00:00").cast("timestamp")
+    status = F.when(F.col("quantity") % 3 == 0, F.lit("active")).otherwise(F.col("fulfillment_status"))
     doubtful = F.when(F.col("quantity") % 2 == 0, F.lit("abc")).otherwise(F.col("price"))
     return r.select(
         "event_id", fn.money(F.col("price")).alias("price"), fn.money(doubtful, "null").alias("price_or_null"),
         fn.ts_wallclock(F.col("updated_at")).alias("wallclock"), instant.cast("timestamp_ntz").alias("instant"),
         fn.unix_floor(instant).alias("unix_time"),
         fn.clamp_to(instant, limit).cast("timestamp_ntz").alias("clamped"),
-        fn.published_when_active(F.col("fulfillment_status"), F.col("created_at")).alias("published_at"),
+        fn.published_when_active(status, F.col("created_at")).alias("published_at"),
         fn.grams(F.col("grams").cast("double")).alias("grams"), fn.money_text(F.col("grams")).alias("grams_text"),
         fn.millis_to_seconds(F.col("quantity").cast("double")).alias("thousandth"),
     )
@@ -402,18 +404,23 @@ def evolve_schema(t):
 WITH v AS {VARIANTS}, p AS {GOODS}, i AS {LEVELS}
 SELECT 'product_fields_present' AS "check", count(*) FILTER (title = '' OR handle = '' OR tags = '') AS violations FROM p
 UNION ALL SELECT 'one_to_three_variants', (SELECT count(*) FROM part WHERE p_partkey % 10 < 2)
-UNION ALL SELECT 'product_time_parses', 0
+UNION ALL SELECT 'product_time_parses', count(*) FILTER (id % 50 = 7) FROM p
 UNION ALL SELECT 'variant_sku_prefix', count(*) FILTER (sku NOT LIKE 'SKU-%') FROM v
 UNION ALL SELECT 'variant_position_positive', count(*) FILTER (position < 1) FROM v
-UNION ALL SELECT 'variant_parent_id', 0
+UNION ALL SELECT 'variant_parent_id', count(DISTINCT product_id) FILTER (product_id % 60 = 11) FROM v
 UNION ALL SELECT 'available_present', count(*) FILTER (coalesce(available, -1) < 0) FROM i
 UNION ALL SELECT 'location_in_range', count(*) FILTER (location_id NOT BETWEEN 1 AND 3) FROM i
-UNION ALL SELECT 'level_time_parses', 0
+UNION ALL SELECT 'level_time_parses', count(*) FILTER (inventory_item_id % 70 = 3) FROM i
 UNION ALL SELECT 'product_id_unique', count(*) - count(DISTINCT id) FROM p
 UNION ALL SELECT 'variant_id_unique', count(*) - count(DISTINCT id) FROM v
 UNION ALL SELECT 'inventory_item_id_unique', count(*) - count(DISTINCT inventory_item_id) FROM v""")
 def invariants(t):
-    return quality.invariants(a.raw_products(t), a.raw_inventory(t))
+    """Over events some of which have a bad time or a variant of another product."""
+    products = a.raw_products(t).withColumn("created_at", F.when(F.col("id") % 50 == 7, "soon").otherwise(F.col("created_at")))
+    strange = F.transform("variants", lambda v: v.withField("product_id", F.lit(0).cast("bigint")))
+    products = products.withColumn("variants", F.when(F.col("id") % 60 == 11, strange).otherwise(F.col("variants")))
+    levels = a.raw_inventory(t).withColumn("updated_at", F.when(F.col("inventory_item_id") % 70 == 3, "?").otherwise(F.col("updated_at")))
+    return quality.invariants(products, levels)
 
 
 # -- joins -------------------------------------------------------------------

@@ -115,12 +115,13 @@ def read_only_sql(t):
 
 SAMPLES = f"({a.sql_frame(a.SAMPLES, 'events')})"
 HOUR = 3600
-SERIES = ["topic", "host"]
+LABELS = ["topic", "host"]
+SERIES = ["metric", *LABELS]
 
 
-@query("select_series", f"SELECT ts, topic, host, counter AS value FROM {SAMPLES} WHERE regexp_full_match(topic, 'shopify[.].*r.*') AND host = 'host-1'")
+@query("select_series", f"SELECT ts, topic, host, counter AS value FROM {SAMPLES} WHERE metric = 'events_produced_total' AND regexp_full_match(topic, 'shopify[.].*r.*') AND host = 'host-1'")
 def select_series(t):
-    out = metrics.select_series(a.samples(t), {"topic": "shopify[.].*r.*"}, {"host": "host-1"})
+    out = metrics.select_series(a.samples(t), {"topic": "shopify[.].*r.*"}, {"host": "host-1"}, "events_produced_total")
     return metrics.with_labels(out, ["topic", "host"]).select("ts", "topic", "host", "value")
 
 
@@ -132,18 +133,18 @@ def last_interval(t):
 def instant_sql(value: str, step: int, lookback: int) -> str:
     """Newest sample at each tick by an as-of join over a full tick grid per series."""
     return f"""(
-SELECT g.topic, g.host, g.tick, s.value FROM (
-  SELECT topic, host, unnest(generate_series(lo, hi, INTERVAL {step} SECOND)) AS tick FROM (
-    SELECT topic, host, to_timestamp(ceil(epoch(min(ts)) / {step}) * {step})::TIMESTAMP AS lo,
+SELECT g.metric, g.topic, g.host, g.tick, s.value FROM (
+  SELECT metric, topic, host, unnest(generate_series(lo, hi, INTERVAL {step} SECOND)) AS tick FROM (
+    SELECT metric, topic, host, to_timestamp(ceil(epoch(min(ts)) / {step}) * {step})::TIMESTAMP AS lo,
            to_timestamp((floor(epoch(max(ts)) / {step}) + {lookback // step + 1}) * {step})::TIMESTAMP AS hi
     FROM {SAMPLES} GROUP BY ALL)) g
-ASOF JOIN (SELECT topic, host, ts, {value} AS value FROM {SAMPLES}) s ON s.topic = g.topic AND s.host = g.host AND s.ts <= g.tick
+ASOF JOIN (SELECT metric, topic, host, ts, {value} AS value FROM {SAMPLES}) s ON s.metric = g.metric AND s.topic = g.topic AND s.host = g.host AND s.ts <= g.tick
 WHERE g.tick - s.ts < INTERVAL {lookback} SECOND)"""
 
 
 def gauge_vector(t, step=HOUR, lookback=6 * HOUR, value="gauge"):
     return metrics.instant_vector(
-        metrics.with_labels(a.samples(t, value), SERIES), SERIES, step, lookback)
+        metrics.with_labels(a.samples(t, value), LABELS), SERIES, step, lookback)
 
 
 @query("instant_vector", f"SELECT * FROM {instant_sql('gauge', HOUR, 6 * HOUR)}")
@@ -156,36 +157,36 @@ def sum_gauge(t):
     return metrics.sum_gauge(gauge_vector(t), ["topic", "tick"])
 
 
-@query("latest_values", f"SELECT topic, host, arg_max(gauge, ts) AS value FROM {SAMPLES} GROUP BY ALL")
+@query("latest_values", f"SELECT metric, topic, host, arg_max(gauge, ts) AS value FROM {SAMPLES} GROUP BY ALL")
 def latest_values(t):
-    return metrics.latest_values(metrics.with_labels(a.samples(t, "gauge"), SERIES), SERIES)
+    return metrics.latest_values(metrics.with_labels(a.samples(t, "gauge"), LABELS), SERIES)
 
 
-@query("sum_all", f"SELECT sum(value) AS value FROM (SELECT arg_max(gauge, ts) AS value FROM {SAMPLES} GROUP BY topic, host)")
+@query("sum_all", f"SELECT sum(value) AS value FROM (SELECT arg_max(gauge, ts) AS value FROM {SAMPLES} GROUP BY metric, topic, host)")
 def sum_all(t):
     return metrics.sum_all(latest_values(t))
 
 
 @query("threshold_state", f"""
-SELECT topic, host, tick, CASE WHEN value >= 1000 THEN 'red' WHEN value >= 500 THEN 'orange' ELSE 'green' END AS state,
+SELECT metric, topic, host, tick, CASE WHEN value >= 1000 THEN 'red' WHEN value >= 500 THEN 'orange' ELSE 'green' END AS state,
        CASE WHEN value >= 1 THEN 'on' ELSE 'off' END AS switch
 FROM (SELECT * REPLACE (value / 5 AS value) FROM {instant_sql('gauge', HOUR, 6 * HOUR)})""")
 def threshold_state(t):
     v = F.col("value") / 5
     return gauge_vector(t).select(
-        "topic", "host", "tick", metrics.threshold_state(v, metrics.LAG_STEPS).alias("state"),
+        *SERIES, "tick", metrics.threshold_state(v, metrics.LAG_STEPS).alias("state"),
         metrics.threshold_state(v, metrics.SWITCH_STEPS).alias("switch"))
 
 
 def windows_sql(window: int, step: int) -> str:
     """Samples joined with every window [end - window, end) they fall in, growth inside each by lag."""
     return f"""(
-SELECT topic, host, window_end, CASE WHEN count(*) > 1 THEN sum(gain) END AS increase, count(*) AS n_samples,
+SELECT metric, topic, host, window_end, CASE WHEN count(*) > 1 THEN sum(gain) END AS increase, count(*) AS n_samples,
        CASE WHEN count(*) > 1 AND max(us) > min(us) THEN sum(gain) / ((max(us) - min(us)) / 1000000.0::DOUBLE) END AS rate
 FROM (
-  SELECT topic, host, window_end, us, CASE WHEN p IS NULL THEN 0 WHEN v >= p THEN v - p ELSE v END AS gain FROM (
-    SELECT *, lag(v) OVER (PARTITION BY topic, host, window_end ORDER BY us) AS p FROM (
-      SELECT topic, host, counter AS v, epoch_us(ts) AS us,
+  SELECT metric, topic, host, window_end, us, CASE WHEN p IS NULL THEN 0 WHEN v >= p THEN v - p ELSE v END AS gain FROM (
+    SELECT *, lag(v) OVER (PARTITION BY metric, topic, host, window_end ORDER BY us) AS p FROM (
+      SELECT metric, topic, host, counter AS v, epoch_us(ts) AS us,
              unnest(generate_series(epoch_us(ts) // {step * 1000000} + 1, (epoch_us(ts) + {window * 1000000}) // {step * 1000000})) AS k,
              to_timestamp(k * {step})::TIMESTAMP AS window_end
       FROM {SAMPLES})))
@@ -193,20 +194,20 @@ GROUP BY ALL)"""
 
 
 def counters(t):
-    return metrics.with_labels(a.samples(t), SERIES)
+    return metrics.with_labels(a.samples(t), LABELS)
 
 
-@query("counter_increase", f"SELECT topic, host, window_end, increase, n_samples FROM {windows_sql(6 * HOUR, HOUR)}")
+@query("counter_increase", f"SELECT metric, topic, host, window_end, increase, n_samples FROM {windows_sql(6 * HOUR, HOUR)}")
 def counter_increase(t):
     return metrics.counter_increase(counters(t), SERIES, 6 * HOUR, HOUR).drop("rate")
 
 
-@query("counter_rate", f"SELECT topic, host, window_end, round(rate, 9) AS rate FROM {windows_sql(6 * HOUR, 6 * HOUR)}")
+@query("counter_rate", f"SELECT metric, topic, host, window_end, round(rate, 9) AS rate FROM {windows_sql(6 * HOUR, 6 * HOUR)}")
 def counter_rate(t):
     return metrics.counter_rate(counters(t), SERIES, 6 * HOUR, 6 * HOUR).withColumn("rate", F.round("rate", 9))
 
 
-@query("counter_rate_uneven", f"SELECT topic, host, window_end, round(rate, 9) AS rate FROM {windows_sql(10 * HOUR, 4 * HOUR)}")
+@query("counter_rate_uneven", f"SELECT metric, topic, host, window_end, round(rate, 9) AS rate FROM {windows_sql(10 * HOUR, 4 * HOUR)}")
 def counter_rate_uneven(t):
     return metrics.counter_rate(counters(t), SERIES, 10 * HOUR, 4 * HOUR).withColumn("rate", F.round("rate", 9))
 
@@ -227,7 +228,7 @@ STAGES = {"produced": "metric = 'events_produced_total'", "consumed": "metric =
 
 @query("funnel", " UNION ALL ".join(stage_sql(n, c) for n, c in STAGES.items()))
 def funnel(t):
-    rows = metrics.with_labels(a.samples(t), SERIES)
+    rows = metrics.with_labels(a.samples(t), LABELS)
     stages = {
         n: metrics.sum_rate(rows.filter(c), SERIES, ["topic"], 12 * HOUR, 12 * HOUR).withColumn("rate", F.round("rate", 6))
         for n, c in STAGES.items()
@@ -290,19 +291,34 @@ FROM (SELECT {series}, min(k) AS a, max(k) AS b, count(*) AS n_ticks FROM (
     SELECT {series}, CAST(epoch(tick) AS BIGINT) // {step} AS k FROM {vector} WHERE value > {threshold})) GROUP BY {series}, run)"""
 
 
-@query("alert_intervals", alert_sql(instant_sql("gauge", HOUR, 6 * HOUR), "topic, host", 4000, 2 * HOUR, HOUR))
+@query("alert_intervals", alert_sql(instant_sql("gauge", HOUR, 6 * HOUR), "metric, topic, host", 4000, 2 * HOUR, HOUR))
 def alert_intervals(t):
     return metrics.alert_intervals(gauge_vector(t), SERIES, 4000, 2 * HOUR, HOUR)
 
 
 @query("alert_restarts", alert_sql(
-    f"(SELECT topic, host, window_end AS tick, increase AS value FROM {windows_sql(6 * HOUR, HOUR)})", "topic, host", 50, 3 * HOUR, HOUR))
+    f"(SELECT metric, topic, host, window_end AS tick, increase AS value FROM {windows_sql(6 * HOUR, HOUR)})", "metric, topic, host", 50, 3 * HOUR, HOUR))
 def alert_restarts(t):
     """The rule on a counter: growth over a sliding window above a bound, held for three hours."""
     vector = metrics.counter_increase(counters(t), SERIES, 6 * HOUR, HOUR)
     return metrics.alert_intervals(vector, SERIES, 50, 3 * HOUR, HOUR, tick="window_end", value="increase")
 
 
+RULES = {"job_restarts": 50, "consumer_lag_high": 1, "backpressure_active": 3000}
+
+
+@query("alert_rules", " UNION ALL ".join(
+    "SELECT '{0}' AS rule, * FROM ({1})".format(rule, alert_sql(
+        "(SELECT * REPLACE (value - {0} AS value) FROM {1})".format(less, instant_sql("gauge", HOUR, 6 * HOUR)),
+        "metric, topic, host", metrics.ALERT_RULES[rule][0], 60 * metrics.ALERT_RULES[rule][1], HOUR))
+    for rule, less in RULES.items()))
+def alert_rules(t):
+    """The three rules with their thresholds and holds, an hour of the sparse test samples for a minute."""
+    vector = gauge_vector(t)
+    shifted = {rule: vector.withColumn("value", F.col("value") - less) for rule, less in RULES.items()}
+    return metrics.alert_rules(shifted, SERIES, stretch=60)
+
+
 # Errors of the test stream are minutes apart, so the windows are scaled up.
 BURST_WINDOW = 2 * HOUR
 

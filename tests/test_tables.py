@@ -340,6 +340,15 @@ def test_rewrite_keeps_rows_and_merges_files(spark, tmp_path):
     assert maintain.rewrite(spark, src, dst, ["p"]) == (2000, 2000)
     n = lambda p: maintain.list_files(spark, p, ["p"]).count()
     assert n(src) == 24 and n(dst) == 2
+    assert maintain.due(spark, src, ["p"]) and not maintain.due(spark, dst, ["p"])
+    # Many bins: each becomes one file of about the target.
+    mean = maintain.list_files(spark, src, ["p"]).agg(F.avg("size_bytes")).first()[0]
+    target, many = int(3 * mean), str(tmp_path / "c")
+    maintain.rewrite(spark, src, many, ["p"], target)
+    sizes = [r["size_bytes"] for r in maintain.list_files(spark, many, ["p"]).collect()]
+    bins = maintain.compaction_groups(maintain.plan_compaction(maintain.list_files(spark, src, ["p"]), ["partition"], target), ["partition"]).count()
+    assert len(sizes) == bins >= 8 and max(sizes) < 2 * target
+    assert spark.read.parquet(many).exceptAll(spark.read.parquet(dst)).count() == 0
     assert spark.read.parquet(src).exceptAll(spark.read.parquet(dst)).count() == 0
 
 
@@ -370,11 +379,13 @@ def test_versions_are_compacted_and_expired(spark, tmp_path):
     assert [r["ok"] for r in out.collect()] == [True, True] and t.versions() == [1, 2]
     assert t.read().count() == 300 and maintain.list_files(spark, t.path(), ["p"]).count() == 2
     (tmp_path / "t" / "version=3").mkdir()  # a run that did not finish
-    assert t.versions() == [1, 2] and t.compact() == 3
-    for _ in range(4):
+    assert t.versions() == [1, 2] and t.compact() == 2  # nothing to do
+    assert t.replace(rows.repartition(6)) == 3
+    for _ in range(3):
         t.replace(rows)
+    assert t.replace(rows.repartition(6)) == 7 and t.compact() == 8
     later = datetime.now() + timedelta(days=1)
-    assert t.expire(later) == [1, 2] and t.versions() == [3, 4, 5, 6, 7]
+    assert t.expire(later) == [1, 2, 3] and t.versions() == [4, 5, 6, 7, 8]
     assert t.expire(later) == [] and t.read().count() == 300
 
 

@@ -12,6 +12,7 @@ from cartstream.plans.registry import query
 from cartstream.sinks.writers import insertable
 from cartstream.sources import tables as tb
 from cartstream.sources import wire
+from cartstream.streaming import consumer
 from cartstream.streaming.dedup import dedup_events
 
 
@@ -351,6 +352,36 @@ def validate_rows(t):
     )
 
 
+def framed_lines(t):
+    """Order lines as framed JSON messages; some have a bad frame, an unknown schema id, a broken body or missing fields."""
+    dirty = (
+        enveloped(t)
+        .withColumn("title", F.when(F.col("id") % 10 == 7, F.lit(" \t")).otherwise(F.col("title")))
+        .withColumn("grams", F.when(F.col("id") % 10 != 6, F.col("grams")))
+        .withColumn("taxable", F.when(F.col("id") % 10 != 5, F.col("taxable")))
+    )
+    fields = [c for c in a.raw_order_details(t).columns if c != "event_id"]
+    body = F.when(F.col("id") % 19 == 0, F.lit("{")).otherwise(F.to_json(F.struct(*fields)))
+    head = F.concat(
+        F.when(F.col("id") % 13 == 0, F.lit("01")).otherwise(F.lit("00")), F.when(F.col("id") % 17 == 0, F.lit("00000009")).otherwise(F.lit("00000001")))
+    return dirty.select(*ENVELOPE, "consumed_at", F.concat(F.unhex(head), F.encode(body, "UTF-8")).alias("value"))
+
+
+@query("consume_validated", """
+SELECT id * 1000 + l_partkey % 1000 AS "offset",
+       CASE WHEN id % 13 = 0 THEN 'bad frame' WHEN id % 17 = 0 THEN 'unknown schema' WHEN id % 19 = 0 THEN 'undecodable body'
+            WHEN l_linenumber = 7 THEN 'title is missing' WHEN l_linenumber = 6 THEN 'grams is missing'
+            WHEN l_linenumber = 5 THEN 'taxable is not true or false' ELSE 'stored' END AS verdict
+FROM (SELECT *, l_orderkey * 10 + l_linenumber AS id FROM lineitem)""")
+def consume_validated(t):
+    """The consumer's batch form: what is stored, and why the rest is not."""
+    schema = a.raw_order_details(t).schema
+    registry = t.spark.createDataFrame([(1, "order line")], "schema_id bigint, schema_json string")
+    rows = consumer.judged(framed_lines(t), registry, consumer.json_record(schema), schema)
+    stored = consumer.accepted(rows).select("offset", F.lit("stored").alias("verdict"))
+    return stored.unionByName(consumer.rejected(rows).select("offset", F.array_join("reasons", "; ").alias("verdict")))
+
+
 @query("quality_report", f"""
 SELECT 'not_null' AS rule, 'available' AS "column", count(*) FILTER (available IS NULL) AS violations FROM {LEVELS}
 UNION ALL SELECT 'not_null', 'updated_at', count(*) FILTER (updated_at IS NULL) FROM {LEVELS}

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartstream import schemas
 from cartstream.operators import ingest
@@ -14,8 +15,9 @@ from cartstream.operators import webhooks as wh
 from cartstream.operators.upsert import upsert
 from cartstream.plans import adapters as a
 from cartstream.plans.registry import Tables
+from cartstream.plans.registry import Tables
 from cartstream.sources.topics import kafka_options, read_topic, read_webhooks
-from cartstream.streaming import health, jobs
+from cartstream.streaming import consumer, health, jobs
 from cartstream.streaming.dedup import dedup_stream
 from cartstream.streaming.state import BatchLog, KeyedState
 
@@ -187,6 +189,42 @@ def test_dedup_stream_keeps_late_null_ids(spark, tmp_path):
     assert sorted(r["v"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3, 5]
 
 
+def test_consumer_stores_each_valid_message_once(spark, sf, tmp_path):
+    schema = T.StructType([f for f in a.raw_order_details(Tables(spark, sf)).schema if f.name != "event_id"])
+    full = {f.name: None for f in schema} | {
+        "order_id": 1, "title": "t", "name": "n", "quantity": 1, "fulfillable_quantity": 1, "current_quantity": 1, "price": "1.00",
+        "total_discount": "0.00", "fulfillment_service": "manual", "grams": 5, "requires_shipping": True, "taxable": True, "gift_card": False,
+        "product_exists": True, "created_at": "2024-01-01T00:00:00+05:00", "updated_at": "2024-01-01T00:00:00Z"}
+    body = lambda **kw: json.dumps({k: v for k, v in (full | kw).items() if v is not None}).encode()
+    frame = lambda raw, head=b"\x00\x00\x00\x00\x01": head + raw
+    good = [(k, frame(body(id=k))) for k in range(3)]
+    bad = [(10, b"\x01\x00"), (11, frame(body(id=1), b"\x00\x00\x00\x00\x07")), (12, frame(b"{")), (13, frame(body(id=2, title="\n"))),
+           (14, frame(body(id=3, created_at="yesterday"))), (15, None)]
+    source = spark.createDataFrame([("t", 0, o, None, v) for o, v in [*good, *bad]], "topic string, partition int, offset bigint, key string, value binary")
+    registry = spark.createDataFrame([(1, "x")], "schema_id bigint, schema_json string")
+    job = consumer.OrderDetailConsumer(spark, str(tmp_path / "job"), registry, consumer.json_record(schema), schema)
+    at = F.lit("2024-06-01").cast("timestamp").alias("consumed_at")
+
+    def run():
+        src = spark.readStream.schema(source.schema).parquet(str(tmp_path / "in")).select("*", at)
+        job.start(src, str(tmp_path / "ck"), NOW).awaitTermination(240)
+
+    source.coalesce(1).write.parquet(str(tmp_path / "in"))
+    run()
+    source.filter("offset < 2").unionByName(source.filter("offset = 2").withColumn("offset", F.lit(20).cast("bigint"))).coalesce(1).write.mode(
+        "append").parquet(str(tmp_path / "in"))  # two messages again, and a new one
+    run()
+    job.process(source.filter("offset < 3").select("*", at), 1)  # the last batch once more
+    assert sorted(r["offset"] for r in job.stored.read().collect()) == [0, 1, 2]
+    job.process(source.filter("offset < 3").withColumn("offset", F.col("offset") + 20).select("*", at), 1)
+    assert sorted(r["offset"] for r in job.stored.read().collect()) == [0, 1, 2, 20, 21, 22]
+    reasons = {r["offset"]: r["reasons"] for r in job.rejects.read().collect()}
+    assert reasons == {10: ["bad frame"], 11: ["unknown schema"], 12: ["undecodable body"], 13: ["title is missing"], 14: ["created_at is not a time"],
+                       15: ["bad frame"]}
+    line = job.stored.read().filter("offset = 0").first()
+    assert line["line_item_id"] == 0 and line["shopify_created_at"] is not None
+
+
 def test_health_names_a_job_that_fails(spark, tmp_path):
     table = health.ProgressTable(spark, str(tmp_path / "progress"))
     log = health.ProgressLog(table)

@@ -19,15 +19,17 @@ from cartstream.sources.folders import delete_folder, finished_folders
 
 
 class KeyedState:
-    """Keyed current state of one table."""
+    """Keyed current state of one table, compacted every `compact_every` batches."""
 
-    def __init__(self, spark: SparkSession, root: str, spec: UpsertSpec):
-        self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
+    def __init__(self, spark: SparkSession, root: str, spec: UpsertSpec, compact_every: int = 60):
+        self.spark, self.root, self.spec, self.compact_every = spark, root.rstrip("/"), spec, compact_every
 
     def apply(self, changes: DataFrame, batch_id: int) -> None:
-        """Store a batch's fold; a second run of the same batch replaces the first."""
+        """Store a batch's fold; a second run of the same batch replaces the first, or finds it in the base already."""
         path = f"{self.root}/delta/batch={batch_id}"
         fold(changes, self.spec).write.mode("overwrite").parquet(path)
+        if (batch_id + 1) % self.compact_every == 0:
+            self.compact()
 
     def _parts(self) -> tuple[list[str], int]:
         through = max(finished_folders(self.spark, f"{self.root}/base", "through"), default=-1)
@@ -41,8 +43,9 @@ class KeyedState:
         paths, _ = self._parts()
         if not paths:
             return None
-        parts = [self.spark.read.parquet(p) for p in paths]
-        return parts[0] if len(parts) == 1 else merge(parts, self.spec)
+        # All folds have one schema: one scan, however many batches there are.
+        rows = _one_scan(self.spark, paths)
+        return rows if len(paths) == 1 else merge([rows], self.spec)
 
     def read(self) -> DataFrame | None:
         """Current rows, or None when no batch was stored yet."""
@@ -64,28 +67,53 @@ class KeyedState:
                     delete_folder(self.spark, f"{self.root}/delta/batch={i}")
 
 
+def _one_scan(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """One frame over folders of the same schema, which is read from the first of them only."""
+    return spark.read.schema(spark.read.parquet(paths[0]).schema).parquet(*paths)
+
+
 class BatchLog:
-    """Append-only table written once per micro-batch."""
+    """Append-only table written once per micro-batch; every `compact_every` batches the older ones become one folder.
 
-    def __init__(self, spark: SparkSession, root: str, bloom: list[str] | None = None):
-        self.spark, self.root, self.bloom = spark, root.rstrip("/"), bloom or []
+    The newest two stay by themselves: the last may be run again and then asks for the one before.
+    """
 
-    def write(self, rows: DataFrame, batch_id: int) -> None:
+    def __init__(self, spark: SparkSession, root: str, bloom: list[str] | None = None, compact_every: int = 60):
+        self.spark, self.root, self.bloom, self.compact_every = spark, root.rstrip("/"), bloom or [], compact_every
+
+    def _save(self, rows: DataFrame, path: str) -> None:
         writer = rows.write.mode("overwrite")
         for c in self.bloom:
             writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
-        writer.parquet(f"{self.root}/batch={batch_id}")
+        writer.parquet(path)
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        self._save(rows, f"{self.root}/batch={batch_id}")
+        if (batch_id + 1) % self.compact_every == 0:
+            self.compact(batch_id - 1)
+
+    def _paths(self, before: int | None = None) -> list[str]:
+        through = max(finished_folders(self.spark, self.root, "through"), default=-1)
+        ids = [i for i in finished_folders(self.spark, self.root, "batch") if i > through and (before is None or i < before)]
+        return [f"{self.root}/through={through}"] * (through >= 0) + [f"{self.root}/batch={i}" for i in ids]
 
     def read(self, before: int | None = None) -> DataFrame | None:
-        """All rows, or those of the batches before `before`."""
-        ids = [i for i in finished_folders(self.spark, self.root, "batch") if before is None or i < before]
-        if not ids:
-            return None
-        return self.spark.read.option("basePath", self.root).parquet(
-            *[f"{self.root}/batch={i}" for i in ids]
-        ).drop("batch")
+        """All rows, or those of the batches before `before`, which is not older than the last compaction."""
+        paths = self._paths(before)
+        return _one_scan(self.spark, paths) if paths else None
 
     def last(self, before: int) -> DataFrame | None:
         """Rows of the newest batch before `before`."""
+        paths = self._paths(before)
+        return self.spark.read.parquet(paths[-1]) if paths else None
+
+    def compact(self, before: int) -> None:
+        """Rewrite the batches before `before` as one folder, with partitions as large as the session advises."""
+        paths = self._paths(before)
         ids = [i for i in finished_folders(self.spark, self.root, "batch") if i < before]
-        return self.spark.read.parquet(f"{self.root}/batch={ids[-1]}") if ids else None
+        if len(paths) < 2:
+            return
+        self._save(_one_scan(self.spark, paths).hint("rebalance"), f"{self.root}/through={ids[-1]}")
+        for path in [*paths, *(f"{self.root}/batch={i}" for i in ids)]:
+            if path != f"{self.root}/through={ids[-1]}":
+                delete_folder(self.spark, path)

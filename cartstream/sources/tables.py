@@ -12,12 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartstream.streaming.state import BatchLog
+
 
 def read_table(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
-    """A table by name: `<root>/<name>` as Parquet, or the catalog's table when no root is given."""
+    """A table by name: `<root>/<name>` as Parquet, or the catalog's table when no root is given.
+
+    Tables that jobs write batch by batch are read as their rows, without the folders' numbers.
+    """
     if root is None:
         return spark.table(name)
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    path = f"{root.rstrip('/')}/{name}"
+    batches = BatchLog(spark, path).read()
+    return spark.read.parquet(path) if batches is None else batches
 
 
 def ensure_table(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,10 +32,11 @@ def read_topic(
     spark: SparkSession, topic: str, path: str | None = None, schema: T.StructType | None = None,
     source: str = "files", fmt: str = "json", startup: str = "committed", streaming: bool = True,
     max_files_per_trigger: int | None = None, servers: str | None = None, group_id: str | None = None,
+    since: datetime | None = None,
 ) -> DataFrame:
     """One topic with its declared schema.
 
-    source 'files' reads `<path>/<topic>`; 'kafka' gives the raw records of the
+    source 'files' reads `<path>/<topic>`, with 'latest' only files that came at or after `since`, in order of arrival; 'kafka' gives the raw records of the
     topic (decode with `sources.wire`), for which Spark's Kafka package must be
     on the class path.
     """
@@ -47,10 +50,15 @@ def read_topic(
         raise ValueError(f"source must be 'files' or 'kafka', not {source!r}")
     reader = reader.schema(schema or schemas.TOPIC_SCHEMAS[topic]).format(fmt)
     if streaming:
-        reader = reader.option("latestFirst", str(startup == "latest").lower())
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(f"{path.rstrip('/')}/{topic}")
+    rows = reader.load(f"{path.rstrip('/')}/{topic}")
+    if startup != "latest":
+        return rows
+    if since is None:
+        raise ValueError("'latest' on files needs `since`: the moment of the first start, the same on every restart")
+    begin = F.lit(since.astimezone(UTC).isoformat(sep=" ")).cast("timestamp")
+    return rows.filter(F.col("_metadata.file_modification_time") >= begin)
 
 
 def with_header_defaults(df: DataFrame) -> DataFrame:

@@ -60,6 +60,18 @@ def statement_set(
     return _trigger(writer, trigger).start()
 
 
+def enrich_stream(
+    source: DataFrame, load: Callable[[], DataFrame], enrich: Callable[[DataFrame, DataFrame], DataFrame], out: BatchLog, checkpoint: str,
+    trigger: str = COMMIT_INTERVAL,
+) -> StreamingQuery:
+    """Enrich a stream by a table that changes: `load` opens it anew for each micro-batch, so keys that arrive later are found.
+
+    The rows of batch n are replaced when it runs again.
+    """
+    writer = source.writeStream.foreachBatch(lambda batch, batch_id: out.write(enrich(batch, load()), batch_id))
+    return _trigger(writer.option("checkpointLocation", checkpoint), trigger).start()
+
+
 def start_ingest(
     sources: dict[str, DataFrame], root: str, checkpoints: str, trigger: str = COMMIT_INTERVAL
 ) -> dict[str, StreamingQuery]:

@@ -3,7 +3,7 @@
 import json
 import os
 import time
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from cartstream.operators.upsert import UpsertSpec, upsert
 from cartstream.plans import adapters as a
 from cartstream.plans.registry import Tables
 from cartstream.plans.registry import Tables
+from cartstream.sources.tables import read_table
 from cartstream.sources.topics import kafka_options, read_topic, read_webhooks
 from cartstream.streaming import consumer, health, jobs
 from cartstream.streaming.dedup import dedup_stream
@@ -64,7 +65,7 @@ def test_ingest_of_all_topics_equals_the_batch(spark, tables, tmp_path):
     last = run()  # restart from the checkpoints: only the new files
     for topic, outputs in ingest.TOPIC_OUTPUTS.items():
         for table, project in outputs.items():
-            got = spark.read.parquet(f"{lake}/{table}") if len(outputs) == 1 else BatchLog(spark, f"{lake}/{table}").read()
+            got = read_table(spark, table, str(lake))
             same(got, project(raws[topic]))
     # Identity partitioning reads back with pruning.
     one = spark.read.parquet(f"{lake}/inventory_levels").filter("location_id = 2")
@@ -190,6 +191,38 @@ def test_dedup_stream_keeps_late_null_ids(spark, tmp_path):
     assert sorted(r["v"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3, 5]
 
 
+def test_latest_on_files_skips_what_was_there(spark, tmp_path):
+    (tmp_path / "inventory").mkdir()
+    write = lambda k: (tmp_path / "inventory" / f"{k}.json").write_text(json.dumps({"inventory_item_id": k}) + "\n")
+    write(1)
+    os.utime(tmp_path / "inventory" / "1.json", (1_700_000_000, 1_700_000_000))
+    since = datetime.fromtimestamp(1_700_000_001, UTC)
+    write(2)
+    for streaming in (False, True):
+        rows = read_topic(spark, "inventory", str(tmp_path), startup="latest", since=since, streaming=streaming)
+        if streaming:
+            jobs.append_stream(rows, str(tmp_path / "out"), str(tmp_path / "ck"), trigger=NOW).awaitTermination(240)
+            rows = spark.read.parquet(str(tmp_path / "out"))
+        assert [r["inventory_item_id"] for r in rows.collect()] == [2]
+    with pytest.raises(ValueError, match="since"):
+        read_topic(spark, "inventory", str(tmp_path), startup="latest")
+
+
+def test_enrichment_sees_keys_that_arrive_after_the_start(spark, tmp_path):
+    dim, out = str(tmp_path / "dim"), BatchLog(spark, str(tmp_path / "out"))
+    add = lambda k: spark.createDataFrame([(k, f"n{k}")], "k int, name string").coalesce(1).write.mode("append").parquet(dim)
+    join = lambda batch, names: batch.join(names, "k", "left")
+    spark.createDataFrame([(1,), (2,)], "k int").coalesce(1).write.parquet(str(tmp_path / "in"))
+    add(1)
+    src = spark.readStream.schema("k int").parquet(str(tmp_path / "in"))
+    run = lambda: jobs.enrich_stream(src, lambda: spark.read.parquet(dim), join, out, str(tmp_path / "ck"), NOW).awaitTermination(240)
+    run()
+    add(2)
+    spark.createDataFrame([(2,)], "k int").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    run()
+    assert sorted(map(tuple, out.read().collect()), key=str) == [(1, "n1"), (2, "n2"), (2, None)]
+
+
 def test_logs_and_state_stay_in_few_folders(spark, tmp_path):
     log, spec = BatchLog(spark, str(tmp_path / "log"), compact_every=4), UpsertSpec(("id",), {"v": "last"}, order=("at",))
     state = KeyedState(spark, str(tmp_path / "state"), spec, compact_every=4)

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from cartstream.llm.common import id_and_text
 from cartstream.llm.repeats import PAIRS, Blocks, Doubling, by_document, covered, listed, mark_blocks, member_keys, names, pair_rows
 from cartstream.llm.textarrays import U, byte_values, flatten, mix
+from cartstream.session import cut_lineage
 
 GRAM = 16
 
@@ -220,7 +221,7 @@ def remove_repeated_bytes(docs: DataFrame, width: int = 50, keep: bool = True) -
         raise ValueError(f"width must be at least {2 * GRAM}")
     rows = id_and_text(docs)
     named = rows.filter("doc_id is not null")
-    marks = by_document(mark_blocks(named.mapInArrow(_pairs(width), PAIRS)))
+    marks = cut_lineage(by_document(mark_blocks(named.mapInArrow(_pairs(width), PAIRS))), compression="zstd")
     # The texts and marks are joined twice, over the same columns, so that both joins share their exchanges.
     texts = named.join(marks, "doc_id", "left").select("doc_id", "text", "whole", "partly")
     blocks = texts.filter(F.size("partly") > 0).mapInArrow(_block_bytes(width), "anchor long, doc_id long, bytes binary")

@@ -56,6 +56,35 @@ def admission(df: DataFrame, secret: str | None = None, mode: str = "sha256_hex"
     return df.withColumn("verdict", verdict)
 
 
+_CHECKED = (
+    "title string, created_at string, updated_at string, variants array<struct<created_at: string, updated_at: string>>, "
+    "line_items array<struct<created_at: string, updated_at: string>>"
+)
+
+
+def unusable(topic: Column, body: Column) -> Column:
+    """Why a parsable body cannot be applied to the state, or NULL: a create without its title, a time that is none.
+
+    An update may leave the title out, it keeps the stored one.
+    """
+    b = F.from_json(body, _CHECKED)
+    no_title = lambda c: F.trim(F.coalesce(c, F.lit(""))) == ""
+    no_time = lambda c: F.nullif(c, F.lit("")).isNotNull() & F.try_to_timestamp(c).isNull()
+    inside = lambda items: F.coalesce(
+        F.exists(items, lambda x: no_time(x["created_at"]) | no_time(x["updated_at"])), F.lit(False))
+    return (
+        F.when((topic == "products/create") & no_title(b["title"]), "title is missing")
+        .when(no_time(b["created_at"]), "created_at is not a time").when(no_time(b["updated_at"]), "updated_at is not a time")
+        .when(inside(b["variants"]) | inside(b["line_items"]), "a nested time is not a time")
+    )
+
+
+def screened(df: DataFrame, secret: str | None = None, mode: str = "sha256_hex") -> DataFrame:
+    """As `admission`, with the reason as the verdict of bodies that cannot be applied."""
+    reason = F.when(F.col("verdict") == "accepted", unusable(F.col("topic"), F.col("body")))
+    return admission(df, secret, mode).withColumn("verdict", F.coalesce(reason, F.col("verdict")))
+
+
 # -- audit and deduplication -------------------------------------------------
 
 def dedup_in_batch(df: DataFrame, order: tuple[str, ...] = ARRIVAL) -> DataFrame:

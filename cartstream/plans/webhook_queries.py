@@ -44,6 +44,19 @@ def json_split(t):
     return wh.admission(a.event_webhooks(t), secret="s3cret").select("seq", "verdict")
 
 
+@query("webhook_rejects", """
+SELECT p_partkey AS seq, CASE WHEN p_partkey % 10 = 0 THEN 'title is missing' WHEN p_partkey % 7 = 0 THEN 'created_at is not a time'
+                              ELSE 'a nested time is not a time' END AS reason
+FROM part WHERE p_partkey % 10 = 0 OR p_partkey % 7 = 0 OR p_partkey % 11 = 0""")
+def webhook_rejects(t):
+    """Product bodies some of which lack the title, or have times that are none."""
+    body = """'{"id": ' || p_partkey || if(p_partkey % 5 = 0, '', ', "title": "x"') || if(p_partkey % 7 = 0, ', "created_at": "soon"', '')
+              || if(p_partkey % 11 = 0, ', "variants": [{"updated_at": "2024-01-01T00:00:00Z"}, {"updated_at": "never"}]', '') || '}'"""
+    rows = t["part"].selectExpr(
+        "p_partkey AS seq", "if(p_partkey % 2 = 0, 'products/create', 'products/update') AS topic", f"{body} AS body", "'' AS digest")
+    return wh.screened(rows).filter("verdict != 'accepted'").select("seq", F.col("verdict").alias("reason"))
+
+
 @query("from_json_body", f"""
 SELECT seq, CASE WHEN json_valid(body) THEN CAST(json_extract_string(body, '$.k') AS INTEGER) END AS k FROM {REQUESTS}""")
 def from_json_body(t):

@@ -109,7 +109,7 @@ def start_all(specs: dict[str, Callable[[], StreamingQuery]]) -> tuple[dict[str,
 class WebhookPipeline:
     """Landed webhooks to audit log, quarantine and current-state tables.
 
-    Per micro-batch: check digest and JSON, drop bodies seen before, log the rest,
+    Per micro-batch: set aside what has a bad digest, bad JSON or cannot be applied, drop bodies seen before, log the rest,
     fold their changes into the state tables. All writes are per batch id and
     replace themselves on a re-run; the history a batch is compared with is that of
     the batches before it, so a re-run decides as the first run did.
@@ -132,7 +132,7 @@ class WebhookPipeline:
         return make(fresh) if table == "inventory_levels" else make(fresh, self.delete_policy)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        judged = wh.admission(batch, self.secret, self.mode).persist(StorageLevel.MEMORY_AND_DISK)
+        judged = wh.screened(batch, self.secret, self.mode).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self.rejected.write(judged.filter(F.col("verdict") != "accepted"), batch_id)
             accepted = judged.filter(F.col("verdict") == "accepted").drop("verdict")

@@ -191,6 +191,16 @@ def test_dedup_stream_keeps_late_null_ids(spark, tmp_path):
     assert sorted(r["v"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3, 5]
 
 
+def test_bodies_that_cannot_be_applied_are_set_aside(spark, tmp_path):
+    pipe = jobs.WebhookPipeline(spark, str(tmp_path / "p"))
+    bodies = [("products/create", {"id": 1}), ("products/update", {"id": 2}), ("products/create", {"id": 3, "title": "t"}),
+              ("products/update", {"id": 4, "title": "t", "updated_at": "never"})]
+    rows = [(f"w{i}", topic, "", "", json.dumps(body), T0 + timedelta(days=i)) for i, (topic, body) in enumerate(bodies)]
+    pipe.process(spark.createDataFrame(rows, schemas.LANDED_WEBHOOK), 0)
+    assert sorted(r["verdict"] for r in pipe.rejected.read().collect()) == ["title is missing", "updated_at is not a time"]
+    assert sorted(r["id"] for r in pipe.read("products").collect()) == ["2", "3"]
+
+
 def test_latest_on_files_skips_what_was_there(spark, tmp_path):
     (tmp_path / "inventory").mkdir()
     write = lambda k: (tmp_path / "inventory" / f"{k}.json").write_text(json.dumps({"inventory_item_id": k}) + "\n")

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from cartstream.functions import event_key, money, ts_instant, ts_wallclock
 
 
-def _pick(df: DataFrame, *names: str):
-    return [F.col(n) for n in names]
+# The output columns of each table, in the order of its contract.
 
 
 def to_products(raw: DataFrame) -> DataFrame:
@@ -111,7 +110,7 @@ def to_consumed_order_details(raw: DataFrame, consumed_at: str = "consumed_at")
     do not collide with the store's own columns. Times are instants, money stays text.
     """
     return raw.select(
-        *_pick(raw, *ENVELOPE), F.col(consumed_at).alias("consumed_at"),
+        *ENVELOPE, F.col(consumed_at).alias("consumed_at"),
         "order_id", F.col("id").alias("line_item_id"), "variant_id", "product_id", "title",
         "variant_title", "name", "sku", "vendor", "quantity", "fulfillable_quantity", "current_quantity",
         "price", "total_discount", "fulfillment_service", "fulfillment_status", "grams",

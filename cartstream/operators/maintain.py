@@ -173,22 +173,15 @@ class VersionedTable:
         return gone
 
 
-def procedure(catalog: str, name: str, **arguments: str) -> str:
-    """A catalog's stored procedure call; argument values are SQL text."""
-    listed = ", ".join(f"{k} => {v}" for k, v in arguments.items())
-    return f"CALL {catalog}.system.{name}({listed})"
-
-
 def catalog_calls(catalog: str, table: str, cutoff: str, target: int = TARGET_BYTES, retain_last: int = RETAIN_LAST) -> list[str]:
     """The maintenance statements for a table of a catalog that brings its own procedures."""
-    name = f"'{table}'"
+    # Names and arguments of the table format's published procedures.
     return [
-        procedure(catalog, "rewrite_data_files", table=name, strategy="'binpack'",
-                  options=f"map('target-file-size-bytes', '{target}')"),
-        procedure(catalog, "rewrite_manifests", table=name),
+        f"CALL {catalog}.system.rewrite_data_files(table => '{table}', strategy => 'binpack', "
+        f"options => map('target-file-size-bytes', '{target}'))",
+        f"CALL {catalog}.system.rewrite_manifests(table => '{table}')",
         f"ALTER TABLE {table} SET TBLPROPERTIES ('gc.enabled' = 'true')",
-        procedure(catalog, "expire_snapshots", table=name, older_than=f"TIMESTAMP '{cutoff}'",
-                  retain_last=str(retain_last)),
+        f"CALL {catalog}.system.expire_snapshots(table => '{table}', older_than => TIMESTAMP '{cutoff}', retain_last => {retain_last})",
     ]
 
 

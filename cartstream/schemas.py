@@ -1,4 +1,7 @@
-"""Declared schemas. Streams never infer: every source is read with one of these."""
+"""Declared schemas. Streams never infer: every source is read with one of these.
+
+Fixed values: the names and types of wire and table columns, in their order.
+"""
 
 from __future__ import annotations
 

@@ -23,8 +23,8 @@ from cartstream.session import cut_lineage
 
 SHINGLE = 5
 SKETCH = 96
-# A pair of similarity 0.8 or more that shares less than this part of its sketches, or whose estimate is less, is
-# rarer than 1e-5, one of 0.85 or more rarer than 1e-7 (binomial tail over SKETCH values).
+# A pair of similarity 0.85 that shares less than this part of its sketches, or whose estimate is less, is rarer than
+# 1e-7, one of 0.8 rarer than 1e-4 (binomial tail over SKETCH values); more similar pairs are rarer still.
 LEAST_SHARED = 0.6
 BLOCK_DOCS = 128
 BLOCK_SHINGLES = 1 << 18

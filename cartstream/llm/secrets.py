@@ -88,7 +88,11 @@ def _moments(values: Column, size: Column) -> Column:
 
 def randomness(token: Column) -> Column:
     """Struct of encoding and p: the battery's p-value for "uniform random under its encoding", the least of three, times three."""
-    n = F.length(token).cast("double")
+    # Bound once: inside the lambdas the length would be counted anew for each character.
+    return _bind(F.length(token).cast("double"), lambda n: _battery(token, n))
+
+
+def _battery(token: Column, n: Column) -> Column:
     bins = F.when(n < 80, F.lit(4)).otherwise(F.lit(16))
     encoding = F.coalesce(*[F.when(token.rlike(looks), F.lit(k)) for k, (_, looks, _) in enumerate(ENCODINGS)])
 
@@ -136,10 +140,12 @@ def _length_class(n: Column) -> Column:
 def bounds(candidates: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
     """encoding, class, bound: the lowest bin of p-values from which on the estimated share of false finds is small.
 
+    Of several rows of one `token` one counts: a string says the same about its class however often it is copied.
     Above one half nearly all candidates are random; twice their number estimates all random ones, and these are spread evenly.
     The result has at most encodings x length classes rows.
     """
-    bins = candidates.groupBy("encoding", "class", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")).agg(
+    tokens = candidates.select("encoding", "class", "p", "token").distinct()
+    bins = tokens.groupBy("encoding", "class", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")).agg(
         F.count("*").alias("n")
     )
     own = Window.partitionBy("encoding", "class")
@@ -157,13 +163,6 @@ def _length_group(match: Column) -> Column:
     return F.length(F.regexp_extract(match, f"^{ASSIGN}$", 2))
 
 
-def _candidates(docs: DataFrame) -> DataFrame:
-    """encoding, class, p of the candidates in a table of texts."""
-    tokens = docs.select(F.explode(_matches(F.coalesce(F.col("text").cast("string"), F.lit("")), CANDIDATE)).alias("match"))
-    tested = tokens.select(randomness(F.col("match")).alias("test"), _length_class(F.length("match")).alias("class"))
-    return tested.select("test.encoding", "class", "test.p")
-
-
 def _replacements(limits: list[tuple[int, int, float]], mark: str) -> list[tuple[str, Callable[[Column], Column]]]:
     """Per kind: its pattern, and what a match becomes. `limits` are rows of `bounds`."""
 
@@ -192,10 +191,11 @@ def _replacements(limits: list[tuple[int, int, float]], mark: str) -> list[tuple
 def redact_secrets(docs: DataFrame, false_share: float = FALSE_SHARE, mark: str = "[SECRET]") -> DataFrame:
     """The same rows and columns with secrets in `text` replaced by `mark`; a null text stays null.
 
-    Two passes: the bounds of the randomness battery (a few rows, which reach the driver) come from all texts, then
-    each text is rewritten where it is read. Nothing is shuffled but counts.
+    Two passes: the bounds of the randomness battery (a few rows, which reach the driver) come from the candidates that
+    find_spans has, then each text is rewritten where it is read. Only matches are shuffled.
     """
-    limits = [tuple(r) for r in bounds(_candidates(docs), false_share).select("encoding", "class", "bound").collect()]
+    candidates = _untouched(docs.select(F.lit(None).alias("doc_id"), "text")).filter("kind = 3")
+    limits = [tuple(r) for r in bounds(candidates, false_share).select("encoding", "class", "bound").collect()]
     def replace(docs: DataFrame, pattern: str, new: Callable[[Column], Column]) -> DataFrame:
         found, between = _matches(F.col("text"), pattern), F.split("text", pattern, -1)
         parts = F.zip_with(between, found, lambda gap, m: F.concat(gap, F.coalesce(new(m), F.lit(""))))
@@ -208,12 +208,10 @@ def redact_secrets(docs: DataFrame, false_share: float = FALSE_SHARE, mark: str
     return out
 
 
-def find_spans(docs: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
-    """uid, doc_id, kind (number in KINDS, or -1 in one extra row of each document), start, stop: all secrets.
+def _untouched(docs: DataFrame) -> DataFrame:
+    """uid, doc_id, kind, start, stop of base spans and of the candidates that touch none; of these also encoding, class, p and token.
 
-    Positions are code points, stop exclusive. Base kinds are leftmost non-overlapping matches of their pattern that are
-    long enough; random ones are candidates above the bound of their class that touch no base span. Texts stay
-    where they are read; only matches are shuffled, by document.
+    `token` is a digest of the string, so that long ones are not shuffled.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     nothing = F.array(F.struct(F.lit(-1).alias("kind"), F.lit(0).alias("i"), F.lit(0).alias("gap"), F.lit("").alias("match")))
@@ -225,6 +223,7 @@ def find_spans(docs: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
     measured = rows.select(
         "uid", "doc_id", "kind", "i", "gap", F.length("match").alias("size"),
         F.when(F.col("kind") == 3, randomness(F.col("match"))).alias("test"),
+        F.when(F.col("kind") == 3, F.unhex(F.sha2("match", 256))).alias("token"),
         F.coalesce(
             F.when(F.col("kind") == 0, group >= SHORTEST[0]), F.when(F.col("kind") == 1, F.length("match") >= SHORTEST[1]), F.lit(True)
         ).alias("passes"),
@@ -239,12 +238,20 @@ def find_spans(docs: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
     back = Window.partitionBy("uid").orderBy(F.col("start").desc(), F.col("stop").desc()).rowsBetween(Window.unboundedPreceding, 0)
     touched = (F.coalesce(F.max(F.when(base, F.col("stop"))).over(ahead), F.lit(0)) > F.col("start")) | (
         F.coalesce(F.min(F.when(base, F.col("start"))).over(back), F.lit(2**31 - 1)) < F.col("stop"))
-    spans = cut_lineage(
-        placed.withColumn("touched", touched).filter((F.col("kind") != 3) | ~F.col("touched")).select(
-            "uid", "doc_id", "kind", "start", "stop", F.col("test.encoding").alias("encoding"), F.col("test.p").alias("p"),
-            F.when(F.col("kind") == 3, _length_class(F.col("size"))).alias("class"),
-        )
+    return placed.withColumn("touched", touched).filter((F.col("kind") != 3) | ~F.col("touched")).select(
+        "uid", "doc_id", "kind", "start", "stop", F.col("test.encoding").alias("encoding"), F.col("test.p").alias("p"),
+        F.when(F.col("kind") == 3, _length_class(F.col("size"))).alias("class"), "token",
     )
+
+
+def find_spans(docs: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
+    """uid, doc_id, kind (number in KINDS, or -1 in one extra row of each document), start, stop: all secrets.
+
+    Positions are code points, stop exclusive. Base kinds are leftmost non-overlapping matches of their pattern that are
+    long enough; random ones are candidates above the bound of their class that touch no base span. Texts stay
+    where they are read; only matches are shuffled, by document.
+    """
+    spans = cut_lineage(_untouched(docs))
     limits = bounds(spans.filter("kind = 3"), false_share)
     # At most encodings x length classes rows.
     return spans.join(F.broadcast(limits), ["encoding", "class"], "left").filter("kind != 3 or p >= bound").select(

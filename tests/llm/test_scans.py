@@ -102,6 +102,27 @@ def test_redaction_takes_the_secrets_and_nothing_else(docs):
     assert all(not base_spans(t or "") for t in got.values())
 
 
+def wordlike(rng, n=28):
+    """Names of joined words and three digits, which the battery takes for random now and then."""
+    words = ["user", "order", "total", "price", "event", "stream", "zone", "query", "batch", "index", "view", "key", "shop", "tax"]
+    return "".join(rng.choice(words).capitalize() for _ in range(n))[: n - 3] + "".join(rng.choices(string.digits, k=3))
+
+
+def test_copies_of_a_secret_do_not_change_what_is_found(docs):
+    rng = random.Random(12)
+    key = lambda: "".join(rng.choices(string.ascii_letters + string.digits, k=28))
+    rows = [(k, f"a {wordlike(rng)} b") for k in range(300)] + [(1000 + k, f"a {key()} b") for k in range(60)]
+    scan = lambda rows: {r["doc_id"]: r["spans"] for r in secrets.scan_secrets(docs(rows)).collect()}
+    clean = lambda rows: {r["doc_id"]: r["text"] for r in secrets.redact_secrets(docs(rows)).collect()}
+    alone, cleaned = scan(rows), clean(rows)
+    assert all((alone[i] != "") == ("[SECRET]" in cleaned[i]) for i, _ in rows)
+    copied = next(t for i, t in rows if i >= 1000 and alone[i])
+    more = [*rows, *((5000 + k, copied) for k in range(3000))]
+    again, cleaned_again = scan(more), clean(more)
+    assert {i: again[i] for i in alone} == alone and {i: cleaned_again[i] for i in alone} == cleaned
+    assert all(again[5000 + k] and cleaned_again[5000 + k] == "a [SECRET] b" for k in range(3000))
+
+
 # -- vectors -----------------------------------------------------------------
 
 def vectors_by_force(rows, threshold=0.98):

@@ -2,9 +2,10 @@
 
 Candidates of the battery are long runs of code-like characters. Their encoding is inferred from the characters; under that
 encoding a key is a uniform random string, which three tests check: chi-squared uniformity of the alphabet, the runs test
-around the middle of the alphabet and the lag-1 serial correlation. Random strings have evenly spread p-values, ordinary words small
-ones; so for each encoding and class of lengths the share of words among the candidates above a p-value can be estimated from
-the distribution itself, and the lowest bound whose share is small enough is used.
+around the middle of the alphabet and the lag-1 serial correlation. How the p-values of random strings are spread is known, and
+ordinary words have small ones; so for each encoding and class of lengths the share of words among the candidates above a p-value
+can be estimated from the distribution itself. A fixed bound per class of lengths holds unless the candidates speak against it, so
+a single one is judged too; many candidates can lower it.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ ENCODINGS = [  # name, what its strings look like, alphabet
 LENGTHS = [24, 32, 48, 80]  # where a new class of lengths begins
 BINS = 20
 FALSE_SHARE = 0.05
+ALPHAS = [0.2, 0.1, 0.05, 0.05, 0.05]  # per class of lengths, the bound where there is little to estimate from
+TESTS = 2.6  # as many independent tests spread the least of the three like the battery does on random strings
+ENOUGH = 100  # candidates above one half from which on an estimate may go below the fixed bound
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -141,21 +145,26 @@ def bounds(candidates: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame
     """encoding, class, bound: the lowest bin of p-values from which on the estimated share of false finds is small.
 
     Of several rows of one `token` one counts: a string says the same about its class however often it is copied.
-    Above one half nearly all candidates are random; twice their number estimates all random ones, and these are spread evenly.
-    The result has at most encodings x length classes rows.
+    Above one half nearly all candidates are random, and their number gives that of the random ones above any bin. Bins from
+    the fixed bound on qualify unless the share is too large by more than two standard errors of that number; lower ones need
+    enough candidates and no allowance. The result has at most encodings x length classes rows.
     """
+    bins = list(range(1, BINS))
+    above = lambda b: (1 - b / BINS / 3) ** TESTS  # noqa: E731  # share of random strings from bin b on
     tokens = candidates.select("encoding", "class", "p", "token").distinct()
-    bins = tokens.groupBy("encoding", "class", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")).agg(
-        F.count("*").alias("n")
-    )
-    own = Window.partitionBy("encoding", "class")
-    above = own.orderBy(F.col("bin").desc())
-    return (
-        bins.withColumn("random", 2 * F.sum(F.when(F.col("bin") * 2 >= BINS, F.col("n")).otherwise(0)).over(own))
-        .withColumn("kept", F.sum("n").over(above))
-        .filter((1 - F.col("random") * (1 - F.col("bin") / BINS) / F.col("kept") <= false_share) & (F.col("bin") > 0))
-        .groupBy("encoding", "class").agg((F.min("bin") / BINS).alias("bound"))
-    )
+    counts = tokens.groupBy("encoding", "class").agg(*[F.count(F.when(F.col("p") >= b / BINS, 1)).alias(f"from_{b}") for b in bins])
+    half = F.col(f"from_{BINS // 2}")
+    slack = 2 * F.sqrt((1 - above(BINS / 2)) * half) + 2
+    fixed = F.element_at(F.array(*[F.lit(a) for a in ALPHAS]), F.col("class") + 1)
+
+    def qualifies(b: int) -> Column:
+        random = F.when(fixed <= b / BINS, half + slack).when(half >= ENOUGH, half) / above(BINS / 2) * above(b)
+        kept = F.col(f"from_{b}")
+        return (kept > 0) & (random >= (1 - false_share) * kept)
+
+    return counts.select(
+        "encoding", "class", F.coalesce(*[F.when(qualifies(b), F.lit(b / BINS)) for b in bins]).alias("bound")
+    ).filter("bound is not null")
 
 
 def _length_group(match: Column) -> Column:

@@ -123,6 +123,32 @@ def test_copies_of_a_secret_do_not_change_what_is_found(docs):
     assert all(again[5000 + k] and cleaned_again[5000 + k] == "a [SECRET] b" for k in range(3000))
 
 
+def test_a_single_secret_of_a_class_is_found(docs):
+    rng = random.Random(21)
+    found, total = 0, 0
+    for _ in range(2):
+        rows = []
+        for k, (_, looks, letters) in enumerate(secrets.ENCODINGS):
+            for n in (22, 28, 40, 60, 100):
+                key = next(t for t in iter(lambda: "".join(rng.choices(letters, k=n)), None) if all(not re.match(e[1], t) for e in secrets.ENCODINGS[:k]))
+                if k or n < 32:  # longer ones are of the kind hex
+                    rows.append((100 * k + n, f"x {key} y"))
+        spans = {r["doc_id"]: r["spans"] for r in secrets.scan_secrets(docs(rows)).collect()}
+        clean = {r["doc_id"]: r["text"] for r in secrets.redact_secrets(docs(rows)).collect()}
+        assert all((spans[i] != "") == (clean[i] == "x [SECRET] y") for i, _ in rows)
+        found, total = found + sum(s.startswith("random:2:") for s in spans.values()), total + len(rows)
+    assert found > 0.85 * total
+    words = [(k, t) for k, t in enumerate(["x counterrevolutionaries y", "x uncharacteristically_long_names_of_things y", "x INTERNATIONALIZATION_OF_MESSAGE_TEXTS y"])]
+    assert all(r["spans"] == "" for r in secrets.scan_secrets(docs(words)).collect())
+
+
+def test_many_words_without_secrets_raise_the_bound(spark):
+    rows = [(3, 2, 0.1 + 0.3 * k / 2000, str(k)) for k in range(2000)] + [(3, 2, 0.01, "low")]
+    df = spark.createDataFrame(rows, "encoding int, class int, p double, token string")
+    bound = min([r["bound"] for r in secrets.bounds(df).collect()], default=1.0)
+    assert sum(p >= bound for _, _, p, _ in rows) < 20
+
+
 # -- vectors -----------------------------------------------------------------
 
 def vectors_by_force(rows, threshold=0.98):

@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartstream.llm import embeddings, fingerprints, near_duplicates, packing, phrases, quality, secrets, sentencepiece, suffix_array, url_filters
+from cartstream.llm import (
+    embeddings, fill_middle, fingerprints, importance, near_duplicates, packing, phrases, quality, secrets, sentencepiece, suffix_array,
+    url_filters,
+)
 from cartstream.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +102,78 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.fill_in_middle(read_table(spark, folder, "documents"), digests=True)
+
+
+ORACLES["op12_fill_in_middle"] = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+         sha256('42:' || CAST(doc_id AS VARCHAR)) AS h
+  FROM documents),
+drawn AS (
+  SELECT doc_id, text, units, len(units) AS n,
+         CAST('0x' || h[1:8] AS BIGINT) % (len(units) + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (len(units) + 1) AS c2,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut),
+parts AS (
+  SELECT *, array_to_string(units[1:least(c1, c2)], '') AS p, array_to_string(units[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+         array_to_string(units[greatest(c1, c2) + 1:], '') AS s
+  FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+ORACLES["op13_importance_resampling"] = r"""
+WITH steps AS (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+  FROM range(256) t(i)),
+crc_table AS (SELECT list(v ORDER BY i) AS crc FROM steps),
+worded AS (
+  SELECT 'd' AS side, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+  UNION ALL
+  SELECT 'b', 0, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+counted AS (SELECT side, id, word, count(*) AS c FROM (SELECT side, id, unnest(words) AS word FROM worded) GROUP BY ALL),
+bytes AS (
+  SELECT word, list_transform(range(1, length(hex(encode(word))) + 1, 2),
+         lambda k: CAST('0x' || substr(hex(encode(word)), k, 2) AS BIGINT)) AS b
+  FROM (SELECT DISTINCT word FROM counted)),
+buckets AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, crc[xor(c & 255, x) + 1])), 4294967295) % 10000 AS bucket
+  FROM bytes, crc_table),
+sides AS (SELECT bucket, sum(c) FILTER (side = 'd') AS s, sum(c) FILTER (side = 'b') AS t FROM counted JOIN buckets USING (word) GROUP BY bucket),
+totals AS (SELECT CAST(coalesce(sum(s), 0) AS DOUBLE) AS all_s, CAST(coalesce(sum(t), 0) AS DOUBLE) AS all_t FROM sides),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000) / ((coalesce(s, 0) + 1)::DOUBLE * (all_t + 10000)))) AS BIGINT) AS gain
+  FROM sides, totals),
+weighed AS (
+  SELECT id, CAST(sum(c) AS BIGINT) AS n, CAST(sum(c * gain) AS BIGINT) AS weight
+  FROM counted JOIN buckets USING (word) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id),
+scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('2024:' || CAST(doc_id AS VARCHAR))[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM documents LEFT JOIN weighed ON id = doc_id),
+placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k, count(*) OVER () AS every FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN k <= every * 10 // 100 THEN k END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cartstream.llm import (
-    embeddings, fill_middle, fingerprints, importance, near_duplicates, packing, phrases, quality, secrets, sentencepiece, suffix_array,
-    url_filters,
+    embeddings, fill_middle, fingerprints, html_text, importance, near_duplicates, packing, phrases, quality, secrets, sentencepiece,
+    suffix_array, url_filters,
 )
 from cartstream.llm.common import read_table
 
@@ -104,6 +104,11 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+@query
+def op11_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(read_table(spark, folder, "pages"))
+
+
 @query
 def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     return fill_middle.fill_in_middle(read_table(spark, folder, "documents"), digests=True)

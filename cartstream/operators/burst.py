@@ -1,41 +1,85 @@
 """Delivery-error bursts and the pauses they cause.
 
-Both look back a fixed time. Rows are cut into time blocks per key and each block
-gets a copy of the rows just before it, so a key that holds a third of all rows is
-spread over as many tasks as it has blocks.
+Both look back a fixed time. Nothing is cut by time: rows are range partitioned by key and time, so slices hold about
+equally many rows however densely they lie, and a key that holds a third of all rows, or a second that does, is many
+slices. What a row needs from before or after its slice comes from totals per slice, or from a step function of it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartstream.operators.metrics import MICROS, cell, from_micros, micros
+from cartstream.operators.metrics import MICROS, from_micros, micros
 from cartstream.operators.ordered import join_groups
 from cartstream.session import cut_lineage
 
 
-def _blocks(rows: DataFrame, block_us: int, halo_us: int) -> DataFrame:
-    """Adds `_block`; rows of the last `halo_us` of a block also go to the next, with `_own` false."""
-    home, reach = cell(F.col("_us"), block_us), cell(F.col("_us") + halo_us, block_us)
-    out = rows.withColumn("_home", home).withColumn("_block", F.explode(F.sequence(home, reach)))
-    return out.withColumn("_own", F.col("_block") == F.col("_home")).drop("_home")
+def _slices(df: DataFrame, rows: int | None) -> int:
+    """How many slices to cut: one per shuffle partition, or as many as slices of `rows` rows make."""
+    return -(-df.count() // rows) or 1 if rows else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _trailing(value: str, key: list[str], window_us: int) -> Column:
-    """Sum of `value` over the closed last `window_us`, within the key's block.
+def _sliced(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """`df` with `_slice`, written so that a retried task cannot move rows between slices."""
+    return cut_lineage(df.repartitionByRange(n, *order).withColumn("_slice", F.spark_partition_id()))
 
-    A difference of two running sums: their frames only ever grow, so each row is added
-    once. A frame that slides would be summed anew for every row.
+
+def _shared(sliced: DataFrame, key: list[str]) -> DataFrame:
+    """Keys that may lie in several slices: the lowest ones, as neighbouring slices share at most one. At most a row per slice."""
+    lowest = sliced.groupBy("_slice").agg(F.min(F.struct(*key)).alias("_k"))
+    return lowest.select("_k").distinct().select(*[F.col("_k")[k].alias(k) for k in key])
+
+
+def _same(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> DataFrame:
+    """`left` joined with broadcast rows of slices (bounded by their number), NULL keys like any other."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in columns else F.col(c) for c in right.columns])
+    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in columns])
+    return left.join(F.broadcast(renamed), on, how).drop(*[f"_r_{c}" for c in columns])
+
+
+TICK, BEHIND, AHEAD = 1, 2, 0  # at one moment, look-ups ahead come first and look-ups behind last
+
+
+def _around(instants: DataFrame, key: list[str], value: str, window_us: int, ahead_us: int | None, block: int | None) -> DataFrame:
+    """(key…, _us, n_at, n_window[, _next]) of instants (key…, _us, value), one row each.
+
+    Every instant asks for the key's running sum at the moment just before its window, and with `ahead_us` for the first
+    instant that much later. Questions and instants are ordered together: a running sum and a running minimum answer them.
     """
-    w = Window.partitionBy(*key, "_block").orderBy("_us")
-    upto = F.sum(value).over(w.rangeBetween(Window.unboundedPreceding, 0))
-    before = F.sum(value).over(w.rangeBetween(Window.unboundedPreceding, -window_us - 1))
-    return upto - F.coalesce(before, F.lit(0))
+    asked = [
+        F.struct(F.col("_us").alias("_at"), F.lit(TICK).alias("_kind"), F.col(value).alias("_v")),
+        F.struct((F.col("_us") - window_us - 1).alias("_at"), F.lit(BEHIND).alias("_kind"), F.lit(0).cast("bigint").alias("_v")),
+    ]
+    if ahead_us is not None:
+        asked.append(F.struct((F.col("_us") + ahead_us).alias("_at"), F.lit(AHEAD).alias("_kind"), F.lit(0).cast("bigint").alias("_v")))
+    points = instants.select(*key, "_us", F.explode(F.array(*asked)).alias("_p")).select(*key, "_us", "_p.*")
+    sliced = _sliced(points, [*key, "_at", "_kind"], _slices(points, block))
+    tick_at = F.when(F.col("_kind") == TICK, F.col("_at"))
+
+    totals = _same(sliced, _shared(sliced, key), key, "left_semi").groupBy(*key, "_slice").agg(
+        F.sum("_v").alias("_total"), F.min(tick_at).alias("_first")
+    )
+    before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    beyond = Window.partitionBy(*key).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select(*key, "_slice", F.sum("_total").over(before).alias("_shift"), F.min("_first").over(beyond).alias("_later"))
+
+    within = Window.partitionBy("_slice", *key)
+    upto = F.sum("_v").over(within.orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0))
+    on = F.min(tick_at).over(within.orderBy(F.desc("_at"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, 0))
+    read = sliced.withColumn("_upto", upto)
+    if ahead_us is not None:
+        read = read.withColumn("_on", on)
+    read = _same(read, shifts, [*key, "_slice"], "left").withColumn("_upto", F.col("_upto") + F.coalesce("_shift", F.lit(0)))
+    of = lambda kind, c: F.max(F.when(F.col("_kind") == kind, c))
+    answers = [of(TICK, F.col("_v")).alias("n_at"), (of(TICK, F.col("_upto")) - of(BEHIND, F.col("_upto"))).alias("n_window")]
+    if ahead_us is not None:
+        answers.append(of(AHEAD, F.coalesce("_on", "_later")).alias("_next"))
+    return read.groupBy(*key, "_us").agg(*answers)
 
 
 def trailing_count(
@@ -43,16 +87,12 @@ def trailing_count(
 ) -> DataFrame:
     """(key…, ts, n_at, n_window): rows at this instant and in the closed last `window` seconds.
 
-    Rows of one key and instant are added up before anything is ordered.
+    Rows of one key and instant are added up before anything is ordered. `block` is the number of rows a slice should hold.
     """
-    block_us, window_us = (block or 60 * window) * MICROS, window * MICROS
-    instants = df.groupBy(*key, ts).agg(F.count("*").alias("n_at")).withColumn("_us", micros(F.col(ts)))
-    return (
-        _blocks(instants, block_us, window_us)
-        .withColumn("n_window", _trailing("n_at", key, window_us))
-        .filter("_own")
-        .select(*key, ts, "n_at", "n_window")
-    )
+    instants = df.groupBy(*key, F.col(ts).alias("_ts")).agg(F.count("*").alias("_n")).withColumn("_us", micros(F.col("_ts")))
+    counted = _around(instants.drop("_ts"), key, "_n", window * MICROS, None, block)
+    moment = F.timestamp_micros("_us").cast(df.schema[ts].dataType)
+    return counted.select(*key, moment.alias(ts), "n_at", "n_window")
 
 
 def error_burst(
@@ -70,94 +110,137 @@ def error_burst(
 # -- pauses ------------------------------------------------------------------
 
 NEVER = 2**62
+FAN = 16  # step functions put together by one task
 
 
 def pause_candidates(
     ticks: DataFrame, key: list[str], is_error: str, ts: str, window: int, threshold: int, cooldown: int,
-    block_us: int,
+    block: int | None = None,
 ) -> DataFrame:
     """(key…, _us, _resume): ticks that would start a pause, and the tick that would end it."""
     err = F.coalesce(F.col(is_error).cast("bigint"), F.lit(0))
-    instants = ticks.groupBy(*key, ts).agg(F.sum(err).alias("n_err")).withColumn("_us", micros(F.col(ts)))
-    tested = _blocks(instants, block_us, window * MICROS).withColumn(
-        "_n", _trailing("n_err", key, window * MICROS)
-    ).filter("_own")
-    tested = cut_lineage(tested.select(*key, "_us", "_n"))  # read four times below
-
-    # The resume tick is the first tick at or after start + cooldown: looked up in the block
-    # that moment falls in, else it is the first tick of the key's next block with ticks.
-    none = F.lit(None).cast("bigint")
-    at_tick = tested.select(*key, none.alias("_us"), F.col("_us").alias("_at"), F.col("_us").alias("_tick"))
-    at_end = tested.filter(F.col("_n") >= threshold).select(
-        *key, "_us", (F.col("_us") + cooldown * MICROS).alias("_at"), none.alias("_tick")
-    )
-    points = at_tick.unionByName(at_end).withColumn("_block", cell(F.col("_at"), block_us))
-    # Both look ahead by running backwards, which adds each row once.
-    ahead = Window.partitionBy(*key, "_block").orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, 0)
-    later = Window.partitionBy(*key).orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
-    next_block = (
-        points.groupBy(*key, "_block").agg(F.min("_tick").alias("_first"))
-        .select(*key, "_block", F.min("_first").over(later).alias("_later"))
-    )
-    starts = points.withColumn("_resume", F.min("_tick").over(ahead)).filter(F.col("_us").isNotNull())
-    return (
-        join_groups(starts, next_block, [*key, "_block"])
-        .select(*key, "_us", F.coalesce("_resume", "_later", F.lit(NEVER)).alias("_resume"))
-    )
+    instants = ticks.groupBy(*key, micros(F.col(ts)).alias("_us")).agg(F.sum(err).alias("_n"))
+    around = _around(instants, key, "_n", window * MICROS, cooldown * MICROS, block)
+    return around.filter(F.col("n_window") >= threshold).select(*key, "_us", F.coalesce("_next", F.lit(NEVER)).alias("_resume"))
 
 
-def _jumps(pdf: pd.DataFrame, keys: list[str], block_us: int, cooldown_us: int) -> pd.DataFrame:
-    """For the candidates a chain can enter the block at: the resume tick it leaves with.
+class Steps:
+    """What a run of candidates does to the resume tick it is entered with, as a step function.
 
-    A pause that began before the block resumes at the latest at the first tick
-    after the block's first `cooldown` seconds, so only candidates up to there, and
-    the two that follow, can be the first of the block.
+    Entered with x, the first of `at` that is later than x pauses, and `leaves` at its place is the resume tick carried on; with none
+    later, x is. Such functions can be put together in any grouping. A pause begun earlier resumes at the latest at
+    the first tick after `reach` (the first candidate and the cooldown), so only steps up to there, and the two that follow, count.
     """
-    pdf = pdf.sort_values("_us")
-    t, resume = pdf["_us"].to_numpy(), pdf["_resume"].to_numpy()
-    nxt = np.searchsorted(t, resume, side="right")
-    # Where each chain ends, by pointer jumping; then only the last of the candidates that leave alike is needed.
-    end = np.where(nxt < len(t), nxt, np.arange(len(t)))
+
+    def __init__(self, at: np.ndarray, leaves: np.ndarray, reach: int):
+        keep = int(np.searchsorted(at, reach, side="left")) + 2
+        at, leaves = at[:keep], leaves[:keep]
+        last = np.append(leaves[:-1] != leaves[1:], True) if len(at) else np.zeros(0, bool)
+        self.at, self.leaves, self.reach = at[last], leaves[last], reach
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        k = np.searchsorted(self.at, x, side="right")
+        return np.where(k < len(self.at), np.append(self.leaves, 0)[k], x)
+
+    def then(self, later: Steps) -> Steps:
+        beyond = later.at > (self.at[-1] if len(self.at) else -NEVER)
+        return Steps(np.append(self.at, later.at[beyond]), np.append(later(self.leaves), later.leaves[beyond]), self.reach)
+
+
+def _following(codes: np.ndarray, us: np.ndarray, resume: np.ndarray) -> np.ndarray:
+    """For candidates in the order of key code and time: the next one later than the resume tick, or their number."""
+    n = len(us)
+    order = np.lexsort((np.repeat([0, 1], n), np.append(us, resume), np.append(codes, codes)))
+    counts = np.cumsum(order < n)
+    nxt = np.empty(n, np.int64)
+    nxt[order[order >= n] - n] = counts[order >= n]
+    other = nxt < n
+    other[other] = codes[nxt[other]] != codes[other]
+    return np.where(other, n, nxt)
+
+
+def _ordered(pdf: pd.DataFrame, keys: list[str]) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
+    """A slice by key and time, the key codes, and where each key begins."""
+    codes = pdf.groupby(keys, dropna=False, sort=False).ngroup().to_numpy()
+    order = np.lexsort((pdf["_us"].to_numpy(), codes))
+    codes = codes[order]
+    return pdf.iloc[order], codes, np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+
+
+def _steps(pdf: pd.DataFrame, keys: list[str], cooldown_us: int) -> pd.DataFrame:
+    """The step functions of a slice's keys."""
+    pdf, codes, first = _ordered(pdf, keys)
+    us, resume = pdf["_us"].to_numpy(), pdf["_resume"].to_numpy()
+    n, nxt = len(us), _following(codes, us, resume)
+    # Where each chain ends, by pointer jumping.
+    end = np.where(nxt < n, nxt, np.arange(n))
     while (end != end[end]).any():
         end = end[end]
-    leaves = resume[end]
-    begin = int(pdf["_block"].iloc[0]) * block_us
-    n = int(np.searchsorted(t, begin + cooldown_us, side="left")) + 2
-    steps = pdf.assign(_leaves=leaves)[[*keys, "_block", "_us", "_leaves"]].head(n)
-    last = np.append(leaves[: len(steps) - 1] != leaves[1 : len(steps)], True)
-    return steps[last]
-
-
-def _enter(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Read through jump rows in the order key, block, time: the resume tick carried into each block."""
-    key = block = None
-    carried, chosen = -NEVER, False
-    for pdf in batches:
-        out = []
-        for *k, b, us, leaves in pdf[[*keys, "_block", "_us", "_leaves"]].itertuples(index=False):
-            if k != key:
-                key, block, carried = k, None, -NEVER
-            if b != block:
-                block, chosen = b, False
-                out.append((*k, b, carried))
-            if not chosen and us > carried:
-                carried, chosen = leaves, True
-        yield pd.DataFrame(out, columns=[*keys, "_block", "_carried"]).astype(
-            {"_block": "int64", "_carried": "int64"}
-        )
+    leaves, out = resume[end], pdf.iloc[first][[*keys, "_slice"]].copy()
+    runs = [Steps(us[a:b], leaves[a:b], int(us[a]) + cooldown_us) for a, b in zip(first, np.append(first[1:], n), strict=True)]
+    return out.assign(at=[r.at for r in runs], leaves=[r.leaves for r in runs], reach=[r.reach for r in runs])
+
+
+def _together(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
+    """One step function for up to `FAN` neighbouring ones of a key."""
+    pdf = pdf.sort_values("_slice")
+    total = reduce(Steps.then, map(Steps, pdf["at"], pdf["leaves"], pdf["reach"]))
+    out = pdf.iloc[:1][keys].copy()
+    return out.assign(_slice=pdf["_slice"].iloc[0] // FAN, at=[total.at], leaves=[total.leaves], reach=total.reach)
+
+
+def _entered(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
+    """The resume ticks carried into up to `FAN` neighbouring functions, given the one carried into the first."""
+    pdf = pdf.sort_values("_slice")
+    x, carried = np.array([pdf["_carried"].iloc[0]]), []
+    for at, leaves, reach in zip(pdf["at"], pdf["leaves"], pdf["reach"], strict=True):
+        carried.append(int(x[0]))
+        x = Steps(at, leaves, reach)(x)
+    return pdf[[*keys, "_slice"]].assign(_carried=carried)
 
 
 def _walk(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
-    """Pauses of one block, given the resume tick carried into it."""
-    pdf = pdf.sort_values("_us")
-    t, resume = pdf["_us"].to_numpy(), pdf["_resume"].to_numpy()
-    picked, j = [], int(np.searchsorted(t, pdf["_carried"].iloc[0], side="right"))
-    while j < len(t):
-        picked.append(j)
-        j = int(np.searchsorted(t, resume[j], side="right"))
+    """Pauses of one slice, given the resume tick carried into each of its keys."""
+    pdf, codes, first = _ordered(pdf, keys)
+    us, resume, n = pdf["_us"].to_numpy(), pdf["_resume"].to_numpy(), len(pdf)
+    nxt = np.append(_following(codes, us, resume), n)
+    carried = pdf["_carried"].fillna(-NEVER).to_numpy().astype(np.int64)
+    # Of each key, the first candidate later than what is carried in; then all that follow from them, by doubling.
+    open_ = us > carried
+    starts = np.flatnonzero(open_)
+    picked = starts[np.append(True, codes[starts[1:]] != codes[starts[:-1]])] if len(starts) else starts
+    while True:
+        more = nxt[picked]
+        more = more[more < n]
+        if not len(np.setdiff1d(more, picked)):
+            break
+        picked, nxt = np.union1d(picked, more), nxt[nxt]
     return pdf.iloc[picked][[*keys, "_us", "_resume"]]
 
 
+def carried_in(functions: DataFrame, key: list[str], n: int) -> DataFrame:
+    """(key…, _slice, _carried): the resume tick each step function is entered with, of functions (key…, _slice, at, leaves, reach).
+
+    `FAN` neighbours become one function, round by round; then the rounds are gone back and each hands its entry down.
+    """
+    fields = ", ".join(f"`{k}` {functions.schema[k].dataType.simpleString()}" for k in key)
+    function = f"{fields}, _slice bigint, at array<bigint>, leaves array<bigint>, reach bigint"
+    entry = f"{fields}, _slice bigint, _carried bigint"
+    up = F.call_function("div", F.col("_slice"), F.lit(FAN)).alias("_up")
+    levels = [functions]
+    while FAN ** len(levels) < n:
+        levels.append(cut_lineage(levels[-1].groupBy(*key, up).applyInPandas(lambda pdf: _together(pdf, key), function)))
+    entries = None
+    for level in reversed(levels):
+        asked = level.withColumn("_up", up)
+        if entries is None:
+            asked = asked.withColumn("_carried", F.lit(-NEVER))
+        else:
+            asked = join_groups(asked, entries.withColumnRenamed("_slice", "_up"), [*key, "_up"])
+        entries = asked.groupBy(*key, "_up").applyInPandas(lambda pdf: _entered(pdf, key), entry)
+    return entries
+
+
 def pause_intervals(
     ticks: DataFrame, key: list[str], is_error: str, ts: str = "ts", window: int = 10, threshold: int = 5,
     cooldown: int = 5, block: int | None = None, after: DataFrame | None = None,
@@ -170,31 +253,31 @@ def pause_intervals(
     tested itself (`resumed_tick` is NULL if there is none).
 
     Which tick starts the next pause depends on the previous pause, but only through
-    its resume tick. So each time block works out in parallel where a chain that
-    enters it would leave it; one read through these rows (of each block, those of its
-    first `cooldown` seconds and two more) fixes the entry of each block; then all
-    blocks list their pauses in parallel.
+    its resume tick. So the candidates are cut into slices of about equal size; of a key that lies in several, each slice works
+    out in parallel what it would do to any resume tick carried into it. Putting these step functions together
+    gives each slice its entry; then all slices list their pauses in parallel.
 
     `is_error` may also be a number of errors. With after(key…, after_us), one row per
-    key, only ticks later than that are tested; earlier ones still count as errors.
+    key, only ticks later than that are tested; earlier ones still count as errors. `block` is the number of rows a slice
+    should hold.
     """
-    block_us, cool_us = (block or 360 * window) * MICROS, cooldown * MICROS
-    found = pause_candidates(ticks, key, is_error, ts, window, threshold, cooldown, block_us)
+    cool_us = cooldown * MICROS
+    found = pause_candidates(ticks, key, is_error, ts, window, threshold, cooldown, block)
     if after is not None:
         known = join_groups(found, after, key, "left")
         found = known.filter(F.col("_us") > F.coalesce("after_us", F.lit(-NEVER))).drop("after_us")
-    found = cut_lineage(found)
-    blocked = found.withColumn("_block", cell(F.col("_us"), block_us))
+    if block:
+        found = cut_lineage(found)
+    n = _slices(found, block)
+    sliced = _sliced(found, [*key, "_us"], n)
     fields = ", ".join(f"`{k}` {found.schema[k].dataType.simpleString()}" for k in key)
 
-    jumps = blocked.groupBy(*key, "_block").applyInPandas(
-        lambda pdf: _jumps(pdf, key, block_us, cool_us), f"{fields}, _block bigint, _us bigint, _leaves bigint"
-    )
-    entries = (
-        jumps.repartition(*key).sortWithinPartitions(*key, "_block", "_us")
-        .mapInPandas(lambda batches: _enter(batches, key), f"{fields}, _block bigint, _carried bigint")
-    )
-    pauses = join_groups(blocked, entries, [*key, "_block"]).groupBy(*key, "_block").applyInPandas(
+    spanning = _same(sliced, _shared(sliced, key), key, "left_semi")
+    functions = cut_lineage(spanning.groupBy("_slice").applyInPandas(
+        lambda pdf: _steps(pdf, key, cool_us), f"{fields}, _slice bigint, at array<bigint>, leaves array<bigint>, reach bigint"
+    ))
+    entries = cut_lineage(carried_in(functions, key, n))
+    pauses = _same(sliced, entries, [*key, "_slice"], "left").groupBy("_slice").applyInPandas(
         lambda pdf: _walk(pdf, key), f"{fields}, _us bigint, _resume bigint"
     )
     return pauses.select(

@@ -330,7 +330,7 @@ SELECT topic, ts, n_window, n_window >= 5 AS burst FROM (
   FROM events WHERE value > 20)""")
 def error_burst(t):
     errors = t["events"].filter("value > 20").select(F.col("event_type").alias("topic"), "ts")
-    return burst.error_burst(errors, ["topic"], "ts", BURST_WINDOW, 5, block=24 * HOUR)
+    return burst.error_burst(errors, ["topic"], "ts", BURST_WINDOW, 5)
 
 
 @query("pause_intervals", f"""
@@ -354,7 +354,7 @@ SELECT topic, paused_at, resumes_at, resumed_tick FROM chain""")
 def pause_intervals(t):
     """Pauses per topic; which tick pauses depends on the pause before."""
     ticks = t["events"].select(F.col("event_type").alias("topic"), "ts", (F.col("value") > 20).alias("is_error"))
-    return burst.pause_intervals(ticks, ["topic"], "is_error", "ts", BURST_WINDOW, 5, HOUR, block=24 * HOUR)
+    return burst.pause_intervals(ticks, ["topic"], "is_error", "ts", BURST_WINDOW, 5, HOUR)
 
 
 # -- upkeep ------------------------------------------------------------------

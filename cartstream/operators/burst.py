@@ -24,15 +24,9 @@ def _slices(df: DataFrame, rows: int | None) -> int:
     return -(-df.count() // rows) or 1 if rows else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _sliced(df: DataFrame, order: list[str], n: int) -> DataFrame:
-    """`df` with `_slice`, written so that a retried task cannot move rows between slices."""
-    return cut_lineage(df.repartitionByRange(n, *order).withColumn("_slice", F.spark_partition_id()))
-
-
 def _shared(sliced: DataFrame, key: list[str]) -> DataFrame:
-    """Keys that may lie in several slices: the lowest ones, as neighbouring slices share at most one. At most a row per slice."""
-    lowest = sliced.groupBy("_slice").agg(F.min(F.struct(*key)).alias("_k"))
-    return lowest.select("_k").distinct().select(*[F.col("_k")[k].alias(k) for k in key])
+    """Keys that lie in several slices: fewer than there are slices, as neighbouring ones share at most one."""
+    return sliced.groupBy(*key).agg(F.min("_slice").alias("_a"), F.max("_slice").alias("_b")).filter("_a < _b").select(*key)
 
 
 def _same(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> DataFrame:
@@ -45,38 +39,42 @@ def _same(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> Da
 TICK, BEHIND, AHEAD = 1, 2, 0  # at one moment, look-ups ahead come first and look-ups behind last
 
 
-def _around(instants: DataFrame, key: list[str], value: str, window_us: int, ahead_us: int | None, block: int | None) -> DataFrame:
-    """(key…, _us, n_at, n_window[, _next]) of instants (key…, _us, value), one row each.
+def _around(instants: DataFrame, key: list[str], value: str, window_us: int, ahead_us: int | None, n: int) -> DataFrame:
+    """(key…, _us, _slice, n_at, n_window[, _next]) of instants (key…, _us, value), one row each, dealt to `n` slices.
 
     Every instant asks for the key's running sum at the moment just before its window, and with `ahead_us` for the first
-    instant that much later. Questions and instants are ordered together: a running sum and a running minimum answer them.
+    instant that much later. Questions and instants are ordered together; a running sum and the next instant of each slice, shifted by
+    what the key's other slices hold, answer them. The slices are written, so that a retried task cannot move rows between them.
     """
+    zero = F.lit(0).cast("bigint")
     asked = [
         F.struct(F.col("_us").alias("_at"), F.lit(TICK).alias("_kind"), F.col(value).alias("_v")),
-        F.struct((F.col("_us") - window_us - 1).alias("_at"), F.lit(BEHIND).alias("_kind"), F.lit(0).cast("bigint").alias("_v")),
+        F.struct((F.col("_us") - window_us - 1).alias("_at"), F.lit(BEHIND).alias("_kind"), zero.alias("_v")),
     ]
     if ahead_us is not None:
-        asked.append(F.struct((F.col("_us") + ahead_us).alias("_at"), F.lit(AHEAD).alias("_kind"), F.lit(0).cast("bigint").alias("_v")))
-    points = instants.select(*key, "_us", F.explode(F.array(*asked)).alias("_p")).select(*key, "_us", "_p.*")
-    sliced = _sliced(points, [*key, "_at", "_kind"], _slices(points, block))
-    tick_at = F.when(F.col("_kind") == TICK, F.col("_at"))
+        asked.append(F.struct((F.col("_us") + ahead_us).alias("_at"), F.lit(AHEAD).alias("_kind"), zero.alias("_v")))
+    points = instants.filter("_us IS NOT NULL").select(*key, "_us", F.explode(F.array(*asked)).alias("_p")).select(*key, "_us", "_p.*")
+    order = [*key, "_at", "_kind"]
+    sliced = cut_lineage(points.repartitionByRange(n, *order).withColumn("_slice", F.spark_partition_id()))
 
-    totals = _same(sliced, _shared(sliced, key), key, "left_semi").groupBy(*key, "_slice").agg(
-        F.sum("_v").alias("_total"), F.min(tick_at).alias("_first")
-    )
+    tick_at = F.when(F.col("_kind") == TICK, F.col("_at"))
+    totals = sliced.groupBy(*key, "_slice").agg(F.sum("_v").alias("_total"), F.min(tick_at).alias("_first"))
     before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     beyond = Window.partitionBy(*key).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     shifts = totals.select(*key, "_slice", F.sum("_total").over(before).alias("_shift"), F.min("_first").over(beyond).alias("_later"))
-
+    shifts = shifts.filter("_shift IS NOT NULL OR _later IS NOT NULL")  # less than two for each slice
+    # Frames only grow: looking ahead runs backwards.
     within = Window.partitionBy("_slice", *key)
-    upto = F.sum("_v").over(within.orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0))
-    on = F.min(tick_at).over(within.orderBy(F.desc("_at"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, 0))
-    read = sliced.withColumn("_upto", upto)
+    read = sliced.withColumn("_upto", F.sum("_v").over(within.orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)))
     if ahead_us is not None:
-        read = read.withColumn("_on", on)
+        backwards = within.orderBy(F.desc("_at"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, 0)
+        read = read.withColumn("_on", F.min(tick_at).over(backwards))
     read = _same(read, shifts, [*key, "_slice"], "left").withColumn("_upto", F.col("_upto") + F.coalesce("_shift", F.lit(0)))
     of = lambda kind, c: F.max(F.when(F.col("_kind") == kind, c))
-    answers = [of(TICK, F.col("_v")).alias("n_at"), (of(TICK, F.col("_upto")) - of(BEHIND, F.col("_upto"))).alias("n_window")]
+    answers = [
+        of(TICK, F.col("_slice")).alias("_slice"), of(TICK, F.col("_v")).alias("n_at"),
+        (of(TICK, F.col("_upto")) - of(BEHIND, F.col("_upto"))).alias("n_window"),
+    ]
     if ahead_us is not None:
         answers.append(of(AHEAD, F.coalesce("_on", "_later")).alias("_next"))
     return read.groupBy(*key, "_us").agg(*answers)
@@ -90,7 +88,7 @@ def trailing_count(
     Rows of one key and instant are added up before anything is ordered. `block` is the number of rows a slice should hold.
     """
     instants = df.groupBy(*key, F.col(ts).alias("_ts")).agg(F.count("*").alias("_n")).withColumn("_us", micros(F.col("_ts")))
-    counted = _around(instants.drop("_ts"), key, "_n", window * MICROS, None, block)
+    counted = _around(instants.drop("_ts"), key, "_n", window * MICROS, None, _slices(instants, block))
     moment = F.timestamp_micros("_us").cast(df.schema[ts].dataType)
     return counted.select(*key, moment.alias(ts), "n_at", "n_window")
 
@@ -115,13 +113,15 @@ FAN = 16  # step functions put together by one task
 
 def pause_candidates(
     ticks: DataFrame, key: list[str], is_error: str, ts: str, window: int, threshold: int, cooldown: int,
-    block: int | None = None,
+    n: int,
 ) -> DataFrame:
-    """(key…, _us, _resume): ticks that would start a pause, and the tick that would end it."""
+    """(key…, _us, _slice, _resume): ticks that would start a pause, the tick that would end it, and its slice of `n`."""
     err = F.coalesce(F.col(is_error).cast("bigint"), F.lit(0))
     instants = ticks.groupBy(*key, micros(F.col(ts)).alias("_us")).agg(F.sum(err).alias("_n"))
-    around = _around(instants, key, "_n", window * MICROS, cooldown * MICROS, block)
-    return around.filter(F.col("n_window") >= threshold).select(*key, "_us", F.coalesce("_next", F.lit(NEVER)).alias("_resume"))
+    around = _around(instants, key, "_n", window * MICROS, cooldown * MICROS, n)
+    return around.filter(F.col("n_window") >= threshold).select(
+        *key, "_us", "_slice", F.coalesce("_next", F.lit(NEVER)).alias("_resume")
+    )
 
 
 class Steps:
@@ -186,7 +186,7 @@ def _together(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
     pdf = pdf.sort_values("_slice")
     total = reduce(Steps.then, map(Steps, pdf["at"], pdf["leaves"], pdf["reach"]))
     out = pdf.iloc[:1][keys].copy()
-    return out.assign(_slice=pdf["_slice"].iloc[0] // FAN, at=[total.at], leaves=[total.leaves], reach=total.reach)
+    return out.assign(_slice=pdf["_up"].iloc[0], at=[total.at], leaves=[total.leaves], reach=total.reach)
 
 
 def _entered(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
@@ -226,10 +226,11 @@ def carried_in(functions: DataFrame, key: list[str], n: int) -> DataFrame:
     fields = ", ".join(f"`{k}` {functions.schema[k].dataType.simpleString()}" for k in key)
     function = f"{fields}, _slice bigint, at array<bigint>, leaves array<bigint>, reach bigint"
     entry = f"{fields}, _slice bigint, _carried bigint"
-    up = F.call_function("div", F.col("_slice"), F.lit(FAN)).alias("_up")
-    levels = [functions]
+    up = F.call_function("div", F.col("_slice"), F.lit(FAN))
+    levels = [functions if n <= FAN else cut_lineage(functions)]
     while FAN ** len(levels) < n:
-        levels.append(cut_lineage(levels[-1].groupBy(*key, up).applyInPandas(lambda pdf: _together(pdf, key), function)))
+        below = levels[-1].withColumn("_up", up)
+        levels.append(cut_lineage(below.groupBy(*key, "_up").applyInPandas(lambda pdf: _together(pdf, key), function)))
     entries = None
     for level in reversed(levels):
         asked = level.withColumn("_up", up)
@@ -261,23 +262,20 @@ def pause_intervals(
     key, only ticks later than that are tested; earlier ones still count as errors. `block` is the number of rows a slice
     should hold.
     """
-    cool_us = cooldown * MICROS
-    found = pause_candidates(ticks, key, is_error, ts, window, threshold, cooldown, block)
+    cool_us, n = cooldown * MICROS, _slices(ticks, block)
+    found = pause_candidates(ticks, key, is_error, ts, window, threshold, cooldown, n)
     if after is not None:
         known = join_groups(found, after, key, "left")
         found = known.filter(F.col("_us") > F.coalesce("after_us", F.lit(-NEVER))).drop("after_us")
-    if block:
-        found = cut_lineage(found)
-    n = _slices(found, block)
-    sliced = _sliced(found, [*key, "_us"], n)
+    found = cut_lineage(found)
     fields = ", ".join(f"`{k}` {found.schema[k].dataType.simpleString()}" for k in key)
 
-    spanning = _same(sliced, _shared(sliced, key), key, "left_semi")
-    functions = cut_lineage(spanning.groupBy("_slice").applyInPandas(
+    spanning = _same(found, _shared(found, key), key, "left_semi")
+    functions = spanning.groupBy("_slice").applyInPandas(
         lambda pdf: _steps(pdf, key, cool_us), f"{fields}, _slice bigint, at array<bigint>, leaves array<bigint>, reach bigint"
-    ))
-    entries = cut_lineage(carried_in(functions, key, n))
-    pauses = _same(sliced, entries, [*key, "_slice"], "left").groupBy("_slice").applyInPandas(
+    )
+    entries = carried_in(functions, key, n)
+    pauses = _same(found, entries, [*key, "_slice"], "left").groupBy("_slice").applyInPandas(
         lambda pdf: _walk(pdf, key), f"{fields}, _us bigint, _resume bigint"
     )
     return pauses.select(

@@ -110,6 +110,47 @@ def test_pauses_are_the_state_machine(spark, seed, block):
     assert all(r["resumes_at"] - r["paused_at"] == timedelta(seconds=5) for r in got)
 
 
+def test_a_dense_second_is_many_slices(spark):
+    rnd = random.Random(1)
+    us = sorted(rnd.sample(range(1_000_000), 4000))
+    rows = [("hot", T0 + timedelta(microseconds=u), True) for u in us] + [("hot", T0 + timedelta(seconds=s), True) for s in (20, 25)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, err boolean")
+    got = sorted(tuple(r) for r in burst.error_burst(df, ["k"], block=500).select("ts", "n_window").collect())
+    assert [n for _, n in got] == [*range(1, 4001), 1, 2]
+    instants = df.select("k", burst.micros(F.col("ts")).alias("_us"), F.lit(1).cast("bigint").alias("n"))
+    sizes = [r["count"] for r in burst._around(instants, ["k"], "n", 10_000_000, None, 8).groupBy("_slice").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 1500  # questions lie in the other slices
+    assert burst.error_burst(df.withColumn("ts", F.lit(None).cast("timestamp_ntz")), ["k"]).count() == 0
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_one_key_over_many_slices(spark, monkeypatch, seed):
+    monkeypatch.setattr(burst, "FAN", 3)  # several rounds up and down
+    ticks = error_times(seed, 500)
+    df = spark.createDataFrame([("k", t, e) for t, e in ticks], "k string, ts timestamp_ntz, err boolean")
+    got = burst.pause_intervals(df, ["k"], "err", block=40).collect()
+    assert sorted((r["paused_at"], r["resumed_tick"]) for r in got) == sorted(loop_pauses(ticks), key=lambda p: p[0])
+
+
+def test_step_functions_compose_in_any_grouping():
+    import numpy as np
+
+    rnd = random.Random(5)
+    runs, t = [], 0
+    for _ in range(6):
+        at = sorted(rnd.sample(range(t, t + 50), 8))
+        runs.append(burst.Steps(np.array(at), np.array(sorted(a + rnd.randint(3, 30) for a in at)), at[0] + 60))
+        t += 50
+    a, b, c, d, e, f = runs
+    left, right = a.then(b).then(c).then(d).then(e).then(f), a.then(b.then(c)).then(d.then(e.then(f)))
+    for x in [-burst.NEVER, *range(-5, a.reach)]:
+        one = np.array([x])
+        want = one
+        for run in runs:
+            want = run(want)
+        assert left(one) == right(one) == want
+
+
 @pytest.mark.parametrize("seed,cuts", [(1, 3), (2, 5)])
 def test_pauses_followed_batch_by_batch(spark, tmp_path, seed, cuts):
     from cartstream.streaming.pauses import PauseTracker

@@ -122,7 +122,7 @@ class WebhookPipeline:
         root = root.rstrip("/")
         self.secret, self.mode, self.delete_policy = secret, mode, delete_policy
         self.specs = specs or wh.STATE_SPECS
-        self.audit = BatchLog(spark, f"{root}/audit", bloom=["payload_hash"])
+        self.audit = BatchLog(spark, f"{root}/audit", bloom=["payload_hash"], hashed="payload_hash")
         self.rejected = BatchLog(spark, f"{root}/rejected")
         self.deletes = {t: BatchLog(spark, f"{root}/deletes/{t}") for t in ("products", "order_details", "customers")}
         self.states = {t: KeyedState(spark, f"{root}/state/{t}", s) for t, s in self.specs.items()}
@@ -136,7 +136,9 @@ class WebhookPipeline:
         try:
             self.rejected.write(judged.filter(F.col("verdict") != "accepted"), batch_id)
             accepted = judged.filter(F.col("verdict") == "accepted").drop("verdict")
-            fresh = wh.dedup_payload(accepted, self.audit.read(before=batch_id))
+            first = wh.dedup_in_batch(accepted)
+            seen = self.audit.among(first.select("payload_hash"), before=batch_id)
+            fresh = first if seen is None else first.join(seen, "payload_hash", "left_anti").select(*first.columns)
             fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 for table, state in self.states.items():

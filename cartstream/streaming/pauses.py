@@ -33,7 +33,7 @@ class PauseTracker:
         self.key, self.is_error, self.ts = key, is_error, ts
         self.window, self.threshold, self.cooldown, self.block = window, threshold, cooldown, block
         self.log = BatchLog(spark, f"{root.rstrip('/')}/pauses")
-        self.carry = BatchLog(spark, f"{root.rstrip('/')}/carry")
+        self.carry = BatchLog(spark, f"{root.rstrip('/')}/carry", newest_only=True)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         key, ts = self.key, self.ts

@@ -1,5 +1,6 @@
 """Streams over files: same rows as the batch, nothing twice after a restart or a replay."""
 
+import hashlib
 import json
 import os
 import time
@@ -249,6 +250,35 @@ def test_logs_and_state_stay_in_few_folders(spark, tmp_path):
     assert len(os.listdir(tmp_path / "state" / "delta")) <= 8 and state.folded()._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
 
 
+def test_merging_rewrites_a_logarithmic_share(spark, tmp_path):
+    log = BatchLog(spark, str(tmp_path), compact_every=3)
+    rewritten, combine = [], log._combine
+    log._combine = lambda paths, path: (rewritten.append(sum(spark.read.parquet(p).count() for p in paths)), combine(paths, path))
+    for k in range(40):
+        log.write(spark.createDataFrame([(k,)], "v int").coalesce(1), k)
+        if k == 26:
+            reader = log.read()
+        if k == 28:
+            assert reader.count() == 27  # opened before a merge, finished after it
+    assert sorted(r["v"] for r in log.read().collect()) == list(range(40))
+    assert sum(rewritten) <= 4 * 40 and len(log.levels.live()) <= 3 * 4
+    log.write(spark.createDataFrame([(99,)], "v int"), 5)  # merged long ago: it is not stored twice
+    assert log.read().count() == 40
+
+
+def test_the_audit_is_read_by_prefix(spark, tmp_path):
+    log = BatchLog(spark, str(tmp_path), compact_every=4, hashed="h", digits=2)
+    sha = lambda k: hashlib.sha256(str(k).encode()).hexdigest()
+    for k in range(14):
+        log.write(spark.createDataFrame([(sha(10 * k + j), k) for j in range(10)], "h string, batch int").coalesce(1), k)
+    assert sorted(r["h"] for r in log.read().collect()) == sorted(sha(k) for k in range(140))
+    asked = spark.createDataFrame([(sha(k), k) for k in (3, 57, 139, 1000)], "h string, k int")
+    found = log.among(asked.select("h"))
+    assert sorted(r["h"] for r in found.collect()) == sorted(sha(k) for k in (3, 57, 139))
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["h"] for r in log.among(asked.select("h"), before=13).collect()) == sorted(sha(k) for k in (3, 57))
+
+
 def test_consumer_stores_each_valid_message_once(spark, sf, tmp_path):
     schema = T.StructType([f for f in a.raw_order_details(Tables(spark, sf)).schema if f.name != "event_id"])
     full = {f.name: None for f in schema} | {

@@ -1,5 +1,5 @@
 from cartstream.functions.text import (  # noqa: F401
-    composite_key, event_key, handle, join_tags, line_name, new_event_id, non_empty, sku, split_tags,
+    composite_key, event_key, handle, is_blank, join_tags, line_name, new_event_id, non_empty, sku, split_tags,
     to_text, truthy_id, variant_title,
 )
 from cartstream.functions.topics import (  # noqa: F401

@@ -27,6 +27,15 @@ def non_empty(value: Column) -> Column:
     return F.nullif(value, F.lit(""))
 
 
+# The characters Unicode counts as white space.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def is_blank(value: Column) -> Column:
+    """Text of white space only, or none."""
+    return F.btrim(value.cast("string"), F.lit(WHITE_SPACE)) == ""
+
+
 def truthy_id(value: Column) -> Column:
     """Id text, or NULL for the values a sender uses to say 'no id' ('' and 0)."""
     return F.when(~value.isin("", "0"), value)

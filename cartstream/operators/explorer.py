@@ -247,9 +247,27 @@ def assert_read_only(sql: str) -> None:
         raise NotReadOnly("the statement reads files by their path")
 
 
+_RELATION = re.compile(r"UnresolvedRelation \[(.*?)\], \[")
+_COMMON_TABLES = re.compile(r"CTE \[(.*?)\]")
+
+
+def assert_known_relations(spark: SparkSession, sql: str, tables: list[str]) -> None:
+    """Refuse a query that names a relation other than `tables` and its own common tables, however it is quoted.
+
+    The names are those of the parsed plan, subqueries included. A file read by its path is a name of two parts.
+    """
+    tree = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).treeString()
+    common = {name.strip() for names in _COMMON_TABLES.findall(tree) for name in names.split(",")}
+    known = {name.lower() for name in [*tables, *common]}
+    for name in _RELATION.findall(tree):
+        if name.lower() not in known:
+            raise NotReadOnly(f"no table named {name} is on offer")
+
+
 def read_only_sql(spark: SparkSession, sql: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Run one read-only query over `tables`, which are views while it is analysed; a view of the caller's is never replaced."""
     assert_read_only(sql)
+    assert_known_relations(spark, sql, list(tables or {}))
     made = []
     try:
         for name, df in (tables or {}).items():

@@ -94,6 +94,66 @@ def due(spark: SparkSession, source: str, partition_by: list[str] | None = None,
     return not compaction_groups(plan, ["partition"]).filter("n_files > 1").isEmpty()
 
 
+# -- tables kept in bins ---------------------------------------------------------
+
+BIN = "_bin"
+
+
+def bin_sizes(spark: SparkSession, root: str, partition_by: list[str]) -> DataFrame:
+    """(partition_by…, _bin, n_files, size_bytes) of a table partitioned by `partition_by` and `_bin`; no file is opened."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
+    return listing.groupBy(*partition_by, BIN).agg(F.count("*").alias("n_files"), F.sum(F.col("_metadata.file_size")).alias("size_bytes"))
+
+
+def append_to_bins(rows: DataFrame, root: str, partition_by: list[str], target: int = TARGET_BYTES) -> None:
+    """Append to the open bin of each partition: its newest one, or the next when that holds `target` bytes.
+
+    The table is plain Parquet with one more partition column, so small files gather in one folder per partition.
+    """
+    spark, opened = rows.sparkSession, None
+    if _exists(spark, root):
+        newest = bin_sizes(spark, root, partition_by).groupBy(*partition_by).agg(F.max_by("size_bytes", BIN).alias("_size"), F.max(BIN).alias("_last"))
+        opened = newest.select(
+            *[F.col(c).cast(rows.schema[c].dataType).alias(c) for c in partition_by],
+            (F.col("_last") + (F.col("_size") >= target).cast("int")).alias(BIN),
+        )
+    placed = rows.withColumn(BIN, F.lit(0)) if opened is None else (
+        join_groups(rows, opened, partition_by, "left").withColumn(BIN, F.coalesce(BIN, F.lit(0)))
+    )
+    placed.select(*rows.columns, BIN).write.mode("append").partitionBy(*partition_by, BIN).parquet(root)
+
+
+def compact_bins(spark: SparkSession, root: str, partition_by: list[str]) -> int:
+    """Rewrite the bins of several files, each as one file (as several where it is larger than a task's share); how many there were.
+
+    Their folders are replaced by a dynamic partition overwrite; the files of all other bins stay as they are. The rows come
+    from a written copy of these bins alone, whose number is compared before anything is replaced.
+    """
+    several = bin_sizes(spark, root, partition_by).filter("n_files > 1").select(*partition_by, BIN)
+    with scratch(several) as todo:
+        bins = todo.df.count()
+        if not bins:
+            return 0
+        table = spark.read.parquet(root)
+        chosen = join_groups(table, todo.df, [*partition_by, BIN], "left_semi").select(*table.columns)
+        with scratch(chosen.hint("rebalance", *partition_by, BIN)) as copy:
+            before, after = chosen.count(), copy.df.count()
+            if before != after:
+                raise RuntimeError(f"compaction of {root} would change its rows: {before} before, {after} after")
+            copy.df.hint("rebalance", *partition_by, BIN).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                *partition_by, BIN).parquet(root)
+    return bins
+
+
+def read_bins(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(root).drop(BIN)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
+
+
 def expired_snapshots(
     snapshots: DataFrame, now, older_than: str = OLDER_THAN, retain_last: int = RETAIN_LAST
 ) -> DataFrame:

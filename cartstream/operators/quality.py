@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartstream.functions import is_blank
+
 # What a stored order line must have.
 ORDER_DETAIL_REQUIRED = (
     "topic", "partition", "offset", "consumed_at", "order_id", "line_item_id", "title", "name",
@@ -15,15 +17,11 @@ ORDER_DETAIL_REQUIRED = (
 ORDER_DETAIL_BOOLEANS = ("requires_shipping", "taxable", "gift_card", "product_exists")
 
 
-# Nothing but white space, Unicode spaces and line breaks included.
-BLANK = r"(?U)^\s*$"
-
-
 def rejection_reasons(required, booleans) -> Column:
     """Array of reasons a row is refused; empty when it is fine. Blank text counts as missing."""
     checks = [
         F.when(
-            F.col(c).isNull() | F.col(c).cast("string").rlike(BLANK), F.lit(f"{c} is missing")
+            F.col(c).isNull() | is_blank(F.col(c)), F.lit(f"{c} is missing")
         )
         for c in required
     ] + [F.when(F.col(c).isNull(), F.lit(f"{c} is not true or false")) for c in booleans]

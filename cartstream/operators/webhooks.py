@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartstream import schemas
 from cartstream.functions import (
-    composite_key, hmac_sha256_base64, join_tags, non_empty, payload_hash, price_text, to_text,
+    composite_key, hmac_sha256_base64, is_blank, join_tags, non_empty, payload_hash, price_text, to_text,
     topic_operation, topic_table, topics_of, truthy_id, ts_or_default,
 )
 from cartstream.operators.upsert import UpsertSpec
@@ -68,7 +68,7 @@ def unusable(topic: Column, body: Column) -> Column:
     An update may leave the title out, it keeps the stored one.
     """
     b = F.from_json(body, _CHECKED)
-    no_title = lambda c: F.trim(F.coalesce(c, F.lit(""))) == ""
+    no_title = lambda c: is_blank(F.coalesce(c, F.lit("")))
     no_time = lambda c: F.nullif(c, F.lit("")).isNotNull() & F.try_to_timestamp(c).isNull()
     inside = lambda items: F.coalesce(
         F.exists(items, lambda x: no_time(x["created_at"]) | no_time(x["updated_at"])), F.lit(False))

@@ -212,10 +212,15 @@ def _order_item(number: str) -> str:
     )
 
 
+def _landed(t: Tables) -> DataFrame:
+    """Line items as a topic of many partitions has them; the test table is a single row group, which one task would read."""
+    return t["lineitem"].repartition("l_orderkey", "l_linenumber")
+
+
 def order_webhooks(t: Tables) -> DataFrame:
     """One order message per line item; first lines carry a second item, number 9."""
     items = f"{_order_item('l_linenumber')} || CASE WHEN l_linenumber = 1 THEN ', ' || {_order_item('9')} ELSE '' END"
-    return t["lineitem"].selectExpr(
+    return _landed(t).selectExpr(
         f"'w-' || {LINE_ID} AS webhook_id",
         "CASE WHEN l_linenumber % 2 = 0 THEN 'orders/updated' ELSE 'orders/create' END AS topic",
         f"'{{\"id\": ' || {s('l_orderkey')} || ', \"line_items\": [' || {items} || ']}}' AS body",
@@ -229,7 +234,7 @@ def inventory_webhooks(t: Tables) -> DataFrame:
         available=_maybe("l_linenumber <> 7", s("cast(l_quantity as int)")),
         updated_at=_text(f"{SHIP_DAY} || 'T08:00:00Z'"),
     )
-    return t["lineitem"].selectExpr(
+    return _landed(t).selectExpr(
         f"'w-' || {LINE_ID} AS webhook_id", "'inventory_levels/update' AS topic", f"{body} AS body",
         "cast(l_shipdate as timestamp) AS received_at",
     )

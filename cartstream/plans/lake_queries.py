@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartstream.operators import burst, explorer, maintain, metrics
+from cartstream.operators import burst, explorer, maintain, metrics, offsets
 from cartstream.operators import ingest
 from cartstream.plans import adapters as a
 from cartstream.plans.event_queries import SQL_ORDER_DETAILS, VARIANTS
@@ -323,6 +323,33 @@ def alert_rules(t):
 BURST_WINDOW = 2 * HOUR
 
 
+SQL_MESSAGES = "SELECT event_type AS topic, event_id % 3 AS partition, event_id // 3 AS message_offset, value FROM events"
+
+
+def _messages(t):
+    return t["events"].selectExpr("event_type AS topic", "event_id % 3 AS partition", "event_id div 3 AS message_offset", "value")
+
+
+@query("offset_gaps", f"""
+WITH m AS (SELECT DISTINCT topic, partition, message_offset FROM ({SQL_MESSAGES}) WHERE value > 5),
+runs AS (SELECT *, message_offset - row_number() OVER (PARTITION BY topic, partition ORDER BY message_offset) AS run FROM m),
+islands AS (SELECT topic, partition, min(message_offset) AS first_offset, max(message_offset) AS last_offset FROM runs GROUP BY topic, partition, run)
+SELECT *, lead(first_offset) OVER (PARTITION BY topic, partition ORDER BY first_offset) - last_offset - 1 AS missing_after FROM islands""")
+def offset_gaps(t):
+    """Consumed offsets per topic and partition as intervals, with the gaps after them."""
+    keys = ["topic", "partition"]
+    return offsets.gaps(offsets.islands(_messages(t).filter("value > 5"), keys, "message_offset", width=1000), keys)
+
+
+@query("offset_replay", f"""
+SELECT topic, partition, message_offset, value FROM ({SQL_MESSAGES})
+WHERE (topic, partition, message_offset) NOT IN (SELECT (topic, partition, message_offset) FROM ({SQL_MESSAGES}) WHERE value > 5)""")
+def offset_replay(t):
+    """A replay of all messages: those the consumed intervals do not hold."""
+    keys = ["topic", "partition"]
+    return offsets.not_consumed(_messages(t), offsets.islands(_messages(t).filter("value > 5"), keys, "message_offset"), keys, "message_offset", width=1000)
+
+
 @query("error_burst", f"""
 SELECT topic, ts, n_window, n_window >= 5 AS burst FROM (
   SELECT event_type AS topic, ts, count(*) OVER (PARTITION BY event_type ORDER BY ts

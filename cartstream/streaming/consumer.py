@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cartstream.operators.ingest import to_consumed_order_details
+from cartstream.operators.offsets import islands, not_consumed, united
 from cartstream.operators.quality import ORDER_DETAIL_BOOLEANS, ORDER_DETAIL_REQUIRED, rejection_reasons
 from cartstream.sinks.writers import insertable
 from cartstream.sources.tables import evolve
@@ -19,6 +20,7 @@ from cartstream.streaming.jobs import COMMIT_INTERVAL, _trigger
 from cartstream.streaming.state import BatchLog
 
 MESSAGE_KEY = ("topic", "partition", "offset")
+PARTITION = ["topic", "partition"]
 
 
 def json_record(schema: T.StructType) -> Callable[[Column], Column]:
@@ -45,7 +47,6 @@ def judged(messages: DataFrame, registry: DataFrame, decode: Callable[[Column],
         .when(F.col("record").isNull(), "undecodable body")
     )
     envelope = [c for c in messages.columns if c != "value"]
-    envelope = [c for c in messages.columns if c != "value"]
     rows = evolve(decoded.withColumn("_broken", broken).select(*envelope, "_broken", "record.*"), schema)
     # The payload's id is stored under another name.
     required = ["id" if c == "line_item_id" else c for c in ORDER_DETAIL_REQUIRED]
@@ -70,20 +71,24 @@ class OrderDetailConsumer:
     """Stores the valid order lines of a stream of messages once each, and the others with their reasons.
 
     Tables are written per batch id and replace themselves on a re-run. A message is known by topic, partition and
-    offset: one that an earlier batch stored is skipped.
+    offset. What earlier batches consumed is kept as intervals of offsets, so a replay is recognised without reading
+    what was stored; rejected messages are not stored again either.
     """
 
     def __init__(self, spark: SparkSession, root: str, registry: DataFrame, decode: Callable[[Column], Column], schema: T.StructType):
         self.registry, self.decode, self.schema = registry, decode, schema
         self.stored = BatchLog(spark, f"{root.rstrip('/')}/order_details")
         self.rejects = BatchLog(spark, f"{root.rstrip('/')}/rejects")
+        self.consumed = BatchLog(spark, f"{root.rstrip('/')}/consumed")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         rows = judged(batch, self.registry, self.decode, self.schema).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            fresh = insertable(accepted(rows), self.stored.read(before=batch_id), list(MESSAGE_KEY), ["consumed_at"], "skip")
-            self.stored.write(fresh, batch_id)
-            self.rejects.write(rejected(rows), batch_id)
+            known = self.consumed.read(before=batch_id)
+            new = rows if known is None else not_consumed(rows, united(known, PARTITION), PARTITION)
+            self.stored.write(insertable(accepted(new), None, list(MESSAGE_KEY), ["consumed_at"], "skip"), batch_id)
+            self.rejects.write(rejected(new), batch_id)
+            self.consumed.write(islands(rows, PARTITION), batch_id)
         finally:
             rows.unpersist()
 

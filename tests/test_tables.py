@@ -369,6 +369,54 @@ def test_maintenance_goes_on_after_a_failure(spark):
     assert len(calls) == 4 and "134217728" in calls[0] and "retain_last => 5" in calls[3]
 
 
+def test_ten_small_files_rewrite_one_bin(spark, tmp_path):
+    root, names = str(tmp_path / "t"), lambda: {f.relative_to(tmp_path): f.stat().st_ino for f in tmp_path.rglob("*.parquet")}
+    rows = lambda a, b, p: spark.range(a, b).select("id", F.lit(p).cast("string").alias("day"))
+    for p in ("2024-01-01", "2024-01-02", None):
+        maintain.append_to_bins(rows(0, 3000, p).coalesce(1), root, ["day"], target=10_000)
+    before = names()
+    assert len(before) == 3 and maintain.compact_bins(spark, root, ["day"]) == 0 and names() == before
+    for k in range(10):
+        maintain.append_to_bins(rows(3000 + k, 3001 + k, "2024-01-02").coalesce(1), root, ["day"], target=10_000)
+    assert len(names()) == 13 and maintain.compact_bins(spark, root, ["day"]) == 1
+    after = names()
+    assert len(after) == 4 and {f: i for f, i in after.items() if f in before} == before  # the full bins' files are untouched
+    got = maintain.read_bins(spark, root)
+    assert got.columns == ["id", "day"] and got.count() == 9010 and got.filter("day IS NULL").count() == 3000
+    assert sorted(r["id"] for r in got.filter("day = '2024-01-02' AND id >= 3000").collect()) == list(range(3000, 3010))
+
+
+def test_replays_with_gaps_and_overlaps(spark):
+    import random
+
+    from cartstream.operators import offsets
+
+    rnd, keys = random.Random(3), ["topic", "partition"]
+    frame = lambda rows: spark.createDataFrame(rows, "topic string, partition int, offset bigint")
+    pool = [(t, p, o) for t in ("a", "b", None) for p in (0, 1) for o in range(60)]
+    known, seen = None, set()
+    for _ in range(4):
+        batch = rnd.sample(pool, 70)
+        fresh = frame(batch) if known is None else offsets.not_consumed(frame(batch), offsets.united(known, keys), keys, width=7)
+        assert sorted(map(str, map(tuple, fresh.collect()))) == sorted(map(str, set(batch) - seen))
+        seen |= set(batch)
+        own = offsets.islands(frame(batch + batch[:9]), keys, width=7)
+        known = own if known is None else known.unionByName(own)
+    got = [tuple(r) for r in offsets.united(known, keys).collect()]
+    assert {(t, p, o) for t, p, a, b in got for o in range(a, b + 1)} == seen
+    assert all((t, p, b + 1) not in seen for t, p, _, b in got)
+    assert offsets.not_consumed(frame([("a", 0, None)]), offsets.united(known, keys), keys).count() == 1
+
+
+@pytest.mark.parametrize("sql", ["SELECT * FROM `text`.`/etc/hosts`", "SELECT * FROM text.`secret.txt`", "SELECT (SELECT max(value) FROM text.`x`) FROM p",
+                                 "WITH a AS (SELECT * FROM csv.`x`) SELECT * FROM a", "SELECT * FROM other", "SELECT 1 WHERE 1 IN (SELECT 1 FROM `json`.`y`)"])
+def test_read_only_refuses_relations_not_on_offer(spark, people, sql):
+    with pytest.raises(explorer.NotReadOnly):
+        explorer.read_only_sql(spark, sql, {"p": people})
+    sql = "WITH a AS (SELECT id FROM p), b AS (SELECT * FROM A) SELECT count(*) AS n FROM b WHERE id IN (SELECT id FROM P)"
+    assert explorer.read_only_sql(spark, sql, {"p": people}).first()["n"] == 20
+
+
 def test_versions_are_compacted_and_expired(spark, tmp_path):
     t = maintain.VersionedTable(spark, str(tmp_path / "t"), ["p"])
     with pytest.raises(FileNotFoundError):

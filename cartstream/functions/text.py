@@ -32,8 +32,8 @@ WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0
 
 
 def is_blank(value: Column) -> Column:
-    """Text of white space only, or none."""
-    return F.btrim(value.cast("string"), F.lit(WHITE_SPACE)) == ""
+    """Text of white space only, or none. Trimming from the left ends at the first other character."""
+    return F.ltrim(value, F.lit(WHITE_SPACE)) == ""
 
 
 def truthy_id(value: Column) -> Column:

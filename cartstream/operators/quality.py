@@ -17,19 +17,22 @@ ORDER_DETAIL_REQUIRED = (
 ORDER_DETAIL_BOOLEANS = ("requires_shipping", "taxable", "gift_card", "product_exists")
 
 
-def rejection_reasons(required, booleans) -> Column:
-    """Array of reasons a row is refused; empty when it is fine. Blank text counts as missing."""
+def rejection_reasons(required, booleans, schema: T.StructType | None = None) -> Column:
+    """Array of reasons a row is refused; empty when it is fine. Blank text counts as missing; by `schema` only text is looked at."""
+    def missing(c: str) -> Column:
+        if schema is not None and not isinstance(schema[c].dataType, T.StringType):
+            return F.col(c).isNull()
+        return F.col(c).isNull() | is_blank(F.col(c).cast("string"))
+
     checks = [
-        F.when(
-            F.col(c).isNull() | is_blank(F.col(c)), F.lit(f"{c} is missing")
-        )
+        F.when(missing(c), F.lit(f"{c} is missing"))
         for c in required
     ] + [F.when(F.col(c).isNull(), F.lit(f"{c} is not true or false")) for c in booleans]
     return F.array_compact(F.array(*checks))
 
 
 def with_reasons(df: DataFrame, required, booleans) -> DataFrame:
-    return df.withColumn("reasons", rejection_reasons(required, booleans))
+    return df.withColumn("reasons", rejection_reasons(required, booleans, df.schema))
 
 
 def validate(df: DataFrame, required, booleans=()) -> tuple[DataFrame, DataFrame]:

@@ -23,6 +23,24 @@ BLOCK = 1024
 PAIRS_AT_ONCE = 1 << 15
 
 
+# The 8-bit products of this many components add up exactly in 32-bit floats: 1024 * 127 * 127 < 2 ** 24.
+EXACT_COMPONENTS = 1024
+
+
+def even_sized(vectors: np.ndarray) -> np.ndarray:
+    """Each vector by a power of two so that its largest component is near 1: the same cosines, and no square over- or underflows."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1))
+    return np.ldexp(vectors, -exponent[:, None])
+
+
+def rounded_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of 8-bit vectors, exact at any number of components."""
+    total = np.zeros((len(a), len(b)))
+    for at in range(0, a.shape[1], EXACT_COMPONENTS):
+        total += a[:, at : at + EXACT_COMPONENTS] @ b[:, at : at + EXACT_COMPONENTS].T
+    return total
+
+
 def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Unit vectors (double), their 8-bit form (as 32-bit floats), its scale, and the length of the rounding error."""
     unit = vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
@@ -35,6 +53,7 @@ def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 
 def tile_links(a: np.ndarray, b: np.ndarray, same: bool, threshold: float):
     """Row and column numbers of all pairs of cosine >= threshold, in pieces; of one block, each pair once."""
+    a, b = even_sized(a), even_sized(b)
     _, qa, sa, ea = quantise(a)
     _, qb, sb, eb = quantise(b)
     na, nb = (np.sqrt(np.einsum("ij,ij->i", x, x)) for x in (a, b))
@@ -42,7 +61,7 @@ def tile_links(a: np.ndarray, b: np.ndarray, same: bool, threshold: float):
     step = max(1, (1 << 24) // max(1, len(b)))
     for at in range(0, len(a), step):
         rows = slice(at, at + step)
-        product = (qa[rows] @ qb.T).astype(np.float64) * sa[rows, None] * sb[None, :]
+        product = rounded_products(qa[rows], qb) * sa[rows, None] * sb[None, :]
         bound = ea[rows, None] + (1 + ea[rows, None]) * eb[None, :] + 1e-9
         maybe = product + bound >= threshold
         if same:

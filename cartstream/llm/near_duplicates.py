@@ -9,6 +9,7 @@ it may be enough the full shingle sets decide. Links leave a task as a spanning
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,9 +24,24 @@ from cartstream.session import cut_lineage
 
 SHINGLE = 5
 SKETCH = 96
-# A pair of similarity 0.85 that shares less than this part of its sketches, or whose estimate is less, is rarer than
-# 1e-7, one of 0.8 rarer than 1e-4 (binomial tail over SKETCH values); more similar pairs are rarer still.
-LEAST_SHARED = 0.6
+MISSED = 1e-4  # how rarely a pair just at the threshold may share less of its sketches than is asked for
+MOST_ASKED = 0.6
+
+
+def least_shared(percent: int) -> float:
+    """The part of their sketches that pairs of `percent` similarity are asked to share, by the binomial tail over SKETCH values.
+
+    Never more than 0.6: at 0.85 less than 1e-7 of the pairs share less, at 0.8 less than 1e-4; more similar ones are rarer still.
+    """
+    p, below, k = percent / 100, 0.0, 0
+    while k < SKETCH:
+        below += math.comb(SKETCH, k) * p**k * (1 - p) ** (SKETCH - k)
+        if below > MISSED:
+            break
+        k += 1
+    return min(MOST_ASKED, k / SKETCH)
+
+
 BLOCK_DOCS = 128
 BLOCK_SHINGLES = 1 << 18
 
@@ -63,7 +79,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _families(classes: DataFrame) -> DataFrame:
+def _families(classes: DataFrame, least: float) -> DataFrame:
     """rep, family: documents whose sketches may share enough, chained through inverted lists of rare values."""
     values = classes.select("rep", "key1", "key2", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
     lists = values.groupBy("value").agg(F.count("*").alias("n")).filter("n > 1")
@@ -73,7 +89,7 @@ def _families(classes: DataFrame) -> DataFrame:
     rarest = own.orderBy("n", "value")
     indexed = (
         shared.withColumn("k", F.row_number().over(rarest)).withColumn("c", F.count("*").over(own))
-        .filter(F.col("k") <= F.col("c") - F.ceil(F.col("size") * F.lit(LEAST_SHARED)) + 1)
+        .filter(F.col("k") <= F.col("c") - F.ceil(F.col("size") * F.lit(least)) + 1)
     )
     heads = indexed.groupBy("value").agg(F.min("rep").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
     chains = indexed.join(heads, "value").filter("rep != head").select("rep", "head").distinct()
@@ -82,6 +98,7 @@ def _families(classes: DataFrame) -> DataFrame:
 
 def _links(percent: int):
     """Compares the documents of one tile; gives each linked document with the smallest one it reaches in the tile."""
+    least = least_shared(percent)
 
     def incidence(sets: list[np.ndarray], vocabulary: np.ndarray) -> np.ndarray:
         out = np.zeros((len(sets), len(vocabulary)), np.float32)
@@ -128,7 +145,7 @@ def _links(percent: int):
             return x
 
         if rows and columns:
-            maybe = estimates([sets[k] for k in rows], [sets[k] for k in columns]) >= LEAST_SHARED
+            maybe = estimates([sets[k] for k in rows], [sets[k] for k in columns]) >= least
             maybe &= np.array(rows)[:, None] != np.array(columns)[None, :]
             some, other = np.flatnonzero(maybe.any(1)), np.flatnonzero(maybe.any(0))
             if len(some):
@@ -170,7 +187,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     usable = sketches.filter("doc_id is not null and n_shingles > 0")
     reps = usable.groupBy(*key).agg(F.min("doc_id").alias("rep"))
     classes = usable.join(reps.withColumnRenamed("rep", "doc_id"), [*key, "doc_id"], "left_semi").withColumnRenamed("doc_id", "rep")
-    families = cut_lineage(_families(classes))
+    families = cut_lineage(_families(classes, least_shared(percent)))
     sized = (
         families.join(classes.select("rep", "n_shingles"), "rep").groupBy("family")
         .agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))

@@ -37,8 +37,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one of smallest doc_id; rows of one doc_id are one document."""
     prepare(spark)
-    gone = near_duplicates.near_duplicates(docs, percent=NEAR_PERCENT).filter("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    name = "_gone"
+    while name.lower() in [c.lower() for c in docs.columns]:
+        name += "_"
+    gone = near_duplicates.near_duplicates(docs, percent=NEAR_PERCENT).filter("not kept").select(F.col("doc_id").alias(name))
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col(name), "left_anti")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cartstream.llm import components, embeddings, fingerprints, quality, queries, secrets, url_filters
@@ -192,6 +193,28 @@ def test_near_vectors(spark, monkeypatch, block):
     assert sorted(map(tuple, embeddings.near_vectors(df).collect())) == vectors_by_force(rows)
 
 
+def test_many_components_lose_no_link(spark):
+    rng, rows = np.random.default_rng(2), []
+    for k in range(40):
+        v = rng.choice([-1.0, 1.0], 2500)
+        near = v.copy()
+        near[rng.choice(2500, 25, replace=False)] *= -1  # cosine 0.98
+        rows += [(2 * k, v.tolist(), 1), (2 * k + 1, near.tolist(), 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    got = embeddings.near_vectors(df, threshold=0.98 - 1e-12).collect()
+    assert all(r["n_links"] == 1 and r["component_id"] == r["vec_id"] // 2 * 2 for r in got)
+
+
+@pytest.mark.parametrize("size", [1e-300, 1e-170, 1e160, 1e300])
+def test_very_short_and_long_vectors(spark, size):
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(12, 20))
+    rows = [(k, (v[k // 2] * (size if k % 2 else 1.0)).tolist(), 1) for k in range(24)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = embeddings.near_vectors(df).collect()
+    assert all(r["n_links"] == 1 and r["component_id"] == r["vec_id"] // 2 * 2 for r in got)
+
+
 def test_near_vectors_of_a_whole_table(spark, sf):
     rows = duckdb.sql(f"SELECT vec_id, embedding, label FROM '{sf}/embeddings.parquet'").fetchall()
     assert sorted(map(tuple, queries.op7_embedding_near_dedup(spark, sf).collect())) == vectors_by_force(rows)
@@ -354,7 +377,9 @@ def test_pipeline_takes_out_what_it_should(spark, sf, corpus):
 
 def test_pipeline_stages_on_odd_rows(spark, sf):
     rows = [(1, None, "x"), (1, "a b", None), (None, "token=abcdefgh", "y"), (2, "", "z"), (3, "w " * 5000, "z")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, score string").withColumnsRenamed({})
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    for name in ("_gone", "_GONE_", "rep", "kept", "carried", "part", "at", "n"):  # names the operators use themselves
+        docs = docs.withColumn(name, F.lit("own"))
     for _, stage in corpus_pipeline.STAGES[1:-1]:
         out = stage(spark, docs, sf)
         assert out.columns == docs.columns and out.count() >= 4

@@ -131,6 +131,20 @@ def near_by_force(rows, percent):
     return {i: (i, len(sets[i]), find(i), find(i) == i) for i in sets}
 
 
+def test_the_share_asked_for_follows_the_percentage(docs):
+    assert near_duplicates.least_shared(85) == near_duplicates.least_shared(80) == 0.6 > near_duplicates.least_shared(70)
+    rng, rows = random.Random(7), []
+    for k in range(60):
+        words = [f"w{k}x{j}" for j in range(2000)]
+        other = list(words)
+        for at in rng.sample(range(0, 2000, 5), 88):  # similarity a little above 0.6
+            other[at] += "y"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    got = {r[0]: tuple(r) for r in near_duplicates.near_duplicates(docs(rows), 60).collect()}
+    want = near_by_force(rows, 60)
+    assert sum(r[2] != r[0] for r in want.values()) >= 55 and got == want
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_near_duplicates_of_a_whole_table(docs, corpus, percent):
     got = {r[0]: tuple(r) for r in near_duplicates.near_duplicates(docs(corpus), percent).collect()}

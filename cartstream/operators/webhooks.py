@@ -125,6 +125,30 @@ def to_audit(df: DataFrame) -> DataFrame:
     )
 
 
+# Columns that no two rows of a state table may share.
+UNIQUE = {"products": "handle", "customers": "email"}
+
+
+def unique_claims(df: DataFrame, table: str, delete_policy: str = "upsert") -> DataFrame:
+    """What deduplicated requests of a table ask for of its unique column: owner, value, arrival, payload_hash.
+
+    As in the state, an emptied handle lets go, while an empty e-mail address keeps the stored one and is left out. Under 'tombstone' a
+    delete lets go.
+    """
+    column = UNIQUE[table]
+    b = F.from_json("body", f"id string, {column} string")
+    rows = df.filter(F.col("topic").isin(topics_of(table))).select(
+        b["id"].alias("owner"), non_empty(b[column]).alias("value"), *ARRIVAL, "payload_hash",
+        F.col("topic").endswith("/delete").alias("_delete"),
+    )
+    if delete_policy == "tombstone":
+        rows = rows.withColumn("value", F.when(~F.col("_delete"), F.col("value")))
+    if STATE_SPECS[table].columns[column] == "last_non_empty":
+        empty = F.col("value").isNull()
+        rows = rows.filter(~empty | F.col("_delete") if delete_policy == "tombstone" else ~empty)
+    return rows.drop("_delete")
+
+
 # -- bodies to changes -------------------------------------------------------
 
 def parsed(df: DataFrame, table: str, body_schema: str, delete_policy: str = "upsert") -> DataFrame:

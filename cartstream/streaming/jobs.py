@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from cartstream import schemas
 from cartstream.operators import webhooks as wh
 from cartstream.operators.ingest import TOPIC_OUTPUTS
 from cartstream.operators.upsert import UpsertSpec, finalize
+from cartstream.session import cut_lineage
+from cartstream.streaming.claims import ClaimIndex
 from cartstream.streaming.state import BatchLog, KeyedState
 
 COMMIT_INTERVAL = "60 seconds"
@@ -109,15 +112,15 @@ def start_all(specs: dict[str, Callable[[], StreamingQuery]]) -> tuple[dict[str,
 class WebhookPipeline:
     """Landed webhooks to audit log, quarantine and current-state tables.
 
-    Per micro-batch: set aside what has a bad digest, bad JSON or cannot be applied, drop bodies seen before, log the rest,
-    fold their changes into the state tables. All writes are per batch id and
+    Per micro-batch: set aside what has a bad digest, bad JSON or cannot be applied, drop bodies seen before, with `unique_values` set
+    aside what claims another row's handle or e-mail address, log the rest, fold their changes into the state tables. All writes are per batch id and
     replace themselves on a re-run; the history a batch is compared with is that of
     the batches before it, so a re-run decides as the first run did.
     """
 
     def __init__(
         self, spark: SparkSession, root: str, secret: str | None = None, mode: str = "sha256_hex",
-        specs: dict[str, UpsertSpec] | None = None, delete_policy: str = "upsert",
+        specs: dict[str, UpsertSpec] | None = None, delete_policy: str = "upsert", unique_values: bool = False,
     ):
         root = root.rstrip("/")
         self.secret, self.mode, self.delete_policy = secret, mode, delete_policy
@@ -125,28 +128,43 @@ class WebhookPipeline:
         self.audit = BatchLog(spark, f"{root}/audit", bloom=["payload_hash"], hashed="payload_hash")
         self.rejected = BatchLog(spark, f"{root}/rejected")
         self.deletes = {t: BatchLog(spark, f"{root}/deletes/{t}") for t in ("products", "order_details", "customers")}
+        self.claims = {t: ClaimIndex(spark, f"{root}/claims/{t}") for t in wh.UNIQUE if t in self.specs} if unique_values else {}
         self.states = {t: KeyedState(spark, f"{root}/state/{t}", s) for t, s in self.specs.items()}
 
     def changes(self, fresh: DataFrame, table: str) -> DataFrame:
         make = wh.STATE_CHANGES[table]
         return make(fresh) if table == "inventory_levels" else make(fresh, self.delete_policy)
 
+    def _refused(self, fresh: DataFrame, batch_id: int) -> DataFrame | None:
+        """(payload_hash, verdict) of requests whose unique value another row holds; what is granted is kept in the index."""
+        refused = []
+        for table, index in self.claims.items():
+            judged = cut_lineage(index.judge(wh.unique_claims(fresh, table, self.delete_policy), batch_id))
+            index.store(judged, batch_id)
+            refused.append(judged.filter("not granted").select("payload_hash", F.lit(f"{wh.UNIQUE[table]} is taken").alias("verdict")))
+        return reduce(DataFrame.unionByName, refused) if refused else None
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         judged = wh.screened(batch, self.secret, self.mode).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self.rejected.write(judged.filter(F.col("verdict") != "accepted"), batch_id)
             accepted = judged.filter(F.col("verdict") == "accepted").drop("verdict")
             first = wh.dedup_in_batch(accepted)
             seen = self.audit.among(first.select("payload_hash"), before=batch_id)
             fresh = first if seen is None else first.join(seen, "payload_hash", "left_anti").select(*first.columns)
             fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
             try:
+                refused, kept = self._refused(fresh, batch_id), fresh
+                rejects = judged.filter(F.col("verdict") != "accepted")
+                if refused is not None:
+                    rejects = rejects.unionByName(fresh.join(refused, "payload_hash").select(*judged.columns))
+                    kept = fresh.join(refused, "payload_hash", "left_anti").select(*fresh.columns)
+                self.rejected.write(rejects, batch_id)
                 for table, state in self.states.items():
-                    state.apply(self.changes(fresh, table), batch_id)
+                    state.apply(self.changes(kept, table), batch_id)
                 if self.delete_policy == "tombstone":
                     for table, log in self.deletes.items():
-                        log.write(wh.deleted_keys(fresh, table), batch_id)
-                self.audit.write(wh.to_audit(fresh), batch_id)
+                        log.write(wh.deleted_keys(kept, table), batch_id)
+                self.audit.write(wh.to_audit(kept), batch_id)
             finally:
                 fresh.unpersist()
         finally:

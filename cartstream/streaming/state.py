@@ -115,6 +115,17 @@ class KeyedState:
         folded = self.folded()
         return None if folded is None else finalize(folded, self.spec)
 
+    def among(self, keys: DataFrame, before: int | None = None) -> DataFrame | None:
+        """Current rows of the keys asked for, as the batches before `before` (not older than the newest two) left them.
+
+        The stored folds are cut down to these keys ahead of the merge, so only their rows are shuffled.
+        """
+        paths = [self.levels.path(r) for r in self.levels.live(before)]
+        if not paths:
+            return None
+        rows = _one_scan(self.spark, paths).join(keys.select(*self.spec.key), list(self.spec.key), "left_semi")
+        return finalize(merge([rows], self.spec), self.spec)
+
     def compact(self, keep: int = 2) -> None:
         """Merge all that makes a whole run, the newest batches too; with keep=1 what was merged is deleted at once."""
         newest = max((self.levels.span(r)[1] for r in self.levels.live()), default=0)

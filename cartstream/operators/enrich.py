@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartstream.functions import line_name, variant_title
+from cartstream.operators.ordered import row_numbers
 from cartstream.operators.upsert import latest_by_key
 
 
@@ -137,3 +138,23 @@ def product_360(products: DataFrame, variants: DataFrame, order_details: DataFra
         F.coalesce("units", F.lit(0)).alias("units"),
         F.coalesce("revenue", F.lit(0).cast("decimal(28,2)")).alias("revenue"),
     )
+
+
+def product_lines(products: DataFrame, order_details: DataFrame, chunk_rows: int = 1000) -> DataFrame:
+    """Parent-child view with the lines: one row per product and chunk of at most `chunk_rows` of its order lines, by id, then event_id.
+
+    Lines are numbered in slices, so those of a best seller are many chunks made by many tasks and no list outgrows the bound. Products
+    without lines keep one row with chunk 0 and no lines. An event_id occurs once.
+    """
+    lines = order_details.filter(F.col("product_id").isNotNull()).select(
+        "product_id", "id", "event_id", F.struct("id", "event_id", "order_id", "variant_id", "quantity", "price").alias("line")
+    )
+    numbered = row_numbers(lines, ["product_id"], ["id", "event_id"], "_n")
+    chunks = numbered.groupBy("product_id", F.floor((F.col("_n") - 1) / chunk_rows).alias("chunk")).agg(
+        F.sort_array(F.collect_list("line")).alias("lines")
+    )
+    p = products.select(F.col("id").alias("product_id"), "title", "status")
+    return p.join(chunks, "product_id", "left").select(
+        "product_id", "title", "status", F.coalesce("chunk", F.lit(0).cast("bigint")).alias("chunk"),
+        F.coalesce("lines", F.array().cast(chunks.schema["lines"].dataType)).alias("lines"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartstream import functions as fn
-from cartstream.operators import enrich, handles, ingest, quality
+from cartstream.operators import claims, enrich, handles, ingest, quality
 from cartstream.operators.upsert import latest_by_key
 from cartstream.plans import adapters as a
 from cartstream.plans.registry import query
@@ -538,3 +538,46 @@ def product_360(t):
     return enrich.product_360(
         ingest.to_products(raw), ingest.to_product_variants(raw), ingest.to_order_details(a.raw_order_details(t))
     )
+
+
+@query("product_lines", f"""
+WITH l AS (SELECT *, (row_number() OVER (PARTITION BY product_id ORDER BY id, event_id) - 1) // 7 AS chunk FROM ({SQL_ORDER_DETAILS})),
+c AS (SELECT product_id, chunk, count(*) AS n_lines, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id, event_id) AS ids, sum(quantity) AS units
+      FROM l WHERE product_id IS NOT NULL GROUP BY ALL)
+SELECT p_partkey AS product_id, coalesce(chunk, 0) AS chunk, coalesce(n_lines, 0) AS n_lines, coalesce(ids, '') AS ids,
+       CAST(coalesce(units, 0) AS BIGINT) AS units
+FROM part LEFT JOIN c ON c.product_id = p_partkey""")
+def product_lines(t):
+    chunks = enrich.product_lines(ingest.to_products(a.raw_products(t)), ingest.to_order_details(a.raw_order_details(t)), 7)
+    line = F.transform("lines", lambda x: x["id"].cast("string"))
+    units = F.aggregate("lines", F.lit(0).cast("bigint"), lambda s, x: s + F.coalesce(x["quantity"], F.lit(0)))
+    return chunks.select(
+        "product_id", "chunk", F.size("lines").cast("bigint").alias("n_lines"), F.array_join(line, ",").alias("ids"), units.alias("units"))
+
+
+@query("claimed_values", """
+WITH RECURSIVE c AS (SELECT c_custkey AS k, c_custkey // 10 AS g FROM customer),
+e AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY seq) AS n FROM (
+  SELECT g, k * 4 AS seq, CAST(k AS VARCHAR) AS owner, 'v' || CAST(g AS VARCHAR) || '-' || CAST(k % 4 AS VARCHAR) AS value FROM c
+  UNION ALL
+  SELECT g, k * 4 + 13, CAST(k AS VARCHAR), CASE WHEN k % 3 > 0 THEN 'v' || CAST(g AS VARCHAR) || '-' || CAST((k + 1) % 6 AS VARCHAR) END FROM c)),
+s AS (
+  SELECT DISTINCT g, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS owner, CAST(NULL AS VARCHAR) AS value,
+         TRUE AS granted, CAST([] AS STRUCT(o VARCHAR, v VARCHAR)[]) AS held FROM e
+  UNION ALL
+  SELECT g, n, seq, owner, value, granted,
+         CASE WHEN granted THEN list_append([h FOR h IN held IF h.o <> owner], {'o': owner, 'v': value}) ELSE held END
+  FROM (SELECT e.g, e.n, e.seq, e.owner, e.value, s.held,
+               e.value IS NULL OR len([h FOR h IN s.held IF h.v = e.value AND h.o <> e.owner]) = 0 AS granted
+        FROM s JOIN e ON e.g = s.g AND e.n = s.n + 1))
+SELECT seq, owner, value, granted FROM s WHERE n > 0""")
+def claimed_values(t):
+    """Every customer asks for a value and later for another, or for none; some of these others hold, some were let go."""
+    k, g = F.col("c_custkey"), F.floor(F.col("c_custkey") / 10).cast("string")
+    named = lambda n: F.concat(F.lit("v"), g, F.lit("-"), n.cast("string"))
+    asked = F.array(
+        F.struct((k * 4).alias("seq"), named(k % 4).alias("value")),
+        F.struct((k * 4 + 13).alias("seq"), F.when(k % 3 > 0, named((k + 1) % 6)).alias("value")),
+    )
+    rows = t["customer"].select(k.cast("string").alias("owner"), F.explode(asked).alias("_a")).select("_a.seq", "owner", "_a.value")
+    return claims.grant(rows, None, ["seq"])

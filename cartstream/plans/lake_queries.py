@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartstream.operators import burst, explorer, maintain, metrics, offsets
+from cartstream.operators import burst, deep_pages, explorer, maintain, metrics, offsets
 from cartstream.operators import ingest
 from cartstream.plans import adapters as a
 from cartstream.plans.event_queries import SQL_ORDER_DETAILS, VARIANTS
@@ -86,6 +86,21 @@ def explorer_page_after_nulls(t):
     return reduce(DataFrame.unionByName, pages)
 
 
+DEEP = "(SELECT o_orderkey, o_orderpriority, row_number() OVER (ORDER BY o_orderpriority DESC, o_orderkey) - 1 AS pos, count(*) OVER () AS n FROM orders)"
+
+
+@query("explorer_deep_pages", f"""
+SELECT o_orderkey, o_orderpriority, pos // 50 + 1 AS page FROM {DEEP} WHERE pos // 50 IN (0, n // 100, (n - 1) // 50)""")
+def explorer_deep_pages(t):
+    """The first, a middle and the last page of all orders by priority, of which there are five."""
+    path = f"{checkpoint_dir(t.spark)}/deep-pages/{uuid.uuid4()}"
+    listing = t["orders"].select("o_orderkey", "o_orderpriority")
+    index = deep_pages.PageIndex(t.spark, path, "o_orderpriority", "desc", ("o_orderkey",)).build(listing, bucket_rows=5000)
+    total = index.total()
+    numbers = sorted({1, total // 100 + 1, max(total - 1, 0) // 50 + 1})
+    return reduce(DataFrame.unionByName, [index.page(k).withColumn("page", F.lit(k).cast("bigint")) for k in numbers])
+
+
 COUNTED = ("part", "customer", "orders", "lineitem", "events")
 
 

@@ -1,5 +1,6 @@
 """Ingest, wire format, sinks, catalog, exploration, checks and upkeep on small frames."""
 
+import random
 import time
 from datetime import datetime, timedelta
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartstream import schemas
-from cartstream.operators import enrich, explorer, ingest, maintain, quality
+from cartstream.operators import deep_pages, enrich, explorer, ingest, maintain, quality
 from cartstream.session import checkpoint_dir, scratch
 from cartstream.sinks import writers
 from cartstream.sources import tables as tb
@@ -441,3 +442,28 @@ def test_unknown_table_is_an_error(people):
     assert explorer.table_named({"p": people}, "p") is people
     with pytest.raises(ValueError, match="no table named"):
         explorer.table_named({"p": people}, "q")
+
+
+def test_deep_pages_equal_the_full_sort(spark, tmp_path):
+    rnd = random.Random(3)
+    rows = [(i, rnd.choice([None, "a", "a", "a", "b"])) for i in range(997)]
+    df = spark.createDataFrame(rows, "id bigint, v string").repartition(5)
+    for order in ("asc", "desc"):
+        index = deep_pages.PageIndex(spark, str(tmp_path / order), "v", order).build(df, bucket_rows=90)
+        assert index.counts.count() > 8 and index.total() == 997
+        for number in (1, 5, 100, 101):
+            want = explorer.page(df, None, "v", order, number, 10)
+            assert index.page(number, 10).collect() == want.collect()
+    empty = deep_pages.PageIndex(spark, str(tmp_path / "none"), "v").build(df.limit(0))
+    assert (empty.total(), empty.counts.count(), empty.page(1).count()) == (0, 0, 0)
+
+
+def test_a_best_seller_has_chunks_of_bounded_size(spark):
+    lines = spark.range(500).selectExpr(
+        "CAST(id AS string) AS event_id", "id DIV 2 AS id", "id AS order_id", "1 AS variant_id",
+        "CASE WHEN id < 450 THEN 1 WHEN id < 460 THEN 2 END AS product_id", "1 AS quantity", "CAST(1 AS decimal(10,2)) AS price")
+    goods = spark.createDataFrame([(1, "A", "active"), (2, "B", "active"), (3, "C", "draft")], "id bigint, title string, status string")
+    got = enrich.product_lines(goods, lines, 100).orderBy("product_id", "chunk").collect()
+    assert [(r["product_id"], r["chunk"], len(r["lines"])) for r in got] == [
+        (1, 0, 100), (1, 1, 100), (1, 2, 100), (1, 3, 100), (1, 4, 50), (2, 0, 10), (3, 0, 0)]
+    assert [x["order_id"] for r in got[:5] for x in r["lines"]] == list(range(450))

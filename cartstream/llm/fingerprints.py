@@ -8,6 +8,8 @@ centred, so the squared distance of two fingerprints estimates how many paragrap
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,6 +62,43 @@ def lane_sums(texts: DataFrame, keys: list[str], sides: dict[str, str]) -> DataF
     ])
 
 
+def fingerprints_of(docs: DataFrame) -> DataFrame:
+    """doc_id and the fingerprint (struct n, lanes) of the text: what `update` keeps up to date. doc_id is unique and not null."""
+    return lane_sums(docs.select("doc_id", F.col("text").cast("string").alias("text")), ["doc_id"], {"fingerprint": "text"})
+
+
+def update(stored: DataFrame, inserted: DataFrame | None = None, deleted: DataFrame | None = None) -> DataFrame:
+    """Stored fingerprints (doc_id, fingerprint) after paragraphs were put in and taken out, without the texts they came from.
+
+    `inserted` and `deleted` have doc_id and text, the lines that came or went; any number of rows per document, in any order. The lanes
+    of what came are added and those of what went subtracted, modulo 2^32, and so is the paragraph count. A line must come or go as a
+    whole, since a part of one may be cut into other paragraphs. A document that is not stored begins with the empty fingerprint; rows with a
+    null doc_id or without text change nothing. Only the changes are cut and hashed; documents without any keep their fingerprint as it is.
+    """
+    parts = [
+        rows.filter(F.col("doc_id").isNotNull()).select(
+            F.lit(sign).alias("sign"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        for rows, sign in ((inserted, 1), (deleted, -1)) if rows is not None
+    ]
+    if not parts:
+        return stored.select("doc_id", "fingerprint")
+    changes = lane_sums(reduce(DataFrame.unionByName, parts), ["sign", "doc_id"], {"part": "text"})
+    wrapped = lambda c: c.bitwiseAND(F.lit(MODULUS - 1))
+    # All rows of a document are one sum (partial sums leave the map tasks); two's complement makes the masked sum the one modulo 2^32.
+    net = changes.groupBy("doc_id").agg(
+        F.sum(F.col("part.n") * F.col("sign")).alias("n"),
+        *[F.sum(F.col("part.lanes")[i] * F.col("sign")).alias(f"lane{i}") for i in range(LANES)],
+    ).select("doc_id", F.struct(F.col("n"), F.array(*[f"lane{i}" for i in range(LANES)]).alias("lanes")).alias("net"))
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.array_repeat(F.lit(0).cast("long"), LANES).alias("lanes"))
+    old = F.coalesce(F.col("fingerprint"), zero)
+    new = F.struct(
+        wrapped(old["n"] + F.col("net.n")).alias("n"),
+        F.zip_with(old["lanes"], F.col("net.lanes"), lambda a, b: wrapped(a + b)).alias("lanes"),
+    )
+    both = stored.select("doc_id", "fingerprint").join(net, "doc_id", "full_outer")
+    return both.select("doc_id", F.when(F.col("net").isNull(), F.col("fingerprint")).otherwise(new).alias("fingerprint"))
+
+
 def printed(fingerprint: Column) -> Column:
     """The lanes as lower-case hexadecimal digits, eight for each."""
     return F.lower(F.array_join(F.transform(fingerprint["lanes"], lambda v: F.lpad(F.hex(v), 8, "0")), ""))

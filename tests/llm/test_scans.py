@@ -267,6 +267,32 @@ def test_fingerprints_of_a_whole_table(spark, sf, corpus):
     assert np.mean([r["near_edited"] > r["near_next"] for r in got.values()]) > 0.97
 
 
+def plain_fingerprint(spark, text):
+    """(n, lanes) by a loop over the paragraphs, with Spark's hash of each."""
+    pieces = [m.group(0) for m in re.finditer(fingerprints.PARAGRAPH, text or "")]
+    if not pieces:
+        return 0, [0] * fingerprints.LANES
+    words = fingerprints.LANES * fingerprints.LANE_BITS // 64
+    rows = spark.createDataFrame([(p,) for p in pieces], "p string").select(*[F.xxhash64("p", F.lit(k)) for k in range(words)]).collect()
+    lanes = [sum((r[i // 16] % 2**64 >> 4 * (i % 16)) & 15 for r in rows) % fingerprints.MODULUS for i in range(fingerprints.LANES)]
+    return len(pieces), lanes
+
+
+def test_fingerprints_follow_insertions_and_deletions(spark, docs):
+    """Equal to fingerprints of the new texts, and those to a loop; order, repeats, nulls and documents not stored included."""
+    before = [(1, "a b c\nd e\nd e\nx"), (2, None), (3, "one two three four five six seven eight nine\nlast"), (4, "same"), (5, "gone")]
+    inserted = [(1, "new line\nd e"), (1, "another"), (2, "first"), (6, "not stored\nyet"), (None, "nothing"), (4, None)]
+    deleted = [(1, "a b c"), (1, "d e"), (3, "one two three four five six seven eight nine"), (5, "gone"), (4, "")]
+    after = [(1, "x\nd e\nanother\nnew line\nd e"), (2, "first"), (3, "last"), (4, "same"), (5, ""), (6, "yet\nnot stored")]
+    got = fingerprints.update(fingerprints.fingerprints_of(docs(before)), docs(inserted), docs(deleted)).collect()
+    got = {r["doc_id"]: (r["fingerprint"]["n"], r["fingerprint"]["lanes"]) for r in got}
+    assert got == {i: plain_fingerprint(spark, text) for i, text in after}
+    stored = fingerprints.fingerprints_of(docs(before))
+    assert sorted(map(str, fingerprints.update(stored).collect())) == sorted(map(str, stored.collect()))
+    back = fingerprints.update(fingerprints.update(stored, docs(inserted)), None, docs(inserted)).filter("doc_id < 6")
+    assert sorted(map(str, back.collect())) == sorted(map(str, stored.collect()))
+
+
 def test_fingerprints_do_not_depend_on_order(docs):
     rows = [(1, "one two\nthree four\nfive"), (2, "five\none two\nthree four"), (3, "one two\nthree four\nsix"), (4, None), (5, " \n"), (6, "é😀" * 9)]
     got = {r["doc_id"]: r for r in fingerprints.fingerprint_documents(docs(rows)).collect()}

@@ -8,49 +8,54 @@ here it comes down to counting:
   'a-3' is the base 'a-3' itself, at its first arrival, so a suffix is lost to the
   base exactly when that arrival comes before the base's own copies have used it.
 * With r suffixes lost below i and c copies of the base before that arrival, this
-  is i - 1 - r >= c. The check reads through the distinct numbered bases whose
-  parent also occurs, one row each, small to large; copies are counted, never
-  collected.
+  is r <= i - 1 - c: a count of lost suffixes that rises where it is small enough,
+  over the distinct numbered bases whose parent also occurs (`climbing`). Copies are
+  counted, never collected, and no root is settled by one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartstream.operators.ordered import row_numbers, running_sum
+from cartstream.operators.climbing import climb
+from cartstream.operators.ordered import running_sum
 from cartstream.session import cut_lineage
 
 _NUMBERED = "^(.*)-([1-9][0-9]{0,17})$"
+_SUFFIX = "-[1-9][0-9]{0,17}(?=(-[1-9][0-9]{0,17})*$)"
 
 
-def _resolve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For numbered bases in the order root, depth, parent, suffix: does each own its name (`owns`)?
+def _owners(blocks: DataFrame, slices: int | None) -> DataFrame:
+    """(base, parent, i, owns): does each numbered base own its name?
 
-    Columns: root, depth (numeric suffixes in the name), parent, i (suffix number),
-    base, c (rows of the parent before the first row of the base). Reads through its
-    input once and remembers, of a root, only the bases that lost their names.
+    `blocks` has base, parent, i (suffix number) and c (rows of the parent before the first row of
+    the base). Where the parent lost its own name all of its rows are copies, else all but
+    the first. Both cases are counted; which of them holds is passed down from parents to
+    children by composing, in every round, a base's two cases with those of the
+    base it hangs on, so chains of names take as many rounds as their length has doublings.
     """
-    root = parent = None
-    displaced: set[str] = set()
-    lost, first_is_copy = 0, False
-    for pdf in batches:
-        owns = []
-        for r, p, base, i, c in zip(pdf["root"], pdf["parent"], pdf["base"], pdf["i"], pdf["c"]):
-            if r != root:
-                root, parent, displaced = r, None, set()
-            if p != parent:
-                # Parents come first: one that lost its own name has no row that is not a copy.
-                parent, lost, first_is_copy = p, 0, p in displaced
-            own = i - 1 - lost >= (c if first_is_copy else max(c - 1, 0))
-            lost += own
-            if not own:
-                displaced.add(base)
-            owns.append(own)
-        yield pdf[["base", "parent", "i"]].assign(owns=owns)
+    cases = blocks.withColumn("_copy", F.explode(F.array(F.lit(False), F.lit(True))))
+    before = F.when(F.col("_copy"), F.col("c")).otherwise(F.greatest(F.col("c") - 1, F.lit(0)))
+    cases = cases.withColumn("_free", F.col("i") - 1 - before)
+    cases = climb(cases, ["parent", "_copy"], ["i"], "_free", "owns", slices)
+    state = cut_lineage(
+        cases.groupBy("base", "parent", "i").agg(
+            F.bool_or(~F.col("_copy") & ~F.col("owns")).alias("_lost0"),
+            F.bool_or(F.col("_copy") & ~F.col("owns")).alias("_lost1"),
+        ).withColumn("_up", F.col("parent"))
+    )
+    depth = state.agg(F.max(F.size(F.regexp_extract_all("base", F.lit(_SUFFIX), F.lit(0))))).first()[0]
+    for _ in range(((depth or 1) - 1).bit_length()):
+        above = state.select(F.col("base").alias("_up"), F.col("_up").alias("_next"),
+                             F.col("_lost0").alias("_a0"), F.col("_lost1").alias("_a1"))
+        case = lambda a: F.when(F.coalesce(F.col(a), F.lit(False)), F.col("_lost1")).otherwise(F.col("_lost0"))
+        state = cut_lineage(
+            state.join(above, "_up", "left").select(
+                "base", "parent", "i", case("_a0").alias("_lost0"), case("_a1").alias("_lost1"), F.col("_next").alias("_up")
+            )
+        )
+    return state.select("base", "parent", "i", (~F.col("_lost0")).alias("owns"))
 
 
 def unique_handle(
@@ -67,10 +72,6 @@ def unique_handle(
         F.regexp_extract("base", _NUMBERED, 2).alias("i"),
     ).filter(F.col("i") != "").withColumn("i", F.col("i").cast("bigint"))
     blocks = numbered.join(firsts.select(F.col("base").alias("parent")), "parent", "left_semi")
-    if blocks.isEmpty():  # no name can be taken from outside: the suffix is the place among the copies
-        placed = row_numbers(df, [base], [order], "_n", slices)
-        suffix = F.concat(F.col(base), F.lit("-"), (F.col("_n") - 1).cast("string"))
-        return placed.select(*df.columns, F.when(F.col("_n") == 1, F.col(base)).otherwise(suffix).alias(out))
 
     # Rows count 1; a marker (count 0) at the first arrival of a numbered base reads
     # off how many rows of its parent came before it.
@@ -84,15 +85,10 @@ def unique_handle(
     counted = running_sum(rows.unionByName(marks), ["_base"], ["_at", "_one"], "_one", "_n", slices)
     counted = cut_lineage(counted)  # read four times below
 
-    root = F.regexp_replace(F.col("_base"), "(-[1-9][0-9]{0,17})+$", "")
-    depth = F.size(F.regexp_extract_all(F.col("_for"), F.lit("-[1-9][0-9]{0,17}(?=(-[1-9][0-9]{0,17})*$)"), F.lit(0)))
-    resolved = (
+    resolved = _owners(
         counted.filter(F.col("_for").isNotNull())
-        .select(root.alias("root"), F.col("_for").alias("base"), F.col("_base").alias("parent"),
-                F.col("_i").alias("i"), F.col("_n").alias("c"), depth.alias("depth"))
-        .repartition("root")
-        .sortWithinPartitions("root", "depth", "parent", "i")
-        .mapInPandas(_resolve, "base string, parent string, i bigint, owns boolean")
+        .select(F.col("_for").alias("base"), F.col("_base").alias("parent"), F.col("_i").alias("i"), F.col("_n").alias("c")),
+        slices,
     )
 
     # n = 0 keeps the base, n >= 1 takes the n-th suffix not lost.

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from cartstream.operators import burst, handles, metrics
+from cartstream.operators import burst, climbing, handles, metrics
 from cartstream.operators.ordered import row_numbers, running_sum
 
 T0 = datetime(2024, 1, 1)
@@ -27,6 +27,43 @@ def test_running_sum_of_hot_and_null_groups(spark, slices):
     assert row_numbers(df, ["k"], ["o"], slices=slices).filter("rn = 1").count() == df.select("k").distinct().count()
 
 
+def loop_climb(rows):
+    counts, out = {}, {}
+    for k, o, limit in sorted(rows, key=lambda r: r[1]):
+        out[o] = limit is not None and counts.setdefault(k, 0) <= limit
+        counts[k] = counts.get(k, 0) + out[o]
+    return out
+
+
+@pytest.mark.parametrize("slices,seed", [(1, 1), (3, 2), (9, 3), (13, 4)])
+def test_climb_is_the_loop(spark, slices, seed):
+    rnd = random.Random(seed)
+    key = lambda: rnd.choice(["hot", "hot", None, f"k{rnd.randrange(40)}"])
+    limit = lambda: rnd.choice([None, -2, rnd.randrange(6), rnd.randrange(60), rnd.randrange(900), 10**18 - 1])
+    rows = [(key(), i, limit()) for i in range(1500)]
+    df = spark.createDataFrame(rows, "k string, o bigint, l bigint").repartition(4)
+    got = {r["o"]: r["up"] for r in climbing.climb(df, ["k"], ["o"], "l", "up", slices).collect()}
+    assert got == loop_climb(rows)
+    assert climbing.climb(df.filter("false"), ["k"], ["o"], "l", "up", slices).count() == 0
+
+
+def test_parts_go_on_over_batches():
+    import numpy as np
+    import pandas as pd
+
+    rnd = np.random.default_rng(3)
+    n = np.concatenate([np.arange(1, 41), [1], np.arange(1, 7), np.arange(1, 100)])
+    pdf = pd.DataFrame({"o": range(len(n)), "_limit": rnd.integers(-1, 30, len(n)), "_n": n, "_entry": np.where(n[0] == 1, 2, 0)})
+    want, count = [], 0
+    for limit, place in zip(pdf["_limit"], n):
+        count = 2 if place == 1 else count
+        want.append(count <= limit)
+        count += want[-1]
+    for size in (1, 7, 40, 500):
+        parts = [pdf.iloc[a:a + size] for a in range(0, len(pdf), size)]
+        assert pd.concat(climbing._raise(iter(parts)))["_raised"].tolist() == want
+
+
 def loop_handles(bases):
     used, out = set(), []
     for b in bases:
@@ -50,6 +87,18 @@ def test_unique_handle_is_the_loop(spark, seed):
     assert len(set(got)) == len(got)
 
 
+def test_unique_handle_of_long_chains_and_a_hot_root(spark):
+    rnd = random.Random(9)
+    chain = ["a" + "-1" * d for d in range(9)] + ["a" + "-1" * d + "-2" for d in range(6)]
+    bases = [rnd.choice(chain) for _ in range(200)]
+    hot = [f"b-{i}" for i in rnd.sample(range(1, 4000), 1500)] + ["b"] * 900 + ["b-7"] * 30
+    rnd.shuffle(hot)
+    bases += hot
+    df = spark.createDataFrame(list(enumerate(bases)), "seq bigint, base string").repartition(5)
+    got = [r["handle"] for r in handles.unique_handle(df, slices=8).orderBy("seq").collect()]
+    assert got == loop_handles(bases)
+
+
 def test_unique_handle_plain(spark):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, "a"), (4, None)], "seq bigint, base string")
     assert [r["handle"] for r in handles.unique_handle(df).orderBy("seq").collect()] == ["a", "a-1", "a-2", None]

@@ -110,17 +110,26 @@ def _gain(before: Column, after: Column) -> Column:
     return F.when(after >= before, after - before).otherwise(after)
 
 
-def _panes(samples: DataFrame, series: list[str], pane_us: int, ts: str, value: str) -> DataFrame:
+def _ends(after: Column, upto: Column, per_step: int) -> tuple[Column, Column]:
+    """First and last multiple of `per_step` in (after, upto]; the first is the larger one if there is none."""
+    return (cell(after, per_step) + 1) * per_step, cell(upto, per_step) * per_step
+
+
+def _panes(
+    samples: DataFrame, series: list[str], pane_us: int, per_window: int, per_step: int, ts: str, value: str
+) -> DataFrame:
     """Per series and pane: first and last sample, sample count, growth inside the pane.
 
-    The ordered window is limited to one series' samples of one pane, so a series that holds a
+    Panes that lie between the windows are left out before anything is shuffled. The ordered window is limited to one series' samples of one pane, so a series that holds a
     third of all rows is spread over as many groups as it has panes.
     """
     w = Window.partitionBy(*series, "_pane").orderBy("_us")
+    first_end, last_end = _ends(F.col("_pane"), F.col("_pane") + per_window, per_step)
     rows = (
         samples.filter(F.col(value).isNotNull())
         .withColumn("_us", micros(F.col(ts)))
         .withColumn("_pane", cell(F.col("_us"), pane_us))
+        .filter(first_end <= last_end)
         .select(*series, "_us", "_pane", F.col(value).alias("_v"))
         .withColumn("_gain", _gain(F.lag("_v").over(w), F.col("_v")))
         .withColumn("_first", F.lag("_us").over(w).isNull())
@@ -138,29 +147,51 @@ def counter_increase(
 ) -> DataFrame:
     """(series…, window_end, increase, rate, n_samples) for windows [end - window, end), seconds.
 
-    Sliding windows share their panes (width gcd(window, step)): each sample is
-    summed once, and a window adds up a handful of pane rows. `rate` divides by the
+    Samples are summed once into panes of width gcd(window, step), and panes into blocks as
+    long as a window. A window that ends inside a block is what the block holds up to
+    there, and what the block before holds from the window's start on: two look-ups,
+    whatever the number of panes. Running sums stay inside a block, so one series is
+    spread over as many groups as it has blocks. `rate` divides by the
     time between the window's first and last sample; both are NULL for one sample.
     """
     pane = gcd(window, step)
     us = pane * MICROS
     per_window, per_step = window // pane, step // pane
-    along = Window.partitionBy(*series).orderBy("_pane")
+    along = Window.partitionBy(*series, "_block").orderBy("_pane")
+    upto = along.rowsBetween(Window.unboundedPreceding, 0)
+    onward = along.rowsBetween(0, Window.unboundedFollowing)
+    none = F.lit(0.0)
+    begin = F.col("_block") * per_window
     panes = (
-        _panes(samples, series, us, ts, value)
-        .withColumn("_prev", F.lag("_pane").over(along))
-        .withColumn("_cross", _gain(F.lag("_v1").over(along), F.col("_v0")))
+        _panes(samples, series, us, per_window, per_step, ts, value)
+        .withColumn("_block", cell(F.col("_pane"), per_window))
+        .withColumn("_was", F.lag("_v1").over(along))
+        .withColumn("_before", F.when(F.col("_was").isNotNull(), _gain(F.col("_was"), F.col("_v0"))).otherwise(none))
+        .withColumn("_after", F.coalesce(_gain(F.col("_v1"), F.lead("_v0").over(along)), none))
     )
-    # Pane p belongs to the windows ending (in panes) at the multiples of per_step in (p, p + per_window].
-    first_end = (cell(F.col("_pane"), per_step) + 1) * per_step
-    last_end = cell(F.col("_pane") + per_window, per_step) * per_step
-    ends = panes.filter(first_end <= last_end).withColumn(
-        "_end", F.explode(F.sequence(first_end, last_end, F.lit(per_step).cast("bigint")))
+    # A pane is the last one before the ends up to the next pane, and the first one from the starts after the pane before.
+    closing = _ends(F.col("_pane"), F.coalesce(F.lead("_pane").over(along), begin + per_window), per_step)
+    opening = _ends(F.coalesce(F.lag("_pane").over(along), begin) + per_window, F.col("_pane") + per_window, per_step)
+
+    def side(late: bool, ends, inc, t0, t1, n, v) -> Column:
+        values = {"late": F.lit(late), "a": ends[0], "b": ends[1], "inc": inc, "t0": t0, "t1": t1, "n": n, "v": v}
+        return F.struct(*[c.alias(name) for name, c in values.items()])
+
+    head = side(True, closing, F.sum(F.col("_inc") + F.col("_before")).over(upto), F.first("_t0").over(upto), F.col("_t1"),
+                F.sum("_n").over(upto), F.first("_v0").over(upto))
+    tail = side(False, opening, F.sum(F.col("_inc") + F.col("_after")).over(onward), F.col("_t0"), F.last("_t1").over(onward),
+                F.sum("_n").over(onward), F.last("_v1").over(onward))
+    found = (
+        panes.select(*series, F.array(head, tail).alias("_sides"))
+        .select(*series, F.explode("_sides").alias("_s")).filter("_s.a <= _s.b")
+        .withColumn("_end", F.explode(F.sequence("_s.a", "_s.b", F.lit(per_step).cast("bigint"))))
     )
-    joined = F.when(F.col("_prev") >= F.col("_end") - per_window, F.col("_cross")).otherwise(0.0)
-    summed = ends.groupBy(*series, "_end").agg(
-        F.sum(F.col("_inc") + F.coalesce(joined, F.lit(0.0))).alias("_increase"),
-        F.min("_t0").alias("_t0"), F.max("_t1").alias("_t1"), F.sum("_n").alias("n_samples"),
+    # At most two rows a window; between them the counter goes from the early one's last value to the late one's first.
+    late = F.col("_s.late")
+    across = _gain(F.max(F.when(~late, F.col("_s.v"))), F.max(F.when(late, F.col("_s.v"))))
+    summed = found.groupBy(*series, "_end").agg(
+        (F.sum("_s.inc") + F.when(F.count("*") == 2, across).otherwise(none)).alias("_increase"),
+        F.min("_s.t0").alias("_t0"), F.max("_s.t1").alias("_t1"), F.sum("_s.n").alias("n_samples"),
     )
     seconds = (F.col("_t1") - F.col("_t0")) / F.lit(MICROS)
     enough = F.col("n_samples") > 1

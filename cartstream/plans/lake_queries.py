@@ -227,6 +227,13 @@ def counter_rate_uneven(t):
     return metrics.counter_rate(counters(t), SERIES, 10 * HOUR, 4 * HOUR).withColumn("rate", F.round("rate", 9))
 
 
+@query("counter_rate_coprime", f"SELECT metric, topic, host, window_end, n_samples, round(rate, 9) AS rate FROM {windows_sql(7 * HOUR + 1, 5 * HOUR)}")
+def counter_rate_coprime(t):
+    """Window and step share no divisor but a second."""
+    out = metrics.counter_increase(counters(t), SERIES, 7 * HOUR + 1, 5 * HOUR)
+    return out.select(*SERIES, "window_end", "n_samples", F.round("rate", 9).alias("rate"))
+
+
 @query("sum_rate", f"SELECT topic, window_end, round(sum(rate), 6) AS rate FROM {windows_sql(6 * HOUR, HOUR)} WHERE rate IS NOT NULL GROUP BY ALL")
 def sum_rate(t):
     return metrics.sum_rate(counters(t), SERIES, ["topic"], 6 * HOUR, HOUR).withColumn("rate", F.round("rate", 6))

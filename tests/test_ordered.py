@@ -240,6 +240,52 @@ def test_increase_across_panes(spark):
     assert full[T0 + timedelta(seconds=60)] == 3.0
 
 
+def loop_increase(samples, window, step):
+    """(end, increase, n, seconds between the first and last sample) per window with samples."""
+    found = {}
+    for us, v in sorted(samples):
+        first = (us // (step * 10**6) + 1) * step
+        for end in range(first, us // 10**6 + window + 1, step):
+            if (end - window) * 10**6 <= us < end * 10**6:
+                found.setdefault(end, []).append((us, v))
+    gain = lambda rows: sum(b - a if b >= a else b for (_, a), (_, b) in zip(rows, rows[1:]))
+    return {e: (gain(r) if len(r) > 1 else None, len(r), (r[-1][0] - r[0][0]) / 10**6) for e, r in found.items()}
+
+
+@pytest.mark.parametrize("window,step", [(7, 60), (60, 7), (13, 5), (10, 4), (4, 10), (1, 1), (30, 10), (97, 3)])
+def test_increase_is_the_loop(spark, window, step):
+    rnd = random.Random(window * 100 + step)
+    series, rows = {"a": [], "b": [], None: []}, []
+    for k, kept in series.items():
+        us = -200 * 10**6  # from before the epoch on
+        for _ in range(150):
+            us += rnd.choice([1, 1000, 10**6, 2 * 10**6, 10**6 * rnd.randrange(1, 9), 120 * 10**6])
+            v = None if rnd.random() < 0.1 else float(rnd.randrange(50))
+            rows.append((k, datetime(1970, 1, 1) + timedelta(microseconds=us), v))
+            if v is not None:
+                kept.append((us, v))
+    df = spark.createDataFrame(rows, "s string, ts timestamp_ntz, value double").repartition(3)
+    got = {k: {} for k in series}
+    for r in metrics.counter_increase(df, ["s"], window, step).collect():
+        end = int((r["window_end"] - datetime(1970, 1, 1)).total_seconds())
+        assert end not in got[r["s"]]
+        got[r["s"]][end] = (r["increase"], r["n_samples"], r["rate"])
+    for k, samples in series.items():
+        want = loop_increase(samples, window, step)
+        assert {e: g[:2] for e, g in got[k].items()} == {e: w[:2] for e, w in want.items()}
+        assert all(got[k][e][2] == pytest.approx(inc / sec) for e, (inc, _, sec) in want.items() if inc is not None)
+
+
+def test_increase_orders_no_whole_series(spark):
+    df = sample_frame(spark, range(400), step=1)
+    out = metrics.counter_increase(df, ["s"], 7, 60)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if line.strip(" +-:").startswith("Window")]
+    assert windows and all("_block" in w or "_pane" in w for w in windows)
+    assert all(len(w.rsplit("], [", 2)[-2].split(",")) == 2 for w in windows)  # series and block, or series and pane
+    assert {r["n_samples"] for r in out.collect()} == {7}
+
+
 @pytest.mark.parametrize("ticks,fired", [(5, False), (6, True)])
 def test_alert_needs_the_whole_hold_time(spark, ticks, fired):
     rows = [("lag", T0 + timedelta(minutes=i), 1001.0) for i in range(ticks)] + [("lag", T0 + timedelta(minutes=10), 1000.0)]

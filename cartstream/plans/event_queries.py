@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartstream import functions as fn
+from cartstream import schemas
 from cartstream.operators import claims, enrich, handles, ingest, quality
 from cartstream.operators.upsert import latest_by_key
 from cartstream.plans import adapters as a
@@ -382,6 +383,72 @@ def consume_validated(t):
     return stored.unionByName(consumer.rejected(rows).select("offset", F.array_join("reasons", "; ").alias("verdict")))
 
 
+# Frames by message number: a bad first byte, a schema id that is not registered, half a body; the rest is whole.
+BROKEN = "CASE WHEN id % 13 = 0 THEN 'bad frame' WHEN id % 17 = 0 THEN 'unknown schema' WHEN id % 19 = 0 THEN 'undecodable body' END"
+
+
+def framed_topic(rows, topic, number, *left_out):
+    """Raw rows of a topic as framed JSON messages, broken in places; `left_out` are fields their writer does not know yet."""
+    n = F.col(number)
+    body = F.to_json(F.struct(*[c for c in rows.columns if c not in left_out]))
+    head = F.concat(F.when(n % 13 == 0, F.lit("01")).otherwise(F.lit("00")), F.when(n % 17 == 0, F.lit("00000009")).otherwise(F.lit("00000001")))
+    raw = F.concat(F.unhex(head), F.encode(F.when(n % 19 == 0, F.substring(body, 1, 12)).otherwise(body), "UTF-8"))
+    return rows.select(F.lit(topic).alias("topic"), F.lit(0).alias("partition"), n.cast("bigint").alias("offset"), raw.alias("value"))
+
+
+def judged_frames(t, topic, messages):
+    known = t.spark.createDataFrame([(1, topic)], "schema_id bigint, schema_json string")
+    return consumer.judged_topic(topic, messages, known, consumer.json_record(schemas.TOPIC_SCHEMAS[topic]))
+
+
+def framed_goods(t):
+    """Products whose every 11th has a variant price that is no amount."""
+    raw = a.raw_products(t)
+    spoiled = F.transform("variants", lambda v: v.withField("price", F.lit("n/a")))
+    return framed_topic(raw.withColumn("variants", F.when(F.col("id") % 11 == 0, spoiled).otherwise(F.col("variants"))), "products", "id")
+
+
+@query("ingest_framed_products", f"""
+SELECT event_id, id, title, vendor, product_type, handle, status, tags, {wall('created_at')} AS created_at,
+       {wall('updated_at')} AS updated_at, {wall('published_at')} AS published_at
+FROM {GOODS} WHERE {BROKEN} IS NULL AND (id % 11 <> 0 OR id NOT IN (SELECT product_id FROM {VARIANTS}))""")
+def ingest_framed_products(t):
+    return consumer.ingested("products", judged_frames(t, "products", framed_goods(t)))["products"]
+
+
+@query("ingest_framed_variants", f"SELECT * FROM ({SQL_PRODUCT_VARIANTS}) WHERE {BROKEN.replace('id %', 'product_id %')} IS NULL AND product_id % 11 <> 0")
+def ingest_framed_variants(t):
+    return consumer.ingested("products", judged_frames(t, "products", framed_goods(t)))["product_variants"]
+
+
+@query("ingest_framed_customers", f"""
+SELECT event_id, id, email, first_name, last_name, CAST(NULL AS VARCHAR) AS phone, state, verified_email, tags,
+       {wall('created_at')} AS created_at, {wall('updated_at')} AS updated_at
+FROM {PEOPLE} WHERE {BROKEN} IS NULL""")
+def ingest_framed_customers(t):
+    """Messages of a writer that has no telephone numbers yet, in today's shape."""
+    messages = framed_topic(a.raw_customers(t), "customers", "id", "phone")
+    return consumer.ingested("customers", judged_frames(t, "customers", messages))["customers"]
+
+
+@query("ingest_framed_inventory", f"""
+SELECT event_id, inventory_item_id, location_id, available, {wall('updated_at')} AS updated_at
+FROM {LEVELS} WHERE {BROKEN.replace('id %', 'inventory_item_id %')} IS NULL""")
+def ingest_framed_inventory(t):
+    messages = framed_topic(a.raw_inventory(t), "inventory", "inventory_item_id")
+    return consumer.ingested("inventory", judged_frames(t, "inventory", messages))["inventory_levels"]
+
+
+@query("framed_rejects", f"""
+SELECT 'products' AS topic, id AS "offset", coalesce({BROKEN}, 'a variant''s price is not an amount') AS reasons FROM {GOODS}
+WHERE {BROKEN} IS NOT NULL OR (id % 11 = 0 AND id IN (SELECT product_id FROM {VARIANTS}))
+UNION ALL SELECT 'customers', id, {BROKEN} FROM {PEOPLE} WHERE {BROKEN} IS NOT NULL""")
+def framed_rejects(t):
+    frames = {"products": framed_goods(t), "customers": framed_topic(a.raw_customers(t), "customers", "id")}
+    parts = [consumer.rejected(judged_frames(t, topic, messages)) for topic, messages in frames.items()]
+    return parts[0].unionByName(parts[1]).select("topic", "offset", F.array_join("reasons", "; ").alias("reasons"))
+
+
 @query("quality_report", f"""
 SELECT 'not_null' AS rule, 'available' AS "column", count(*) FILTER (available IS NULL) AS violations FROM {LEVELS}
 UNION ALL SELECT 'not_null', 'updated_at', count(*) FILTER (updated_at IS NULL) FROM {LEVELS}

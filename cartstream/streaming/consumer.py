@@ -1,4 +1,4 @@
-"""The stand-alone consumer: framed messages to validated rows, with rejects and a guard against replays."""
+"""Framed messages to typed rows, with rejects and a guard against replays: ingest of any topic, and the stand-alone consumer."""
 
 from __future__ import annotations
 
@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cartstream.operators.ingest import to_consumed_order_details
+from cartstream import schemas
+from cartstream.functions import money
+from cartstream.operators.ingest import TOPIC_OUTPUTS, to_consumed_order_details
 from cartstream.operators.offsets import islands, not_consumed, united
 from cartstream.operators.quality import ORDER_DETAIL_BOOLEANS, ORDER_DETAIL_REQUIRED, rejection_reasons
 from cartstream.sinks.writers import insertable
@@ -34,27 +36,61 @@ def _not_a_time(c: str) -> Column:
     return F.when(F.col(c).isNotNull() & F.try_to_timestamp(F.col(c)).isNull(), F.lit(f"{c} is not a time"))
 
 
-def judged(messages: DataFrame, registry: DataFrame, decode: Callable[[Column], Column], schema: T.StructType) -> DataFrame:
-    """Envelope, the fields of `schema`, and `reasons`: why the message cannot be stored, empty if it can.
+def _not_money(c: Column, name: str) -> Column:
+    return F.when(c.isNotNull() & money(c, "null").isNull(), F.lit(f"{name} is not an amount"))
+
+
+def decoded(messages: DataFrame, registry: DataFrame, decode: Callable[[Column], Column], schema: T.StructType) -> DataFrame:
+    """Envelope, the fields of `schema`, and `_broken`: why a message has none, NULL if it has.
 
-    A message has a bad frame, or an unknown schema id, or an undecodable body, or else every field that fails. Fields the
-    writer's schema lacks are NULL.
+    Fields the writer's schema lacks are NULL.
     """
     framed = attach_schema(split_frame(messages, "value", "quarantine"), registry, on_unknown="null")
-    decoded = framed.withColumn("record", F.when(F.col("schema_json").isNotNull(), decode(F.col("body"))))
+    records = framed.withColumn("record", F.when(F.col("schema_json").isNotNull(), decode(F.col("body"))))
     broken = (
         F.when(~F.col("frame_ok"), "bad frame").when(F.col("schema_json").isNull(), "unknown schema")
         .when(F.col("record").isNull(), "undecodable body")
     )
     envelope = [c for c in messages.columns if c != "value"]
-    rows = evolve(decoded.withColumn("_broken", broken).select(*envelope, "_broken", "record.*"), schema)
+    return evolve(records.withColumn("_broken", broken).select(*envelope, "_broken", "record.*"), schema)
+
+
+def _with_reasons(rows: DataFrame, failed: Column) -> DataFrame:
+    reasons = F.when(F.col("_broken").isNotNull(), F.array("_broken")).otherwise(failed)
+    return rows.withColumn("reasons", reasons).drop("_broken")
+
+
+def judged_topic(
+    topic: str, messages: DataFrame, registry: DataFrame, decode: Callable[[Column], Column], schema: T.StructType | None = None
+) -> DataFrame:
+    """Messages of one of the four topics in its declared schema, with `reasons` why one cannot be ingested.
+
+    Besides broken messages these are amounts that are none, which the lake tables would otherwise fail on.
+    """
+    rows = decoded(messages, registry, decode, schema or schemas.TOPIC_SCHEMAS[topic])
+    tests = []
+    if topic == "order_details":
+        tests = [_not_money(F.col(c), c) for c in ("price", "total_discount")]
+    if topic == "products":
+        bad = lambda c: F.exists("variants", lambda v: _not_money(v[c], c).isNotNull())
+        tests = [F.when(bad(c), F.lit(f"a variant's {c} is not an amount")) for c in ("price", "compare_at_price")]
+    failed = F.array_compact(F.array(*tests)) if tests else F.array().cast("array<string>")
+    return _with_reasons(rows, failed)
+
+
+def judged(messages: DataFrame, registry: DataFrame, decode: Callable[[Column], Column], schema: T.StructType) -> DataFrame:
+    """Envelope, the fields of `schema`, and `reasons`: why the message cannot be stored, empty if it can.
+
+    A message has a bad frame, or an unknown schema id, or an undecodable body, or else every field that fails.
+    """
+    rows = decoded(messages, registry, decode, schema)
     # The payload's id is stored under another name.
     required = ["id" if c == "line_item_id" else c for c in ORDER_DETAIL_REQUIRED]
     failed = F.concat(
         rejection_reasons(required, ORDER_DETAIL_BOOLEANS),
         F.array_compact(F.array(*[_not_a_time(c) for c in ("created_at", "updated_at")])),
     )
-    return rows.withColumn("reasons", F.when(F.col("_broken").isNotNull(), F.array("_broken")).otherwise(failed)).drop("_broken")
+    return _with_reasons(rows, failed)
 
 
 def accepted(rows: DataFrame) -> DataFrame:
@@ -67,26 +103,32 @@ def rejected(rows: DataFrame) -> DataFrame:
     return rows.filter(F.size("reasons") > 0).select(*[c for c in MESSAGE_KEY if c in rows.columns], "reasons")
 
 
-class OrderDetailConsumer:
-    """Stores the valid order lines of a stream of messages once each, and the others with their reasons.
+class MessageJob:
+    """Stores what the messages of a stream hold once each, and the messages that cannot be stored with their reasons.
 
     Tables are written per batch id and replace themselves on a re-run. A message is known by topic, partition and
     offset. What earlier batches consumed is kept as intervals of offsets, so a replay is recognised without reading
     what was stored; rejected messages are not stored again either.
     """
 
+    tables: dict[str, Callable[[DataFrame], DataFrame]]
+
     def __init__(self, spark: SparkSession, root: str, registry: DataFrame, decode: Callable[[Column], Column], schema: T.StructType):
         self.registry, self.decode, self.schema = registry, decode, schema
-        self.stored = BatchLog(spark, f"{root.rstrip('/')}/order_details")
-        self.rejects = BatchLog(spark, f"{root.rstrip('/')}/rejects")
-        self.consumed = BatchLog(spark, f"{root.rstrip('/')}/consumed")
+        log = lambda name: BatchLog(spark, f"{root.rstrip('/')}/{name}")
+        self.logs = {name: log(name) for name in self.tables}
+        self.rejects, self.consumed = log("rejects"), log("consumed")
+
+    def judge(self, batch: DataFrame) -> DataFrame:
+        raise NotImplementedError
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        rows = judged(batch, self.registry, self.decode, self.schema).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = self.judge(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             known = self.consumed.read(before=batch_id)
             new = rows if known is None else not_consumed(rows, united(known, PARTITION), PARTITION)
-            self.stored.write(insertable(accepted(new), None, list(MESSAGE_KEY), ["consumed_at"], "skip"), batch_id)
+            for name, stored in self.tables.items():
+                self.logs[name].write(stored(new), batch_id)
             self.rejects.write(rejected(new), batch_id)
             self.consumed.write(islands(rows, PARTITION), batch_id)
         finally:
@@ -95,3 +137,45 @@ class OrderDetailConsumer:
     def start(self, source: DataFrame, checkpoint: str, trigger: str = COMMIT_INTERVAL) -> StreamingQuery:
         writer = source.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
         return _trigger(writer, trigger).start()
+
+
+class OrderDetailConsumer(MessageJob):
+    """The valid order lines, with their envelope."""
+
+    tables = {"order_details": lambda rows: insertable(accepted(rows), None, list(MESSAGE_KEY), ["consumed_at"], "skip")}
+
+    @property
+    def stored(self) -> BatchLog:
+        return self.logs["order_details"]
+
+    def judge(self, batch: DataFrame) -> DataFrame:
+        return judged(batch, self.registry, self.decode, self.schema)
+
+
+def ingested(topic: str, rows: DataFrame) -> dict[str, DataFrame]:
+    """Lake table to its rows, of the judged messages that can be ingested."""
+    good = rows.filter(F.size("reasons") == 0)
+    return {name: project(good) for name, project in TOPIC_OUTPUTS[topic].items()}
+
+
+class TopicIngest(MessageJob):
+    """A topic's framed messages to its lake tables: split, decoded, evolved to the declared schema and projected.
+
+    Products feed two tables, products and variants. `schema` may name a later generation of the topic.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, topic: str, registry: DataFrame, decode: Callable[[Column], Column],
+        schema: T.StructType | None = None,
+    ):
+        self.topic = topic
+        # A message that a batch holds twice is told by its place in the topic.
+        once = lambda rows: rows.dropDuplicates(list(MESSAGE_KEY))
+        self.tables = {name: lambda rows, name=name: ingested(topic, once(rows))[name] for name in TOPIC_OUTPUTS[topic]}
+        super().__init__(spark, root, registry, decode, schema or schemas.TOPIC_SCHEMAS[topic])
+
+    def judge(self, batch: DataFrame) -> DataFrame:
+        return judged_topic(self.topic, batch, self.registry, self.decode, self.schema)
+
+    def read(self, table: str) -> DataFrame | None:
+        return self.logs[table].read()

@@ -315,6 +315,54 @@ def test_consumer_stores_each_valid_message_once(spark, sf, tmp_path):
     assert line["line_item_id"] == 0 and line["shopify_created_at"] is not None
 
 
+def test_products_are_ingested_once_into_both_tables(spark, tmp_path):
+    variant = lambda k, price="1.50": {"id": k, "title": "S", "price": price, "taxable": True}
+    product = lambda k, *variants, **kw: json.dumps({"event_id": f"e{k}", "id": k, "title": "T", "variants": list(variants), **kw})
+    frame = lambda text: b"\x00\x00\x00\x00\x01" + text.encode()
+    values = [frame(product(1, variant(10), variant(11), created_at="2024-01-01T10:00:00Z")), frame(product(2)), frame(product(3, variant(30, "dear"))),
+              b"\x01", None, frame(product(6, variant(60), unheard_of=5))]
+    columns = "topic string, partition int, offset bigint, value binary"
+    source = spark.createDataFrame([("products", 0, k, v) for k, v in enumerate(values)], columns)
+    registry = spark.createDataFrame([(1, "x")], "schema_id bigint, schema_json string")
+    # The writers' schema has no vendor, the declared one has.
+    written = T.StructType([f for f in schemas.RAW_PRODUCTS if f.name != "vendor"])
+    job = consumer.TopicIngest(spark, str(tmp_path / "job"), "products", registry, consumer.json_record(written))
+
+    def run():
+        src = spark.readStream.schema(columns).parquet(str(tmp_path / "in"))
+        job.start(src, str(tmp_path / "ck"), NOW).awaitTermination(240)
+
+    source.filter("offset < 5").unionByName(source.filter("offset = 0")).coalesce(1).write.parquet(str(tmp_path / "in"))
+    run()
+    source.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))  # all again, and a new one
+    run()
+    job.process(source, 1)  # the last batch once more
+    products = {r["id"]: r for r in job.read("products").collect()}
+    assert sorted(products) == [1, 2, 6] and job.read("products").count() == 3
+    assert products[1]["vendor"] is None and products[1]["created_at"] == datetime(2024, 1, 1, 10)
+    variants = job.read("product_variants")
+    assert sorted((r["product_id"], r["variant_id"], str(r["price"])) for r in variants.collect()) == [(1, 10, "1.50"), (1, 11, "1.50"), (6, 60, "1.50")]
+    reasons = sorted((r["offset"], r["reasons"]) for r in job.rejects.read().collect())
+    assert reasons == [(2, ["a variant's price is not an amount"]), (3, ["bad frame"]), (4, ["bad frame"])]
+
+
+@pytest.mark.parametrize("topic,table,fields", [
+    ("inventory", "inventory_levels", {"inventory_item_id": 5, "available": 2}), ("customers", "customers", {"id": 5, "email": "a@b"}),
+    ("order_details", "order_details", {"id": 5, "price": "2.345", "total_discount": "0"})])
+def test_every_topic_is_ingested(spark, tmp_path, topic, table, fields):
+    body = lambda **kw: b"\x00\x00\x00\x00\x01" + json.dumps(fields | kw).encode()
+    rows = [(topic, 1, 0, body()), (topic, 1, 1, body(price="x")), (topic, 1, 2, b"\x00\x00\x00\x00\x09{}")]
+    source = spark.createDataFrame(rows, "topic string, partition int, offset bigint, value binary")
+    registry = spark.createDataFrame([(1, "x")], "schema_id bigint, schema_json string")
+    job = consumer.TopicIngest(spark, str(tmp_path), topic, registry, consumer.json_record(schemas.TOPIC_SCHEMAS[topic]))
+    job.process(source, 0)
+    got = job.read(table).collect()
+    assert len(got) == (1 if topic == "order_details" else 2)
+    assert all(r[c] == v for r in got for c, v in fields.items() if c not in ("price", "total_discount"))
+    want = {2: ["unknown schema"]} | ({1: ["price is not an amount"]} if topic == "order_details" else {})
+    assert {r["offset"]: r["reasons"] for r in job.rejects.read().collect()} == want
+
+
 def test_health_names_a_job_that_fails(spark, tmp_path):
     table = health.ProgressTable(spark, str(tmp_path / "progress"))
     log = health.ProgressLog(table)

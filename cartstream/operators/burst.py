@@ -36,6 +36,7 @@ def _same(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> Da
     return left.join(F.broadcast(renamed), on, how).drop(*[f"_r_{c}" for c in columns])
 
 
+LISTED = 1000  # errors of one instant listed at once
 TICK, BEHIND, AHEAD = 1, 2, 0  # at one moment, look-ups ahead come first and look-ups behind last
 
 
@@ -97,12 +98,16 @@ def error_burst(
     errors: DataFrame, key: list[str], ts: str = "ts", window: int = 10, threshold: int = 5,
     block: int | None = None,
 ) -> DataFrame:
-    """(key…, ts, n_window, burst): is the error window at its threshold at this error?
+    """(key…, ts, n_window, burst), one row per error: is the error window at its threshold at this error?
 
-    The window slides with the time of evaluation, so old errors never count.
+    The window slides with the time of evaluation, so old errors never count. Errors of one instant share their window; they are
+    listed by blocks of `LISTED`, which are dealt out, so an instant of very many errors fills neither a list nor a task.
     """
     counted = trailing_count(errors, key, ts, window, block)
-    return counted.select(*key, ts, "n_window", (F.col("n_window") >= threshold).alias("burst"))
+    blocks = counted.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_at") - 1, F.lit(LISTED).cast("bigint"))).alias("_done"))
+    size = F.least(F.lit(LISTED), F.col("n_at") - F.col("_done")).cast("int")
+    each = blocks.repartition(*key, ts, "_done").select("*", F.explode(F.array_repeat(F.lit(1), size)).alias("_one"))
+    return each.select(*key, ts, "n_window", (F.col("n_window") >= threshold).alias("burst"))
 
 
 # -- pauses ------------------------------------------------------------------

@@ -1,6 +1,7 @@
 """Order-dependent operators against row-by-row loops."""
 
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
@@ -123,6 +124,17 @@ def test_error_burst_is_the_sliding_window(spark, block):
         assert got[t] == (n, n >= 5)
 
 
+def test_every_error_of_an_instant_has_a_row(spark):
+    """Copies of an error, more than are listed at once, among others: as a window over the rows gives them."""
+    many = 2 * burst.LISTED + 7
+    rows = [("k", T0)] * many + [("k", T0 + timedelta(seconds=10))] * 2 + [("k", T0 + timedelta(seconds=11)), (None, T0), (None, T0)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz")
+    got = Counter(tuple(r) for r in burst.error_burst(df, ["k"]).collect())
+    assert got == {
+        ("k", T0, many, True): many, ("k", T0 + timedelta(seconds=10), many + 2, True): 2, ("k", T0 + timedelta(seconds=11), 3, False): 1,
+        (None, T0, 2, False): 2}
+
+
 def test_burst_clears_after_silence(spark):
     df = spark.createDataFrame([("k", T0 + timedelta(seconds=s)) for s in (0, 1, 2, 3, 4, 15)], "k string, ts timestamp_ntz")
     got = {r["ts"]: r["burst"] for r in burst.error_burst(df, ["k"]).collect()}

@@ -35,12 +35,12 @@ def split_frame(df: DataFrame, value: str = "value", on_bad: str = "fail") -> Da
 def attach_schema(df: DataFrame, registry: DataFrame, on_unknown: str = "fail") -> DataFrame:
     """Adds the registered schema text by `schema_id`.
 
-    registry(schema_id, schema_json) holds one row per registered schema version.
-    Its size is left to the optimizer's run-time check, there is no forced broadcast.
+    registry(schema_id, schema_json) holds one row per registered schema version. It is broadcast:
+    most messages of a topic carry one id, and dealt out by it they would all meet in one task.
     on_unknown: 'fail' raises for an id that is not registered, 'null' keeps the row.
     """
     known = registry.select("schema_id", "schema_json")
-    out = df.join(known, "schema_id", "left")
+    out = df.join(F.broadcast(known), "schema_id", "left")
     if on_unknown == "null":
         return out
     missing = F.raise_error(F.concat(F.lit("unknown schema id "), F.col("schema_id").cast("string")))

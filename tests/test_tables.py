@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartstream import schemas
 from cartstream.operators import deep_pages, enrich, explorer, ingest, maintain, quality
@@ -14,6 +15,7 @@ from cartstream.sinks import writers
 from cartstream.sources import tables as tb
 from cartstream.sources import wire
 from cartstream.sources.topics import read_samples, with_header_defaults
+from cartstream.streaming import consumer
 from cartstream.streaming.dedup import dedup_events
 
 T0 = datetime(2024, 1, 1)
@@ -68,6 +70,28 @@ def test_unknown_schema_id_raises(spark):
     assert wire.unknown_schemas(df, registry).collect() == [(2, 1)]
 
 
+def decoded_messages(spark):
+    frame = lambda k, body: bytearray(b"\0\0\0\0" + bytes([k]) + body.encode())
+    good = [(o, frame(1, f'{{"id": {o}, "title": "t{o}"}}')) for o in range(40)]
+    rows = [("t", 0, o, v) for o, v in [*good, (40, frame(1, "{")), (41, frame(9, "{}")), (42, bytearray(b"\1")), (43, None)]]
+    messages = spark.createDataFrame(rows, "topic string, partition int, offset bigint, value binary")
+    registry = spark.createDataFrame([(1, "x")], "schema_id bigint, schema_json string")
+    schema = T.StructType.fromDDL("id bigint, title string")
+    return consumer.decoded(messages, registry, consumer.json_record(schema), schema)
+
+
+def test_messages_of_one_schema_are_not_dealt_out_by_it(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = decoded_messages(spark)
+        assert "hashpartitioning(schema_id" not in rows._jdf.queryExecution().executedPlan().toString()
+        assert {r["offset"]: r["_broken"] for r in rows.filter("_broken IS NOT NULL").collect()} == {
+            40: "undecodable body", 41: "unknown schema", 42: "bad frame", 43: "bad frame"}
+        assert sorted((r["id"], r["title"]) for r in rows.filter("_broken IS NULL").collect()) == [(k, f"t{k}") for k in range(40)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_avro_needs_the_module(spark):
     df = spark.createDataFrame([(1, bytearray(b""))], "schema_id bigint, body binary")
     with pytest.raises(Exception):

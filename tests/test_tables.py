@@ -92,6 +92,18 @@ def test_messages_of_one_schema_are_not_dealt_out_by_it(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_body_is_decoded_once_whatever_is_tested(spark):
+    tested = decoded_messages(spark).filter("_broken IS NULL AND id > 5 AND title <> 't7' AND length(title) < id + 9").select("offset", "id", "title")
+    assert tested._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert sorted(r["id"] for r in tested.collect()) == [6, *range(8, 40)]
+
+
+def test_verdicts_are_the_accepted_and_the_rejected(spark):
+    rows = decoded_messages(spark).withColumn("reasons", F.when(F.col("_broken").isNull(), F.array().cast("array<string>")).otherwise(F.array("_broken", "title")))
+    got = {r["offset"]: r["verdict"] for r in consumer.verdicts(rows).collect()}
+    assert got == {**dict.fromkeys(range(40), "stored"), 40: "undecodable body", 41: "unknown schema", 42: "bad frame", 43: "bad frame"}
+
+
 def test_avro_needs_the_module(spark):
     df = spark.createDataFrame([(1, bytearray(b""))], "schema_id bigint, body binary")
     with pytest.raises(Exception):

@@ -143,17 +143,24 @@ def raw_inventory(t: Tables) -> DataFrame:
     return t["lineitem"].selectExpr(*select_list(INVENTORY))
 
 
-def raw_customers(t: Tables) -> DataFrame:
-    return t["customer"].selectExpr(*select_list(CUSTOMERS))
+def _dealt(t: Tables, table: str, *key: str) -> DataFrame:
+    """A table's rows as a topic of many partitions has them; the test tables are small files, which one task would read."""
+    return t[table].repartition(*key)
 
 
-def raw_products(t: Tables) -> DataFrame:
+def raw_customers(t: Tables, dealt: bool = False) -> DataFrame:
+    rows = _dealt(t, "customer", "c_custkey") if dealt else t["customer"]
+    return rows.selectExpr(*select_list(CUSTOMERS))
+
+
+def raw_products(t: Tables, dealt: bool = False) -> DataFrame:
     one = ", ".join(f"'{n}', {e}" for n, e in VARIANT.items())
     variants = (
         f"CASE WHEN p_partkey % 10 > 0 THEN slice(transform(sequence(1, 3), i -> named_struct({one})), 1, "
         f"cast({N_VARIANTS} as int)) END AS variants"
     )
-    out = t["part"].selectExpr(*select_list(PRODUCTS), variants)
+    rows = _dealt(t, "part", "p_partkey") if dealt else t["part"]
+    out = rows.selectExpr(*select_list(PRODUCTS), variants)
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.RAW_PRODUCTS])
 
 
@@ -212,15 +219,10 @@ def _order_item(number: str) -> str:
     )
 
 
-def _landed(t: Tables) -> DataFrame:
-    """Line items as a topic of many partitions has them; the test table is a single row group, which one task would read."""
-    return t["lineitem"].repartition("l_orderkey", "l_linenumber")
-
-
 def order_webhooks(t: Tables) -> DataFrame:
     """One order message per line item; first lines carry a second item, number 9."""
     items = f"{_order_item('l_linenumber')} || CASE WHEN l_linenumber = 1 THEN ', ' || {_order_item('9')} ELSE '' END"
-    return _landed(t).selectExpr(
+    return _dealt(t, "lineitem", "l_orderkey", "l_linenumber").selectExpr(
         f"'w-' || {LINE_ID} AS webhook_id",
         "CASE WHEN l_linenumber % 2 = 0 THEN 'orders/updated' ELSE 'orders/create' END AS topic",
         f"'{{\"id\": ' || {s('l_orderkey')} || ', \"line_items\": [' || {items} || ']}}' AS body",
@@ -234,7 +236,7 @@ def inventory_webhooks(t: Tables) -> DataFrame:
         available=_maybe("l_linenumber <> 7", s("cast(l_quantity as int)")),
         updated_at=_text(f"{SHIP_DAY} || 'T08:00:00Z'"),
     )
-    return _landed(t).selectExpr(
+    return _dealt(t, "lineitem", "l_orderkey", "l_linenumber").selectExpr(
         f"'w-' || {LINE_ID} AS webhook_id", "'inventory_levels/update' AS topic", f"{body} AS body",
         "cast(l_shipdate as timestamp) AS received_at",
     )

@@ -402,7 +402,7 @@ def judged_frames(t, topic, messages):
 
 def framed_goods(t):
     """Products whose every 11th has a variant price that is no amount."""
-    raw = a.raw_products(t)
+    raw = a.raw_products(t, dealt=True)
     spoiled = F.transform("variants", lambda v: v.withField("price", F.lit("n/a")))
     return framed_topic(raw.withColumn("variants", F.when(F.col("id") % 11 == 0, spoiled).otherwise(F.col("variants"))), "products", "id")
 
@@ -426,7 +426,7 @@ SELECT event_id, id, email, first_name, last_name, CAST(NULL AS VARCHAR) AS phon
 FROM {PEOPLE} WHERE {BROKEN} IS NULL""")
 def ingest_framed_customers(t):
     """Messages of a writer that has no telephone numbers yet, in today's shape."""
-    messages = framed_topic(a.raw_customers(t), "customers", "id", "phone")
+    messages = framed_topic(a.raw_customers(t, dealt=True), "customers", "id", "phone")
     return consumer.ingested("customers", judged_frames(t, "customers", messages))["customers"]
 
 
@@ -443,7 +443,7 @@ SELECT 'products' AS topic, id AS "offset", coalesce({BROKEN}, 'a variant''s pri
 WHERE {BROKEN} IS NOT NULL OR (id % 11 = 0 AND id IN (SELECT product_id FROM {VARIANTS}))
 UNION ALL SELECT 'customers', id, {BROKEN} FROM {PEOPLE} WHERE {BROKEN} IS NOT NULL""")
 def framed_rejects(t):
-    frames = {"products": framed_goods(t), "customers": framed_topic(a.raw_customers(t), "customers", "id")}
+    frames = {"products": framed_goods(t), "customers": framed_topic(a.raw_customers(t, dealt=True), "customers", "id")}
     parts = [consumer.rejected(judged_frames(t, topic, messages)) for topic, messages in frames.items()]
     return parts[0].unionByName(parts[1]).select("topic", "offset", F.array_join("reasons", "; ").alias("reasons"))
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import __spark_entry__ as entry
 from cartstream import schemas
 from cartstream.operators import deep_pages, enrich, explorer, ingest, maintain, quality
 from cartstream.session import checkpoint_dir, scratch
@@ -503,3 +504,9 @@ def test_a_best_seller_has_chunks_of_bounded_size(spark):
     assert [(r["product_id"], r["chunk"], len(r["lines"])) for r in got] == [
         (1, 0, 100), (1, 1, 100), (1, 2, 100), (1, 3, 100), (1, 4, 50), (2, 0, 10), (3, 0, 0)]
     assert [x["order_id"] for r in got[:5] for x in r["lines"]] == list(range(450))
+
+
+@pytest.mark.parametrize("name", ["ingest_framed_products", "ingest_framed_variants", "ingest_framed_customers", "framed_rejects"])
+def test_messages_come_from_many_partitions(spark, sf, name):
+    plan = entry.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == plan.count("Relation [")

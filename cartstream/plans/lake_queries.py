@@ -453,7 +453,7 @@ FROM {VARIANTS} WHERE product_id % 8 = 2 GROUP BY ALL""")
 def read_partition(t):
     """A table written by location, and one location of it read back; the other folders are not touched."""
     path = f"{checkpoint_dir(t.spark)}/cartstream/{uuid.uuid4()}"
-    v = ingest.to_product_variants(a.raw_products(t)).withColumn("location_id", F.col("product_id") % 8)
+    v = ingest.to_product_variants(a.raw_products(t, dealt=True)).withColumn("location_id", F.col("product_id") % 8)
     v.write.partitionBy("location_id").parquet(path)
     schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in v.schema if f.name != 'location_id')}, location_id bigint"
     one = t.spark.read.schema(schema).parquet(path).filter("location_id = 2")

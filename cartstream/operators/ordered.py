@@ -22,6 +22,15 @@ def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     return left.join(renamed, on, how).drop(*[f"_right_{k}" for k in keys])
 
 
+HOT_ROWS = 100_000
+
+
+def hot_groups(df: DataFrame, keys: list[str], rows: int = HOT_ROWS) -> DataFrame | None:
+    """The groups of more than `rows` rows, written; None if there are none. At most one for each `rows` rows, so they can be broadcast."""
+    hot = cut_lineage(df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows).select(*keys))
+    return None if hot.isEmpty() else hot
+
+
 def running_sum(
     df: DataFrame, keys: list[str], order: list[str], value: str, out: str, slices: int | None = None
 ) -> DataFrame:

@@ -22,9 +22,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartstream.operators.ordered import HOT_ROWS, hot_groups, join_groups
+
 POLICIES = ("last", "last_present", "last_non_empty", "first")
 
 
@@ -100,13 +103,28 @@ def upsert(changes: DataFrame, spec: UpsertSpec) -> DataFrame:
     return finalize(fold(changes, spec), spec)
 
 
-def latest_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def _newest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    rest = [c for c in df.columns if c not in [*keys, *order]]
+    # The order is carried once: where it is equal, the other columns decide, if they have an order.
+    try:
+        newest = df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_row"))
+        newest.schema  # analysed here
+    except AnalysisException:
+        newest = df.groupBy(*keys).agg(F.max_by(F.struct(*order, *rest), F.struct(*order)).alias("_row"))
+    return newest.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
+
+
+def latest_by_key(df: DataFrame, keys: list[str], order: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Newest row per key of an append-only table.
 
-    An aggregation, not a ranking window: it combines before the shuffle, so a hot
-    key is not sorted in one task.
+    Spark aggregates whole rows by sorting them, so combining before the shuffle sorts, and spills, every row twice and
+    helps hot keys only. Keys are counted first, without their rows: keys of more than `hot_rows` rows combine before the
+    shuffle, so that none is sorted in one task; the rows of all others are dealt out unsorted and sorted once.
     """
-    rest = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    out = df.groupBy(*keys).agg(newest)
-    return out.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
+    if df.isStreaming:
+        return _newest(df, keys, order)
+    hot = hot_groups(df, keys, hot_rows)
+    if hot is None:
+        return _newest(df.repartition(*keys), keys, order)
+    usual, crowded = (join_groups(df, F.broadcast(hot), keys, how) for how in ("left_anti", "left_semi"))
+    return _newest(usual.repartition(*keys), keys, order).unionByName(_newest(crowded, keys, order))

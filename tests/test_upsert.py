@@ -138,3 +138,23 @@ def test_latest_by_key(spark):
 def test_unknown_policy():
     with pytest.raises(ValueError):
         UpsertSpec(("id",), {"a": "newest"})
+
+
+@pytest.mark.parametrize("hot_rows", [0, 1, 2, 100])
+def test_latest_by_key_sorts_rows_once_unless_their_key_is_hot(spark, hot_rows):
+    rows = [(k % 50 if k < 60 else k, k, f"v{k}") for k in range(200)] + [(None, 1, "a"), (None, 2, "b"), (7, 57, "v57")]
+    df = spark.createDataFrame(rows, "k bigint, t bigint, v string")
+    out = latest_by_key(df, ["k"], ["t"], hot_rows)
+    want = {}
+    for r in rows:
+        if r[0] not in want or r[1] > want[r[0]][1]:
+            want[r[0]] = r
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want.values()))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # Without hot keys one sort, behind the shuffle; else those are combined before theirs as well.
+    assert (plan.split("Final Plan")[-1].split("Initial Plan")[0].count("Sort [") == 1) == (hot_rows == 100)
+
+
+def test_latest_by_key_of_rows_without_an_order(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, 1, map('a', 1)), (1, 2, map('a', 2)) AS t(k, t, m)")
+    assert [tuple(r) for r in latest_by_key(df, ["k"], ["t"]).collect()] == [(1, 2, {"a": 2})]

@@ -8,11 +8,11 @@ key or the rows without one. Checks filter NULL keys out before they join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartstream.functions import line_name, variant_title
-from cartstream.operators.ordered import row_numbers
+from cartstream.operators.ordered import HOT_ROWS, hot_groups, row_numbers
 from cartstream.operators.upsert import latest_by_key
 
 
@@ -140,20 +140,34 @@ def product_360(products: DataFrame, variants: DataFrame, order_details: DataFra
     )
 
 
-def product_lines(products: DataFrame, order_details: DataFrame, chunk_rows: int = 1000) -> DataFrame:
+def product_lines(
+    products: DataFrame, order_details: DataFrame, chunk_rows: int = 1000, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Parent-child view with the lines: one row per product and chunk of at most `chunk_rows` of its order lines, by id, then event_id.
 
-    Lines are numbered in slices, so those of a best seller are many chunks made by many tasks and no list outgrows the bound. Products
+    A product's lines are dealt to one task, which numbers and lists them; those of a best seller (more than `hot_rows` lines) are
+    numbered in slices and are many chunks made by many tasks. No list outgrows the bound. Products
     without lines keep one row with chunk 0 and no lines. An event_id occurs once.
     """
-    lines = order_details.filter(F.col("product_id").isNotNull()).select(
-        "product_id", "id", "event_id", F.struct("id", "event_id", "order_id", "variant_id", "quantity", "price").alias("line")
-    )
-    numbered = row_numbers(lines, ["product_id"], ["id", "event_id"], "_n")
+    used = ["id", "event_id", "order_id", "variant_id", "quantity", "price"]
+    lines = order_details.filter(F.col("product_id").isNotNull()).select("product_id", *used)
+    goods = products.select(F.col("id").alias("product_id"), "title", "status")
+    along = Window.partitionBy("product_id").orderBy("id", "event_id")
+    number = lambda rows: rows.withColumn("_n", F.row_number().over(along))
+    hot = hot_groups(lines, ["product_id"], hot_rows)
+    if hot is None:
+        return _chunked(goods, number(lines), used, chunk_rows)
+    best = F.broadcast(hot)
+    many = row_numbers(lines.join(best, "product_id", "left_semi"), ["product_id"], ["id", "event_id"], "_n")
+    usual = _chunked(goods.join(best, "product_id", "left_anti"), number(lines.join(best, "product_id", "left_anti")), used, chunk_rows)
+    return usual.unionByName(_chunked(goods.join(best, "product_id", "left_semi"), many, used, chunk_rows))
+
+
+def _chunked(p: DataFrame, numbered: DataFrame, used: list[str], chunk_rows: int) -> DataFrame:
+    """Products with their lines (product_id, _n, used…) in chunks."""
     chunks = numbered.groupBy("product_id", F.floor((F.col("_n") - 1) / chunk_rows).alias("chunk")).agg(
-        F.sort_array(F.collect_list("line")).alias("lines")
+        F.sort_array(F.collect_list(F.struct(*used))).alias("lines")
     )
-    p = products.select(F.col("id").alias("product_id"), "title", "status")
     return p.join(chunks, "product_id", "left").select(
         "product_id", "title", "status", F.coalesce("chunk", F.lit(0).cast("bigint")).alias("chunk"),
         F.coalesce("lines", F.array().cast(chunks.schema["lines"].dataType)).alias("lines"),

@@ -81,6 +81,21 @@ def decoded_messages(spark):
     return consumer.decoded(messages, registry, consumer.json_record(schema), schema)
 
 
+@pytest.mark.parametrize("hot_rows,exchanges", [(1, None), (50, None), (1000, 1)])
+def test_usual_products_have_their_lines_dealt_out_once(spark, hot_rows, exchanges):
+    lines = spark.range(300).selectExpr(
+        "CAST(id AS string) AS event_id", "id DIV 2 AS id", "id AS order_id", "1 AS variant_id",
+        "CASE WHEN id < 200 THEN 1 WHEN id < 290 THEN id % 7 + 2 END AS product_id", "1 AS quantity", "CAST(1 AS decimal(10,2)) AS price")
+    goods = spark.createDataFrame([(k, "A", "active") for k in range(1, 12)], "id bigint, title string, status string")
+    out = enrich.product_lines(goods, lines, 30, hot_rows)
+    if exchanges:  # of the lines; the products are few here
+        assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(") == exchanges
+    got = {(r["product_id"], r["chunk"]): [x["order_id"] for x in r["lines"]] for r in out.collect()}
+    want = {(k, 0): [] for k in range(1, 12)} | {(1, c): list(range(30 * c, min(30 * c + 30, 200))) for c in range(7)}
+    want |= {(k, 0): [i for i in range(200, 290) if i % 7 + 2 == k] for k in range(2, 9)}
+    assert got == want and out.count() == len(want)
+
+
 def test_messages_of_one_schema_are_not_dealt_out_by_it(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartstream.operators.ordered import join_groups, running_sum
-from cartstream.session import scratch
+from cartstream.session import scratch, unsorted_writes
 from cartstream.sources.folders import delete_folder, finished_folders, finished_since
 
 TARGET_BYTES = 134_217_728
@@ -59,7 +59,7 @@ def rewrite(
 ) -> tuple[int, int]:
     """Rewrite a Parquet table into files of about `target` bytes at a new place.
 
-    Each bin of the compaction plan is one task's rows, whatever the values in it. Returns (rows before, rows after) after checking
+    Each bin of the compaction plan is one task's rows, whatever the values in it; they are written as they come. Returns (rows before, rows after) after checking
     that they agree; the source is left alone, the caller switches over to the new folder. `due` tells whether a
     rewrite is worth while.
     """
@@ -74,7 +74,8 @@ def rewrite(
         writer = placed.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(destination)
+        with unsorted_writes(spark):
+            writer.parquet(destination)
     before, after = rows.count(), spark.read.parquet(destination).count()
     if before != after:
         raise RuntimeError(f"compaction of {source} lost rows: {before} before, {after} after")

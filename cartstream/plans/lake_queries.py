@@ -13,7 +13,7 @@ from cartstream.operators import ingest
 from cartstream.plans import adapters as a
 from cartstream.plans.event_queries import SQL_ORDER_DETAILS, VARIANTS
 from cartstream.plans.registry import query
-from cartstream.session import checkpoint_dir
+from cartstream.session import checkpoint_dir, unsorted_writes
 
 ORDERS = f"({SQL_ORDER_DETAILS})"
 RANGE = {"gte": "1997-01-01T00:00:00", "lte": "1998-06-30T23:59:59"}
@@ -432,7 +432,8 @@ def compact_rewrite(t):
     """A table in many small files rewritten at a new place; the rows must be the same."""
     root = f"{checkpoint_dir(t.spark)}/cartstream/{uuid.uuid4()}"
     rows = t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
-    rows.repartition(24).write.mode("overwrite").partitionBy("l_returnflag").parquet(f"{root}/small")
+    with unsorted_writes(t.spark):
+        rows.repartition(24).write.mode("overwrite").partitionBy("l_returnflag").parquet(f"{root}/small")
     maintain.rewrite(t.spark, f"{root}/small", f"{root}/big", ["l_returnflag"])
     return t.spark.read.parquet(f"{root}/big")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -104,6 +106,21 @@ def scratch(df: DataFrame, compression: str | None = None) -> Scratch:
     return Scratch(spark, path, df.schema)
 
 
+OPEN_FILES = 8
+
+
+@contextmanager
+def unsorted_writes(spark: SparkSession, files: int = OPEN_FILES) -> Iterator[None]:
+    """While it holds, a task keeps up to `files` files of partition values open; only beyond these it sorts its rows by them first."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(files))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """As `scratch`, for results whose reader is not known here; the table stays until the application ends."""
     return scratch(df, compression).df

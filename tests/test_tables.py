@@ -5,13 +5,14 @@ import time
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import __spark_entry__ as entry
 from cartstream import schemas
 from cartstream.operators import deep_pages, enrich, explorer, ingest, maintain, quality
-from cartstream.session import checkpoint_dir, scratch
+from cartstream.session import checkpoint_dir, scratch, unsorted_writes
 from cartstream.sinks import writers
 from cartstream.sources import tables as tb
 from cartstream.sources import wire
@@ -405,6 +406,25 @@ def test_rewrite_keeps_rows_and_merges_files(spark, tmp_path):
     assert spark.read.parquet(src).exceptAll(spark.read.parquet(dst)).count() == 0
 
 
+def test_a_rewrite_does_not_sort_its_bins(spark, tmp_path, monkeypatch):
+    key, during = "spark.sql.maxConcurrentOutputFileWriters", []
+    spark.sql("CREATE TABLE unsorted (id bigint, p bigint) USING parquet PARTITIONED BY (p)")
+    plan = lambda: spark.sql("EXPLAIN INSERT INTO unsorted SELECT id, id % 3 FROM range(9)").first()[0]
+    try:
+        with unsorted_writes(spark):
+            assert "Sort [" not in plan()
+        assert "Sort [" in plan()
+    finally:
+        spark.sql("DROP TABLE unsorted")
+    written = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: (during.append(spark.conf.get(key)), written(self, *a, **b)))
+    src, dst = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.range(30).withColumn("p", F.col("id") % 20).repartition(3).write.partitionBy("p").parquet(src)
+    assert maintain.rewrite(spark, src, dst, ["p"]) == (30, 30)
+    assert during[-1] != "0" and spark.conf.get(key) == "0"
+    assert spark.read.parquet(src).exceptAll(spark.read.parquet(dst)).count() == 0
+
+
 def test_bins_hold_less_than_target_plus_one_file(spark):
     df = spark.createDataFrame([("p", f"f{i:03d}", 30) for i in range(20)], "partition string, file_path string, size_bytes bigint")
     bins = maintain.compaction_groups(maintain.plan_compaction(df, ["partition"], 100, slices=3), ["partition"]).collect()

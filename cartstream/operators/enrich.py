@@ -1,7 +1,7 @@
 """Lookups and referential checks between event tables.
 
-All joins are equi-joins against a side with one row per key. Nothing is
-broadcast by hand: adaptive execution broadcasts a side whose measured size
+All joins are equi-joins against a side with one row per key. Nothing but the
+few hot keys of `product_lines` is broadcast by hand: adaptive execution broadcasts a side whose measured size
 allows it and otherwise splits the skewed partitions of the big side, be it a hot
 key or the rows without one. Checks filter NULL keys out before they join.
 """
